@@ -31,7 +31,7 @@ SELECT cast(d AS date) AS day
 FROM (SELECT unnest(generate_series(cast(first_day AS timestamp), cast(last_day AS timestamp), INTERVAL 1 DAY)) AS d FROM date_span)""",
     "tickets": "SELECT * FROM orders JOIN customer ON o_custkey = c_custkey",
     "lines": """
-SELECT l.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS item_no
+SELECT l.*, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS int) AS item_no
 FROM lineitem l""",
     "fact_sales": """
 SELECT cast(o_orderdate AS date) AS sale_date, c_nationkey AS store_id, l_partkey AS product_id, o_custkey AS customer_id,

@@ -15,7 +15,12 @@ from storeops.sources.mart import Mart
 class Query:
     name: str
     build: Callable[[Mart], DataFrame]
-    sql: str | None
+    text: str | None
+
+    @property
+    def sql(self) -> str | None:
+        """Oracle SQL with the CTEs it needs; None for rows-only queries."""
+        return expand(self.text) if self.text else None
 
     def run(self, spark: SparkSession, path: str) -> DataFrame:
         return self.build(Mart(spark, path))
@@ -30,7 +35,7 @@ def query(name: str, sql: str | None = None):
     def add(build: Callable[[Mart], DataFrame]):
         if name in CATALOGUE:
             raise ValueError(f"duplicate query {name}")
-        CATALOGUE[name] = Query(name, build, expand(sql) if sql else None)
+        CATALOGUE[name] = Query(name, build, sql)
         return build
 
     return add
