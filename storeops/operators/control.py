@@ -24,7 +24,6 @@ REGIMES = [
 ]
 SEASONAL_REORDER_AT = 0.70
 # Days without sale (from, below) and discount.
-DISCOUNT_COLUMNS = "from_days int, below_days int, discount double"
 DISCOUNTS = [(60, 90, 0.10), (90, 180, 0.20), (180, None, 0.30)]
 SLOW_AFTER = 60
 TAGGING_DAYS = 10
@@ -273,11 +272,16 @@ def urgent_alerts(rows: DataFrame, k: int = 10) -> DataFrame:
 # ---- slow movers and stock-outs --------------------------------------------------
 
 
+def suggested_discount(days: Column) -> Column:
+    """Largest discount among the tiers that contain ``days``."""
+    inside = [F.when((days >= low) & (F.lit(True) if high is None else days < high), F.lit(d)) for low, high, d in DISCOUNTS]
+    return F.greatest(*inside)
+
+
 def slow_movers(inventory: DataFrame, as_of: str) -> DataFrame:
     """Longest run without a sale while stocked, per product, with discount.
 
     A run lasts from a sale day to the day before the next one (or ``as_of``).
-    The discount comes from a range join with a three-row table.
     """
     end = F.lit(as_of).cast("date")
     sold = inventory.where((F.col("qty_sold") > 0) & (F.col("move_date") <= end)).select("product_id", "move_date", "stock")
@@ -285,9 +289,7 @@ def slow_movers(inventory: DataFrame, as_of: str) -> DataFrame:
     runs = sold.withColumn("days_without_sale", F.date_diff(F.coalesce(F.date_sub(nxt, 1), end), F.col("move_date")))
     runs = runs.where((F.col("stock") > 0) & (F.col("days_without_sale") >= SLOW_AFTER))
     worst = runs.groupBy("product_id").agg(F.max(F.struct("days_without_sale", F.col("move_date").alias("last_sale"), "stock")).alias("r")).select("product_id", "r.*")
-    tiers = F.broadcast(inventory.sparkSession.createDataFrame(DISCOUNTS, DISCOUNT_COLUMNS))
-    d = F.col("days_without_sale")
-    return worst.join(tiers, (d >= F.col("from_days")) & (F.col("below_days").isNull() | (d < F.col("below_days")))).drop("from_days", "below_days")
+    return worst.withColumn("discount", suggested_discount(F.col("days_without_sale")))
 
 
 def stock_outs(inventory: DataFrame) -> DataFrame:

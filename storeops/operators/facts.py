@@ -41,30 +41,27 @@ def prorate(lines: DataFrame, headers: DataFrame, order: str, item: str, weight:
     """Spreads header ``amounts`` over lines by ``weight``.
 
     Shares are rounded to cents and the last line of each order takes the
-    remainder, so they add up to the header exactly.  Totals come from partial
-    aggregates joined back (a huge order is split by the skew join) instead of
-    a window that would sort the whole order in one task.
+    remainder, so they add up to the header exactly.  The remainder is worked
+    out per order on (order, weight, count) rows: a huge order shrinks in the
+    partial aggregates and no task sorts it whole.  The lines are read twice,
+    for the aggregate and for the final join, which AQE may split by skew.
     """
-    cents = lambda c: (F.col(c) * 100).cast("bigint")
-    totals = lines.groupBy(order).agg(F.sum(cents(weight)).alias("_total"), F.max(item).alias("_last"))
 
     def share(c: str) -> Column:
         """amount · weight / total in whole cents, half up, exactly."""
         exact = F.expr(f"(2 * cast({c} * 100 as bigint) * cast({weight} * 100 as bigint) + _total) div nullif(2 * _total, 0)")
-        return money(F.coalesce(exact, F.lit(0)) / F.lit(100))
-
-    shared = (
-        lines.join(totals, order).join(headers.select(order, *amounts), order)
-        .select("*", *[share(c).alias(f"{c}_share") for c in amounts])
-    )
-    rest = shared.groupBy(order).agg(
-        F.max("_last").alias(item),
-        *[(F.max(c) - F.sum(f"{c}_share")).alias(f"_{c}_rest") for c in amounts],
+        return F.coalesce(exact, F.lit(0).cast("bigint"))
+
+    freq = lines.groupBy(order, weight).agg(F.count(F.lit(1)).alias("_n"), F.max(item).alias("_last"))
+    totals = freq.groupBy(order).agg(F.sum((F.col(weight) * 100).cast("bigint") * F.col("_n")).alias("_total"), F.max("_last").alias("_last"))
+    heads = totals.join(headers.select(order, *amounts), order)
+    rest = freq.drop("_last").join(heads, order).groupBy(order).agg(
+        F.max("_total").alias("_total"), F.max("_last").alias("_last"), *[F.max(c).alias(c) for c in amounts],
+        *[((F.max(c) * 100).cast("bigint") - F.sum(share(c) * F.col("_n"))).alias(f"_{c}_rest") for c in amounts],
     )
-    fixed = [
-        money(F.col(f"{c}_share") + F.coalesce(F.col(f"_{c}_rest"), F.lit(0))).alias(f"{c}_share") for c in amounts
-    ]
-    return shared.join(rest, [order, item], "left").select(*lines.columns, *fixed)
+    is_last = F.col(item) == F.col("_last")
+    cents = lambda c: share(c) + F.when(is_last, F.col(f"_{c}_rest")).otherwise(F.lit(0).cast("bigint"))
+    return lines.join(rest, order).select(*lines.columns, *[money(cents(c) / F.lit(100)).alias(f"{c}_share") for c in amounts])
 
 
 def union_exchange(returned: DataFrame, substitutes: DataFrame, headers: DataFrame, on: list[str]) -> DataFrame:

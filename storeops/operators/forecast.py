@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from storeops.functions import ols
 from storeops.functions.columns import big, count_big, dbl, divide, percent, ratio, top_per, week_start
 from storeops.operators.market import unit_price_cents
+from storeops.session import materialize
 
 # ---- weekly regression ------------------------------------------------------
 
@@ -34,6 +35,7 @@ def weekly_sales(sales: DataFrame, products: DataFrame, since: str | None = None
 
 def weekly_features(weekly: DataFrame) -> DataFrame:
     """log1p(quantity), weeks since the first week, calendar quarter."""
+    weekly = materialize(weekly.sparkSession, weekly, "weekly")  # one row per category and week
     first = weekly.select(F.min("week_start").alias("v")).scalar()
     t = (F.date_diff(F.col("week_start"), first) / 7).cast("int")
     return weekly.withColumn("y", F.log1p(dbl(F.col("qty")))).withColumn("t", t).withColumn("quarter", F.quarter("week_start"))
@@ -293,6 +295,7 @@ def demand_profile(sales: DataFrame, products: DataFrame) -> DataFrame:
     per = sales.groupBy("product_id", day).agg(F.sum("qty").alias("qty"), count_big().alias("n"))
     cat = products.where(F.col("category").isNotNull()).select("product_id", "category")
     daily = per.join(cat, "product_id").groupBy("category", day).agg(F.sum("qty").alias("qty"), F.sum("n").alias("n"))
+    daily = materialize(sales.sparkSession, daily, "daily")  # one row per category and day
     monthly = daily.groupBy("category", F.trunc("sale_date", "month").alias("month")).agg(dbl(F.sum("qty")).alias("qty"))
     base = monthly.groupBy("category").agg(F.avg("qty").alias("avg"), F.stddev_pop("qty").alias("std"))
     by_month = monthly.groupBy("category", F.month("month").alias("m")).agg(F.avg("qty").alias("v")).join(base, "category")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions.columns import big, count_big, count_where, dbl, divide, percent, ratio, top
 from storeops.functions.pairs import banded_pairs, nearest_k, nearest_other, top_pairs
+from storeops.session import materialize
 
 SEGMENT = ["product_type", "line"]
 
@@ -93,6 +94,7 @@ def cross_sell_pairs(items: DataFrame, k: int = 20) -> DataFrame:
 
 def pair_strength(items: DataFrame, k: int = 20) -> DataFrame:
     """Support, confidence and lift of the cross-sell pairs."""
+    items = materialize(items.sparkSession, items, "basket")
     pairs = cross_sell_pairs(items, k)
     # totals of the items in the k pairs only (k rows are broadcast)
     total = items.select(F.count_distinct("order_no").alias("v")).scalar()
@@ -265,7 +267,7 @@ def price_band_substitutes(products: DataFrame) -> DataFrame:
 def with_nearest(products: DataFrame) -> DataFrame:
     """Each active priced product with its closest cost neighbour in the
     segment and whether that lies within 20 %."""
-    costs = segment_costs(products)
+    costs = materialize(products.sparkSession, segment_costs(products), "segment-costs")  # product level
     near = nearest_other(costs, SEGMENT, "cost", "product_id")
     has = F.coalesce(5 * F.col("n") * F.col("diff") <= F.col("total"), F.lit(False))
     return costs.join(near, "product_id").withColumn("has_substitute", has)
@@ -314,7 +316,7 @@ def dearer_substitutes(products: DataFrame, above: float = 1.10) -> DataFrame:
 
 def substitution_priority(products: DataFrame) -> DataFrame:
     """Best substitute: same supplier first, then another in the band, else escalate."""
-    costs = with_nearest(products)
+    costs = materialize(products.sparkSession, with_nearest(products), "nearest-costs")
     own = nearest_other(costs.where(F.col("supplier_id").isNotNull()), [*SEGMENT, "supplier_id"], "cost", "product_id")
     own = own.select("product_id", F.col("diff").alias("own_diff"), F.col("other").alias("own_id"))
     rows = costs.join(own, "product_id", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions.columns import big, count_big, count_where, dbl, divide, ratio, top, top_per
 from storeops.operators.control import URGENCY_ORDER, urgency_rank
+from storeops.session import materialize
 
 HORIZON = 120
 FLOOR_VELOCITY = 0.0001
@@ -33,8 +34,8 @@ def stock_and_sold(inventory: DataFrame) -> DataFrame:
 
 def velocities(inventory: DataFrame) -> DataFrame:
     """Units per chain selling day, and per observed day with a small floor."""
-    days = observed(inventory)
-    rows = stock_and_sold(inventory).withColumn("selling_days", days.select("selling_days").scalar()).withColumn("all_days", days.select("all_days").scalar())
+    days = observed(inventory).select(F.struct("selling_days", "all_days")).scalar()
+    rows = stock_and_sold(inventory).withColumn("_days", days).select("*", "_days.*")
     return rows.select(
         "product_id", "stock", "sold", "selling_days", "all_days", divide(F.col("sold"), F.col("selling_days")).alias("chain_velocity"),
         F.greatest(divide(F.col("sold"), F.col("all_days")), F.lit(FLOOR_VELOCITY)).alias("velocity"),
@@ -107,7 +108,7 @@ def category_costs(products: DataFrame) -> DataFrame:
 
 def with_cost(rows: DataFrame, products: DataFrame) -> DataFrame:
     """Unit cost: own, else category mean, else mean of the means, else 15."""
-    means = category_costs(products)
+    means = materialize(products.sparkSession, category_costs(products), "category-costs")
     overall = means.select(F.round(dbl(F.avg("category_cost")), 4).cast("decimal(12,4)").alias("v")).scalar()
     own = F.when(F.col("unit_cost") > 0, F.col("unit_cost").cast("decimal(12,4)"))
     joined = rows.join(means, "category", "left").withColumn("_overall", overall)
@@ -167,6 +168,7 @@ def supplier_documents(items: DataFrame, page: int = 50) -> DataFrame:
 def size_rollup(plan: DataFrame, by: str, k: int) -> DataFrame:
     """Quantity per group and size for the ``k`` groups with the largest need."""
     sizes = plan.groupBy(by, "size_code").agg(big(F.sum("stock")).alias("stock"), big(F.sum("quantity")).alias("quantity"), count_big().alias("skus"))
+    sizes = materialize(plan.sparkSession, sizes, "plan-sizes")
     needed = sizes.groupBy(by).agg(F.sum("quantity").alias("total_needed"))
     return sizes.join(F.broadcast(top(needed, k, F.desc("total_needed"), F.asc(by))), by)  # k rows
 
@@ -202,9 +204,10 @@ def category_need(forecast: DataFrame, snapshot: DataFrame, products: DataFrame,
 
 def fallback_rates(rows: DataFrame) -> DataFrame:
     """Rows with velocity and cost filled from the category, then overall mean."""
+    rows = materialize(rows.sparkSession, rows, "supplier-products")  # product level, read three times
     exact = rows.withColumn("v", F.when(F.col("velocity") > 0, F.col("velocity").cast("decimal(18,4)"))).withColumn(
         "c", F.when(F.col("unit_cost") > 0, F.col("unit_cost").cast("decimal(12,2)")))
-    means = category_rates(rows)
+    means = materialize(rows.sparkSession, category_rates(rows), "category-rates")
     overall = lambda c: means.select(F.round(dbl(F.avg(F.col(c).cast("decimal(18,4)"))), 4).alias("m")).scalar()
     joined = exact.join(means, "category", "left").withColumn("ov", overall("category_velocity")).withColumn("oc", overall("category_cost"))
     return joined.withColumn("velocity", F.coalesce(dbl(F.col("v")), "category_velocity", "ov", F.lit(0.02))).withColumn(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from storeops.functions.columns import count_big, dbl, top
-from storeops.operators import control as c, dims, market as mk, stock as k, suppliers as su
+from storeops.operators import control as c, market as mk, stock as k, suppliers as su
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.plans.run_k_stock import snap
@@ -181,7 +181,7 @@ def _(m):
 
 
 def days(m):
-    return dims.calendar(m.date_span)
+    return m.calendar
 
 
 @query("I17_open_orders_per_day", """

@@ -60,7 +60,7 @@ def _(m):
 
 
 def _days(m):
-    return dims.calendar(m.date_span).select(date_key(F.col("day")).alias("date_id"))
+    return m.calendar.select(date_key(F.col("day")).alias("date_id"))
 
 
 def _facts(m):
@@ -153,7 +153,7 @@ def _(m):
 
 @query("Q9_calendar_range", "SELECT 'dim_date' AS table_name, min(day) AS first_day, max(day) AS last_day, count(*) AS days FROM calendar")
 def _(m):
-    return q.date_range("dim_date", dims.calendar(m.date_span), "day")
+    return q.date_range("dim_date", m.calendar, "day")
 
 
 def _outside_sql(name, table, day):
@@ -168,7 +168,7 @@ WITH cal AS (SELECT day FROM calendar WHERE day BETWEEN DATE '1995-02-01' AND DA
                              _outside_sql("fact_purchases", "fact_purchases", "order_date"), _outside_sql("fact_returns", "fact_returns", "exchange_date")]))
 def _(m):
     d = F.col("day")
-    cal = dims.calendar(m.date_span).where(d.between(F.lit("1995-02-01").cast("date"), F.lit("2000-12-31").cast("date")) & (F.dayofmonth(d) != 15))
+    cal = m.calendar.where(d.between(F.lit("1995-02-01").cast("date"), F.lit("2000-12-31").cast("date")) & (F.dayofmonth(d) != 15))
     return q.union_all([
         q.dates_outside("fact_sales", m.fact_sales, "sale_date", cal), q.dates_outside("fact_inventory", m.fact_store_inventory, "move_date", cal),
         q.dates_outside("fact_purchases", m.fact_purchases, "order_date", cal), q.dates_outside("fact_returns", m.fact_returns, "exchange_date", cal),

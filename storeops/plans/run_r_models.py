@@ -6,6 +6,7 @@ from storeops.functions.columns import dbl
 from storeops.operators import elasticity as el, forecast as fc, holidays
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
+from storeops.session import materialize
 
 define("price_months", """
 SELECT category, cast(date_trunc('month', sale_date) AS date) AS month, sum(qty)::double AS qty, cast(sum(net) AS double) / count(*) AS price, count(*) AS transactions,
@@ -110,7 +111,7 @@ FROM (SELECT category, qty, cast((week_start - (SELECT max(week_start) - 182 FRO
 
 
 def given_weekly(m):
-    rows = weekly(m)
+    rows = materialize(m.spark, weekly(m), "weekly")
     last = rows.select(F.max("week_start").alias("v")).scalar()
     ahead = (F.date_diff(F.col("week_start"), F.date_sub(last, 182)) / 7).cast("int")
     return rows.select(
@@ -139,7 +140,8 @@ def demand(m):
 
 
 def grouped(m):
-    return fc.group_rare(demand(m), MAJOR)
+    """Daily demand per forecast group: a small stored series table."""
+    return materialize(m.spark, fc.group_rare(demand(m), MAJOR), "demand")
 
 
 @query("R13_daily_demand", f"""
@@ -190,6 +192,7 @@ WHERE ds > (SELECT max(ds) - 182 FROM grouped_demand)""")
 
 
 def given_forecast(m):
+    """A stored forecast table, as a training run would leave it."""
     rows = grouped(m)
     last = rows.select(F.max("ds").alias("v")).scalar()
     return rows.where(F.col("ds") > F.date_sub(last, 182)).select(

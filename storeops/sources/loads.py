@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import time
 from collections.abc import Callable
 
@@ -34,6 +35,15 @@ def load_tables(
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 
+def store_gold(mart, folder: str) -> DataFrame:
+    """Stores all facts, the large ones partitioned by year; returns the audit."""
+    from storeops.sources.mart import GOLD_FACTS
+
+    day = {"fact_sales": "sale_date", "fact_inventory": "move_date", "fact_store_inventory": "move_date", "fact_purchases": "order_date", "fact_returns": "exchange_date"}
+    steps = {name: getattr(mart, name).withColumn("year", F.year(day[name])) for name in GOLD_FACTS}
+    return load_tables(mart.spark, steps, lambda name: os.path.join(folder, name), {name: ["year"] for name in steps})
+
+
 def register_views(spark: SparkSession, paths: dict[str, str]) -> None:
     for name, path in paths.items():
         spark.read.parquet(path).createOrReplaceTempView(name)

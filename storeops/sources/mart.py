@@ -6,13 +6,15 @@ Each method is a lazy DataFrame.  Derived attributes follow the fixture notes;
 
 from __future__ import annotations
 
+import os
 from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storeops.functions.columns import count_big, date_key, money, scalar_of
+from storeops.functions.columns import count_big, money, scalar_of
+from storeops.session import materialize
 from storeops.sources.tables import read_source
 
 LINE_ORDER = (
@@ -21,14 +23,29 @@ LINE_ORDER = (
 )
 
 
+GOLD_FACTS = ("fact_sales", "fact_inventory", "fact_store_inventory", "fact_purchases", "fact_returns")
+
+
 class Mart:
-    def __init__(self, spark: SparkSession, path: str):
+    """Dimensions and facts below ``path``.
+
+    With ``gold`` set, facts are read from the tables stored there by
+    ``storeops.sources.loads.store_gold``; otherwise each is derived on use.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, gold: str | None = None):
         self.spark = spark
         self.path = path
+        self.gold = gold
 
     def raw(self, name: str) -> DataFrame:
         return read_source(self.spark, self.path, name)
 
+    def __getattribute__(self, name: str):
+        if name in GOLD_FACTS and object.__getattribute__(self, "gold"):
+            return self.spark.read.parquet(os.path.join(self.gold, name))
+        return object.__getattribute__(self, name)
+
     # ---- dimensions ------------------------------------------------------
 
     @cached_property
@@ -82,6 +99,12 @@ class Mart:
         )
         return spans.agg(F.min("a").cast("date").alias("first_day"), F.max("b").cast("date").alias("last_day"))
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """Every day of the span, stored once: checks read it several times."""
+        days = self.date_span.select(F.explode(F.sequence("first_day", "last_day")).alias("day"))
+        return materialize(self.spark, days, "calendar")
+
     # ---- facts -----------------------------------------------------------
 
     @cached_property
@@ -186,5 +209,3 @@ def running_stock(daily: DataFrame, keys: list[str], opening) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("move_date").rowsBetween(Window.unboundedPreceding, 0)
     return daily.withColumn("stock", opening + F.sum(F.col("qty_in") - F.col("qty_sold")).over(w))
 
-
-__all__ = ["Mart", "running_stock", "date_key"]
