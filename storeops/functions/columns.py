@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,27 @@ def money(col: Column) -> Column:
     return col.cast("decimal(12,2)")
 
 
+def cents_of(amount: Column) -> Column:
+    """Whole cents of a DOUBLE amount with two decimals."""
+    return F.rint(amount * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    """Whole cents as DECIMAL(12,2)."""
+    return (cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
+
+
+def money_of(amount: Column) -> Column:
+    """DOUBLE amount with two decimals as DECIMAL(12,2).  Long arithmetic up to
+    the last step costs a fraction of casting each double to a decimal."""
+    return from_cents(cents_of(amount))
+
+
+def percent_of_cents(cents: Column, pct: Column | int) -> Column:
+    """pct percent of non-negative cents, half up, in whole cents."""
+    return F.call_function("div", cents * pct + 50, F.lit(100).cast("bigint"))
+
+
 def dbl(col: Column) -> Column:
     return col.cast("double")
 

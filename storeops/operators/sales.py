@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeops.functions.columns import (
-    big, count_big, dbl, divide, month_key, percent, ratio, top, total,
+    big, count_big, dbl, divide, month_key, month_start, percent, ratio, top, total,
 )
 
 
@@ -64,10 +64,10 @@ def sales_kpis(sales: DataFrame) -> DataFrame:
 
 
 def revenue_by_month(sales: DataFrame) -> DataFrame:
-    day = F.col("sale_date")
-    return sales.groupBy(
-        F.year(day).alias("year"), F.month(day).alias("month"), F.date_format(day, "MMMM").alias("month_name")
-    ).agg(total("net").alias("revenue"))
+    # names are formatted once per month, not once per row
+    m = F.col("m")
+    per = sales.groupBy(month_start(F.col("sale_date")).alias("m")).agg(total("net").alias("revenue"))
+    return per.select(F.year(m).alias("year"), F.month(m).alias("month"), F.date_format(m, "MMMM").alias("month_name"), "revenue")
 
 
 def sales_by_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -81,10 +81,9 @@ def sales_by_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def weekday_profile(sales: DataFrame) -> DataFrame:
-    day = F.col("sale_date")
-    return sales.groupBy(F.dayofweek(day).alias("weekday"), F.date_format(day, "EEEE").alias("weekday_name")).agg(
-        count_big().alias("sales_rows"), total("net").alias("revenue")
-    )
+    per = sales.groupBy(F.dayofweek("sale_date").alias("weekday")).agg(count_big().alias("sales_rows"), total("net").alias("revenue"))
+    sunday = F.lit("2000-01-02").cast("date")
+    return per.withColumn("weekday_name", F.date_format(F.date_add(sunday, F.col("weekday") - 1), "EEEE"))
 
 
 def by_product(sales: DataFrame) -> DataFrame:
@@ -170,18 +169,17 @@ def drill_down(sales: DataFrame, products: DataFrame, stores: DataFrame) -> Data
 
 
 def store_city_month(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    per = sales.groupBy("store_id", F.date_format("sale_date", "yyyy-MM").alias("period")).agg(
+    per = sales.groupBy("store_id", month_start(F.col("sale_date")).alias("period")).agg(
         big(F.sum("qty")).alias("pieces"), total("net").alias("revenue"), count_big().alias("transactions")
-    )
+    ).withColumn("period", F.date_format("period", "yyyy-MM"))
     return per.join(stores, "store_id").drop("store_id")
 
 
 def history_by_month_category(sales: DataFrame, products: DataFrame) -> DataFrame:
     """History by month and category; SKUs counted once per cell."""
-    month = F.col("sale_date")
-    base = sales.groupBy(F.year(month).alias("year"), F.month(month).alias("month"), "product_id").agg(
+    base = sales.groupBy(month_start(F.col("sale_date")).alias("m"), "product_id").agg(
         F.sum("qty").alias("qty"), F.sum("net").alias("net"), count_big().alias("rows")
-    )
+    ).select(F.year("m").alias("year"), F.month("m").alias("month"), "product_id", "qty", "net", "rows")
     return base.join(products, "product_id").groupBy("year", "month", "category").agg(
         big(F.sum("qty")).alias("qty"),
         total("net").alias("revenue"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from storeops.functions import text as t
-from storeops.functions.columns import count_big, count_where, date_key, dbl, money, percent
+from storeops.functions.columns import count_big, count_where, dbl, money, money_of, percent
 from storeops.functions.numbering import dense_ids
 from storeops.operators import dims, facts, holidays, incremental, scd2
 from storeops.plans.oracle import define
@@ -291,7 +291,7 @@ SELECT order_no, item_no, cast(ds AS double) / 100 AS discount_share, cast(ts AS
 def _(m):
     from decimal import Decimal
 
-    price = money(F.col("o_totalprice"))
+    price = money_of(F.col("o_totalprice"))
     headers = m.raw("orders").select(
         F.col("o_orderkey").alias("order_no"), money(price * F.lit(Decimal("0.05"))).alias("discount"), money(price * F.lit(Decimal("0.02"))).alias("tax"),
     )
@@ -308,7 +308,7 @@ SELECT exchange_date, item_kind, returned_id, substitute_id, cast(sum(qty) AS bi
 def _(m):
     part = lambda flag: m.raw("lineitem").where(F.col("l_returnflag") == flag).select(
         F.col("l_orderkey").alias("exchange_id"), F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("qty"),
-        money(F.col("l_extendedprice")).alias("gross"), F.lit(False).alias("is_defect"),
+        money_of(F.col("l_extendedprice")).alias("gross"), F.lit(False).alias("is_defect"),
     )
     headers = m.raw("orders").select(F.col("o_orderkey").alias("exchange_id"), F.col("o_orderdate").cast("date").alias("exchange_date"))
     out = facts.union_exchange(part("R"), part("A"), headers.unionByName(headers), ["exchange_id"])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from storeops.functions.columns import count_big, money
+from storeops.functions.columns import count_big, money_of
 from storeops.operators import receipts as g
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
@@ -17,7 +17,7 @@ def invoices(m):
     key = F.col("o_orderkey")
     return m.raw("orders").select(
         key.alias("order_no"), F.floor(key / 3).alias("number"), F.col("o_orderstatus").alias("series"), (F.col("o_custkey") % 4).alias("supplier_id"),
-        money(F.col("o_totalprice")).alias("value"),
+        money_of(F.col("o_totalprice")).alias("value"),
     )
 
 

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storeops.functions.columns import count_big, money, scalar_of
+from storeops.functions.columns import cents_of, count_big, from_cents, money, money_of, percent_of_cents, scalar_of
 from storeops.session import materialize
 from storeops.sources.tables import read_source
 
@@ -120,7 +120,8 @@ class Mart:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        gross = money(F.col("l_extendedprice"))
+        gross = cents_of(F.col("l_extendedprice"))
+        kept = 100 - cents_of(F.col("l_discount"))
         return self.lines.join(self._tickets, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("o_orderdate").cast("date").alias("sale_date"),
             F.col("c_nationkey").alias("store_id"),
@@ -130,9 +131,9 @@ class Mart:
             F.col("l_orderkey").alias("ticket"),
             F.col("item_no"),
             F.col("l_quantity").cast("int").alias("qty"),
-            gross.alias("gross"),
-            money(gross * (1 - F.col("l_discount").cast("decimal(4,2)"))).alias("net"),
-            money(gross * F.lit(Decimal("0.60"))).alias("cost"),
+            from_cents(gross).alias("gross"),
+            from_cents(percent_of_cents(gross, kept)).alias("net"),
+            from_cents(percent_of_cents(gross, 60)).alias("cost"),
         )
 
     @cached_property
@@ -180,7 +181,7 @@ class Mart:
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("o_orderpriority").alias("order_type"),
             qty.alias("qty"),
-            money(F.col("l_extendedprice")).alias("gross"),
+            money_of(F.col("l_extendedprice")).alias("gross"),
             arrive.alias("days_to_arrive"),
         )
 
@@ -197,7 +198,7 @@ class Mart:
             F.when(~returned, F.col("l_partkey")).alias("substitute_id"),
             F.when(returned, "RETURNED").otherwise("SUBSTITUTE").alias("item_kind"),
             F.col("l_quantity").cast("int").alias("qty"),
-            money(F.col("l_extendedprice")).alias("gross"),
+            money_of(F.col("l_extendedprice")).alias("gross"),
         )
 
 
