@@ -13,11 +13,11 @@ TABLES = (
 ).split()
 
 
-def connect(path: str) -> duckdb.DuckDBPyConnection:
+def connect(path: str, inside: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet{inside}'")
     return con
 
 
