@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -114,8 +114,10 @@ def banded(value: Column, bands: list[tuple[float, str]], last: str) -> Column:
     return F.when(value.isNull(), F.lit(None)).otherwise(expr.otherwise(last))
 
 
-def descending(*names: str) -> list[Column]:
-    return [F.col(n).desc_nulls_last() for n in names]
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A few fixed rows as a JVM-side table."""
+    entries = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def top(df: DataFrame, k: int, *order: Column) -> DataFrame:

@@ -11,11 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeops.functions.columns import big, count_big, count_where, dbl, percent, top, top_per
+from storeops.functions.columns import big, count_big, count_where, dbl, literal_table, percent, top, top_per
 from storeops.operators.market import _int_div
 
 # Replenishment parameters per regime.
-REGIME_COLUMNS = "regime string, target_days int, reorder_days int, lead_days int, lead_spread int, tagging_days int, safety_days int, min_order int, pack int, reorders boolean"
+REGIME_COLUMNS = [
+    "regime", "target_days", "reorder_days", "lead_days", "lead_spread", "tagging_days", "safety_days", "min_order", "pack", "reorders",
+]
 REGIMES = [
     ("commodity", 90, 30, 15, 5, 10, 10, 50, 12, True),
     ("fashion", 14, 7, 10, 5, 10, 3, 10, 6, True),
@@ -56,7 +58,7 @@ def regime(rules: RegimeRules) -> Column:
 
 
 def regime_parameters(spark) -> DataFrame:
-    return spark.createDataFrame(REGIMES, REGIME_COLUMNS)
+    return literal_table(spark, REGIMES, REGIME_COLUMNS)
 
 
 def with_regime(products: DataFrame, rules: RegimeRules) -> DataFrame:
@@ -158,11 +160,13 @@ def without_open_order(alert_rows: DataFrame, purchases: DataFrame) -> DataFrame
     Alerts and order changes of a product are merged by day and the changes
     summed up, instead of a range join between alerts and orders.
     """
-    marks = alert_rows.select("product_id", F.col("alert_date").alias("day")).distinct().withColumn("alert", F.lit(True))
-    merged = marks.join(open_per_product_day(purchases), ["product_id", "day"], "full")
-    w = Window.partitionBy("product_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    state = merged.withColumn("open", F.coalesce(F.sum("change").over(w), F.lit(0))).where(F.col("alert") & (F.col("open") == 0))
-    return alert_rows.join(state.select("product_id", F.col("day").alias("alert_date")), ["product_id", "alert_date"], "left_semi")
+    rows = alert_rows.withColumn("_day", F.col("alert_date")).withColumn("_alert", F.lit(1))
+    steps = open_per_product_day(purchases).withColumnRenamed("day", "_day").withColumn("_alert", F.lit(0))
+    merged = rows.unionByName(steps, allowMissingColumns=True)
+    # per product: at most one change per day, and its alerts
+    w = Window.partitionBy("product_id").orderBy("_day", "_alert").rowsBetween(Window.unboundedPreceding, 0)
+    is_open = F.coalesce(F.sum("change").over(w), F.lit(0)) > 0
+    return merged.withColumn("_open", is_open).where((F.col("_alert") == 1) & ~F.col("_open")).select(*alert_rows.columns)
 
 
 def open_orders_per_day(purchases: DataFrame, days: DataFrame) -> DataFrame:
@@ -196,12 +200,13 @@ def enrich_alerts(alert_rows: DataFrame, products: DataFrame, purchases: DataFra
     orders = receipt_dates(purchases).groupBy("product_id", "order_date", "arrival").agg(F.lit(1).alias("one")).drop("one")
     period = lambda d: F.floor(F.unix_date(d) / max_lead)
     spread = orders.withColumn("period", F.explode(F.array(period("order_date"), period("order_date") + 1)))
-    keys = alert_rows.select("product_id", "alert_date").distinct().withColumn("period", period("alert_date"))
-    met = keys.join(spread, ["product_id", "period"]).where((F.col("order_date") <= F.col("alert_date")) & (F.col("arrival") > F.col("alert_date")))
-    first = met.groupBy("product_id", "alert_date").agg(
-        F.min("arrival").alias("pending_arrival"), F.min(F.struct("arrival", "order_date")).getField("order_date").alias("pending_order_date")
-    )
-    rows = alert_rows.join(products.select("product_id", "article"), "product_id", "left").join(first, ["product_id", "alert_date"], "left")
+    a, o = alert_rows.withColumn("period", period("alert_date")).alias("a"), spread.alias("o")
+    is_open = (F.col("o.order_date") <= F.col("a.alert_date")) & (F.col("o.arrival") > F.col("a.alert_date"))
+    met = a.join(o, (F.col("a.product_id") == F.col("o.product_id")) & (F.col("a.period") == F.col("o.period")) & is_open, "left")
+    first = F.min(F.when(F.col("o.arrival").isNotNull(), F.struct("o.arrival", "o.order_date")))
+    rows = met.groupBy(*[F.col(f"a.{n}").alias(n) for n in alert_rows.columns]).agg(first.alias("_f")).select(
+        *alert_rows.columns, F.col("_f.arrival").alias("pending_arrival"), F.col("_f.order_date").alias("pending_order_date")
+    ).join(products.select("product_id", "article"), "product_id", "left")
     return rows.withColumn("has_pending", F.col("pending_arrival").isNotNull()).withColumn("days_to_arrival", F.date_diff("pending_arrival", "alert_date"))
 
 
@@ -351,10 +356,13 @@ def daily_log(inventory: DataFrame, sales: DataFrame, products: DataFrame, rules
     before = F.lag("stock").over(w)
     is_sale = F.col("qty_sold") > 0
     next_sale = F.min(F.when(is_sale, F.col("move_date"))).over(w.rowsBetween(1, Window.unboundedFollowing))
-    state = sale_day_state(inventory).select("product_id", "move_date", "sold", "records")
-    rows = inventory.select(
-        "product_id", "move_date", "stock", "qty_sold", "qty_in", before.alias("before"), next_sale.alias("next_sale"),
-    ).join(state, ["product_id", "move_date"], "left").join(with_regime(products, rules), "product_id")
+    # velocity of the last 30 sale days: a range over the running number of sales
+    counted = inventory.withColumn("_sales", F.count_if(is_sale).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    last_sales = Window.partitionBy("product_id").orderBy("_sales").rangeBetween(-29, 0)
+    rows = counted.select(
+        "product_id", "move_date", "stock", "qty_sold", "qty_in", before.alias("before"), next_sale.alias("next_sale"), is_sale.alias("is_sale"),
+        F.sum("qty_sold").over(last_sales).alias("sold"), F.count_if(is_sale).over(last_sales).alias("records"),
+    ).join(with_regime(products, rules), "product_id")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
     zero = F.lit(0).cast("bigint")
     slow_from = F.date_add("move_date", SLOW_AFTER)
@@ -362,7 +370,7 @@ def daily_log(inventory: DataFrame, sales: DataFrame, products: DataFrame, rules
     change = lambda day, *vals: F.struct(day.alias("day"), *[big(v).alias(n) for n, v in zip(LOG, vals)])
     moved = change(
         F.col("move_date"), F.col("stock") - F.coalesce(F.col("before"), zero), F.col("qty_sold"), flag((F.col("before") > 0) & (F.col("stock") <= 0)),
-        flag(F.col("qty_in") > 0), flag(F.col("sold").isNotNull() & needs_reorder()), zero,
+        flag(F.col("qty_in") > 0), flag(F.col("is_sale") & needs_reorder()), zero,
     )
     begins = change(slow_from, zero, zero, zero, zero, zero, F.lit(1))
     ends = change(F.col("next_sale"), zero, zero, zero, zero, zero, F.lit(-1))

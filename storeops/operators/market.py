@@ -340,6 +340,7 @@ def stocked_substitutes(products: DataFrame, snapshot: DataFrame, prices: DataFr
     rows = products.select("product_id", "category", "line").join(prices.where(F.col("price") > 0), "product_id").join(
         snapshot.select("product_id", "stock"), "product_id", "left"
     )
+    rows = materialize(products.sparkSession, rows, "priced-products")  # product level, read four times
     near = nearest_k(rows, ["category", "line"], "price", "product_id", F.col("stock") > 0, k)
     me, price = F.col("product_id"), F.col("price")
     fits = F.filter("options", lambda o: (o["id"] != me) & (5 * F.abs(o["value"] - price) < price))

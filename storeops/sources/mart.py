@@ -136,33 +136,30 @@ class Mart:
             from_cents(percent_of_cents(gross, 60)).alias("cost"),
         )
 
-    @cached_property
-    def movements(self) -> DataFrame:
-        """Units in, sold and exchanged per product, store and day.
+    def _moves(self, *extra) -> DataFrame:
+        """Units in, sold and exchanged per product, day and ``extra`` keys.
 
-        Grouped first, so a product that owns most rows reaches later steps
-        with at most one row per store and day.
+        Grouped straight from the lines, so a product that owns most rows
+        reaches later steps with at most one row per day and key.
         """
-        n_store = scalar_of(self.raw("nation"), count_big())
         flag = lambda f: F.sum(F.when(F.col("l_returnflag") == f, F.col("l_quantity").cast("bigint")).otherwise(0))
         return (
             self.raw("lineitem")
             .groupBy(
-                F.col("l_partkey").alias("product_id"),
-                (F.col("l_suppkey") % n_store).cast("int").alias("store_id"),
-                F.col("l_shipdate").cast("date").alias("move_date"),
+                F.col("l_partkey").alias("product_id"), *extra, F.col("l_shipdate").cast("date").alias("move_date"),
             )
             .agg(flag("N").alias("qty_in"), flag("A").alias("qty_sold"), flag("R").alias("qty_exchanged"))
         )
 
+    @cached_property
+    def movements(self) -> DataFrame:
+        n_store = scalar_of(self.raw("nation"), count_big())
+        return self._moves((F.col("l_suppkey") % n_store).cast("int").alias("store_id"))
+
     @cached_property
     def fact_inventory(self) -> DataFrame:
         """Chain stock per product and movement day."""
-        daily = (
-            self.movements.groupBy("product_id", "move_date")
-            .agg(*[F.sum(c).alias(c) for c in ("qty_in", "qty_sold", "qty_exchanged")])
-        )
-        return running_stock(daily, ["product_id"], 50 * (F.col("product_id") % 10))
+        return running_stock(self._moves(), ["product_id"], 50 * (F.col("product_id") % 10))
 
     @cached_property
     def fact_store_inventory(self) -> DataFrame:
