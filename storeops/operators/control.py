@@ -141,7 +141,7 @@ def receipt_state(as_of: str) -> Column:
 
 def receipt_timeline(purchases: DataFrame, as_of: str, on_time_days: int = 45) -> DataFrame:
     return receipt_dates(purchases).select(
-        "order_no", "item_no", "product_id", "supplier_id", "qty", "order_date", "arrival", "in_stock", receipt_state(as_of).alias("state"),
+        "order_no", "line_no", "product_id", "supplier_id", "qty", "order_date", "arrival", "in_stock", receipt_state(as_of).alias("state"),
         (F.col("days_to_arrive") <= on_time_days).alias("on_time"),
     )
 

@@ -56,10 +56,10 @@ FROM day_moves""",
 SELECT *, cast(10 * (product_id % 10) + sum(qty_in - qty_sold) OVER (PARTITION BY product_id, store_id ORDER BY move_date ROWS UNBOUNDED PRECEDING) AS bigint) AS stock
 FROM movements""",
     "fact_purchases": """
-SELECT l_orderkey AS order_no, item_no, c_nationkey AS store_id, l_suppkey AS supplier_id, l_partkey AS product_id,
+SELECT l_orderkey AS order_no, item_no, l_linenumber AS line_no, c_nationkey AS store_id, l_suppkey AS supplier_id, l_partkey AS product_id,
        cast(o_orderdate AS date) AS order_date, o_orderpriority AS order_type, cast(l_quantity AS int) AS qty,
        cast(l_extendedprice AS decimal(12,2)) AS gross,
-       cast(10 + (l_orderkey * 7 + item_no * 3) % 60 AS int) AS days_to_arrive
+       cast(10 + (l_orderkey * 7 + l_linenumber * 3) % 60 AS int) AS days_to_arrive
 FROM lines JOIN tickets ON l_orderkey = o_orderkey""",
     "fact_returns": """
 SELECT l_orderkey AS exchange_id, cast(o_orderdate AS date) AS exchange_date, c_nationkey AS store_id,

@@ -38,10 +38,10 @@ def _(m):
 
 
 # scans: one piece short, a lost line, or a line booked on the next product
-define("scan_expected", "SELECT order_no, product_id, qty, gross AS value, cast(gross / qty AS decimal(20,6)) AS unit_value, item_no FROM fact_purchases")
+define("scan_expected", "SELECT order_no, product_id, qty, gross AS value, cast(gross / qty AS decimal(20,6)) AS unit_value FROM fact_purchases")
 define("scan_actual", """
-SELECT order_no, product_id + CASE WHEN (order_no + item_no) % 41 = 0 THEN 1 ELSE 0 END AS product_id, qty - CASE WHEN (order_no + item_no) % 20 = 0 THEN 1 ELSE 0 END AS qty
-FROM fact_purchases WHERE (order_no + item_no) % 37 <> 0""")
+SELECT order_no, product_id + CASE WHEN (order_no + line_no) % 41 = 0 THEN 1 ELSE 0 END AS product_id, qty - CASE WHEN (order_no + line_no) % 20 = 0 THEN 1 ELSE 0 END AS qty
+FROM fact_purchases WHERE (order_no + line_no) % 37 <> 0""")
 define("conference", """
 SELECT order_no, product_id, expected, value, unit_value, scanned, CASE WHEN scanned IS NULL THEN 'MISSING' WHEN expected IS NULL THEN 'SURPLUS' WHEN expected = scanned THEN 'OK' ELSE 'QUANTITY' END AS result
 FROM (SELECT order_no, product_id, cast(sum(qty) AS bigint) AS expected, sum(value) AS value, max(unit_value) AS unit_value FROM scan_expected GROUP BY 1, 2)
@@ -49,7 +49,7 @@ FULL JOIN (SELECT order_no, product_id, cast(sum(qty) AS bigint) AS scanned FROM
 
 
 def conference(m):
-    mix = F.col("order_no") + F.col("item_no")
+    mix = F.col("order_no") + F.col("line_no")
     expected = m.fact_purchases.select("order_no", "product_id", "qty", F.col("gross").alias("value"), (F.col("gross") / F.col("qty")).cast("decimal(20,6)").alias("unit_value"))
     scanned = m.fact_purchases.where(mix % 37 != 0).select(
         "order_no", (F.col("product_id") + (mix % 41 == 0).cast("int")).alias("product_id"), (F.col("qty") - (mix % 20 == 0).cast("int")).alias("qty")

@@ -146,7 +146,7 @@ def _(m):
 
 
 define("timeline", f"""
-SELECT order_no, item_no, product_id, supplier_id, qty, order_date, cast(order_date + days_to_arrive AS date) AS arrival, cast(order_date + days_to_arrive + 10 AS date) AS in_stock,
+SELECT order_no, line_no, product_id, supplier_id, qty, order_date, cast(order_date + days_to_arrive AS date) AS arrival, cast(order_date + days_to_arrive + 10 AS date) AS in_stock,
   CASE WHEN order_date > DATE '{AS_OF}' THEN 'FUTURE' WHEN order_date + days_to_arrive > DATE '{AS_OF}' THEN 'PENDING' WHEN order_date + days_to_arrive + 10 > DATE '{AS_OF}' THEN 'TAGGING' ELSE 'RECEIVED' END AS state,
   days_to_arrive <= 45 AS on_time FROM fact_purchases""")
 
@@ -336,13 +336,13 @@ def _(m):
 
 
 @query("I27_open_orders", f"""
-SELECT order_no, item_no, product_id, supplier_id, qty, state, cast(CASE state WHEN 'PENDING' THEN arrival ELSE in_stock END - DATE '{AS_OF}' AS int) AS days_remaining
+SELECT order_no, line_no, product_id, supplier_id, qty, state, cast(CASE state WHEN 'PENDING' THEN arrival ELSE in_stock END - DATE '{AS_OF}' AS int) AS days_remaining
 FROM timeline WHERE state IN ('PENDING', 'TAGGING')""")
 def _(m):
     day = F.lit(AS_OF).cast("date")
     rows = c.receipt_timeline(m.fact_purchases, AS_OF).where(F.col("state").isin("PENDING", "TAGGING"))
     until = F.when(F.col("state") == "PENDING", F.col("arrival")).otherwise(F.col("in_stock"))
-    return rows.select("order_no", "item_no", "product_id", "supplier_id", "qty", "state", F.date_diff(until, day).alias("days_remaining"))
+    return rows.select("order_no", "line_no", "product_id", "supplier_id", "qty", "state", F.date_diff(until, day).alias("days_remaining"))
 
 
 @query("I27_top_slow_movers", "SELECT product_id, days_without_sale, stock, discount FROM slow ORDER BY days_without_sale DESC, product_id LIMIT 5")

@@ -109,6 +109,11 @@ class Mart:
 
     @cached_property
     def lines(self) -> DataFrame:
+        """Order lines with a unique item number (``l_linenumber`` repeats).
+
+        Only queries that use ``item_no`` pay for the window; Catalyst drops
+        it from all others.
+        """
         w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
         return self.raw("lineitem").withColumn("item_no", F.row_number().over(w))
 
@@ -168,10 +173,11 @@ class Mart:
     @cached_property
     def fact_purchases(self) -> DataFrame:
         qty = F.col("l_quantity").cast("int")
-        arrive = (10 + (F.col("l_orderkey") * 7 + F.col("item_no") * 3) % 60).cast("int")
+        arrive = (10 + (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 60).cast("int")
         return self.lines.join(self._tickets, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("order_no"),
             F.col("item_no"),
+            F.col("l_linenumber").alias("line_no"),
             F.col("c_nationkey").alias("store_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_partkey").alias("product_id"),

@@ -69,7 +69,7 @@ def test_stock_out_and_restock(spark):
 
 
 def test_open_orders_block_alerts_until_in_stock(spark):
-    orders = spark.createDataFrame([(1, 1, 1, 9, "2020-01-10", 5, 3)], "order_no int, item_no int, product_id int, supplier_id int, order_date string, days_to_arrive int, qty int").withColumn("order_date", F.col("order_date").cast("date"))
+    orders = spark.createDataFrame([(1, 1, 1, 9, "2020-01-10", 5, 3)], "order_no int, line_no int, product_id int, supplier_id int, order_date string, days_to_arrive int, qty int").withColumn("order_date", F.col("order_date").cast("date"))
     days = ["2020-01-09", "2020-01-10", "2020-01-15", "2020-01-24", "2020-01-25"]
     alerts = spark.createDataFrame([(1, d) for d in days], "product_id int, alert_date string").withColumn("alert_date", F.col("alert_date").cast("date"))
     free = sorted(str(r.alert_date) for r in c.without_open_order(alerts, orders).collect())
