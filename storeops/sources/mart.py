@@ -120,8 +120,13 @@ class Mart:
     @cached_property
     def _tickets(self) -> DataFrame:
         """Order header with its store; joined before the lines so that the
-        large side is shuffled once, on the order key."""
-        return self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        large side is shuffled once, on the order key.
+
+        Lines and tickets are both facts.  The merge hint keeps Spark from
+        broadcasting one of them because compressed files look small; AQE
+        still splits a hot order key.
+        """
+        return self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey")).hint("merge")
 
     @cached_property
     def fact_sales(self) -> DataFrame:
