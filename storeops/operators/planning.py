@@ -117,7 +117,12 @@ def with_cost(rows: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def coverage() -> Column:
-    return F.when(F.col("velocity") > FLOOR_VELOCITY, F.round(F.col("stock") / F.col("velocity"), 2)).otherwise(F.lit(NO_STOCK_LIMIT))
+    """Days the stock lasts at units per observed day, two decimals, rounded
+    in whole numbers."""
+    sold = big(F.col("sold"))
+    hundredths = F.call_function("div", 200 * F.abs(F.col("stock")) * F.col("all_days") + sold, F.nullif(2 * sold, F.lit(0).cast("bigint")))
+    days = F.signum(dbl(F.col("stock"))) * hundredths / 100 + 0.0
+    return F.when(F.col("velocity") > FLOOR_VELOCITY, days).otherwise(F.lit(NO_STOCK_LIMIT))
 
 
 def purchase_plan(inventory: DataFrame, products: DataFrame, totals: DataFrame, mapping: dict[str, str]) -> DataFrame:

@@ -90,7 +90,7 @@ def _(m):
 
 
 define("purchase_plan", """
-SELECT s.*, cost, quantity * cost AS value, CASE WHEN velocity > 0.0001 THEN round(stock / velocity, 2) ELSE 999.0::double END AS coverage_days,
+SELECT s.*, cost, quantity * cost AS value, CASE WHEN velocity > 0.0001 THEN sign(stock) * ((200 * abs(stock) * all_days + sold) // (2 * sold))::double / 100 + 0.0::double ELSE 999.0::double END AS coverage_days,
   CASE category WHEN 'LARGE' THEN 'CLOTHING' WHEN 'SMALL' THEN 'JEWELLERY' ELSE 'SUPPLIER' END AS channel
 FROM (SELECT *, cast(greatest(ceil(round(forecast - stock, 6)), 0) AS bigint) AS quantity FROM shares) s JOIN costed USING (product_id) WHERE quantity > 0""")
 
@@ -103,7 +103,7 @@ def channel(m, name):
     return plan(m).where(p.channel(CLOTHING, JEWELLERY) == name)
 
 
-@query("P7_coverage", "SELECT product_id, stock, CASE WHEN velocity > 0.0001 THEN round(stock / velocity, 2) ELSE 999.0::double END AS coverage_days FROM candidates")
+@query("P7_coverage", "SELECT product_id, stock, CASE WHEN velocity > 0.0001 THEN sign(stock) * ((200 * abs(stock) * all_days + sold) // (2 * sold))::double / 100 + 0.0::double ELSE 999.0::double END AS coverage_days FROM candidates")
 def _(m):
     return rows(m).select("product_id", "stock", p.coverage().alias("coverage_days"))
 
