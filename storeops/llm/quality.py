@@ -22,7 +22,7 @@ COMMON = {
 WINDOW = 5
 MIN_WORDS = 10  # below this the base rule rejects
 MAX_REPEAT = 20  # percent of words in repeated windows
-GUARD_CHARS = 200  # shorter texts are not judged by their characters ...
+GUARD_CHARS = 400  # shorter texts are not judged by their characters ...
 GUARD_WORDS = 50  # ... or by their words
 MAX_CHAR_DISTANCE = 0.35
 MAX_WORD_DISTANCE = 0.60

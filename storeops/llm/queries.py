@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm import licenses, mixing, quality, sharding
+from storeops.llm import licenses, mixing, packing, quality, sharding, topk, toxicity
 from storeops.llm.common import table
 
 
+def rank_file() -> str:
+    """Rank form of the vocabulary in byte_bpe_50k.json."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -29,10 +36,27 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), rank_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_source_mixing": op7_source_mixing,
     "op9_license_scan": op9_license_scan,
+    "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mixing.oracle()}
+ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": topk.oracle(), "op7_source_mixing": mixing.oracle()}
