@@ -54,13 +54,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     def scored(q: pd.DataFrame, r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return matrix(q["v"]) @ matrix(r["r_v"]).T, q["id"].to_numpy()[:, None] != r["r_id"].to_numpy()[None, :]
 
-    def counter(width: int):
+    def counter(span: int, width: int):
         def count(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
             if not len(q) or not len(r):
                 return pd.DataFrame({"id": [], "dim": [], "bin": [], "n": []})
             s, other = scored(q, r)
-            bins = np.floor_divide(s - q["low"].to_numpy()[:, None], width)
-            inside = other & (bins >= 0) & (bins < BINS)
+            above = s - q["low"].to_numpy()[:, None]
+            inside = other & (above >= 0) & (above < span)
+            bins = np.floor_divide(above, width)
             flat = (np.arange(len(q))[:, None] * BINS + bins)[inside].astype(np.int64)
             found, n = np.unique(flat, return_counts=True)
             return pd.DataFrame({"id": q["id"].to_numpy()[found // BINS], "dim": q["dim"].iloc[0], "bin": found % BINS, "n": n})
@@ -69,9 +70,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     width, state = 2 * bound + 1, asked.select("id", "dim", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need"))
     while width > 1:
-        width = -(-width // BINS)
+        span, width = width, -(-width // BINS)
 
-        hist = left(state).cogroup(right).applyInPandas(counter(width), "id long, dim int, bin int, n long").groupBy("id", "dim", "bin").agg(F.sum("n").alias("n"))
+        hist = left(state).cogroup(right).applyInPandas(counter(span, width), "id long, dim int, bin int, n long").groupBy("id", "dim", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id", "dim").orderBy(F.col("bin").desc())
         # the bin in which the count from above reaches what is still needed; with fewer rows than that, the range's foot
         reached = (
@@ -103,8 +104,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 def oracle(k: int = 5) -> str:
     return f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
