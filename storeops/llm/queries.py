@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm import licenses, mixing, packing, quality, sharding, topk, toxicity
+from storeops.llm import licenses, mixing, neardup, packing, quality, sharding, topk, toxicity
 from storeops.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op6_exact_top_k": op6_exact_top_k,
