@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm import licenses, mixing, neardup, packing, quality, sharding, topk, toxicity
+from storeops.llm import bwt, licenses, mixing, neardup, packing, quality, sharding, substrings, topk, toxicity
 from storeops.llm.common import table
 
 
@@ -46,6 +46,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_passages(table(spark, sf_dir, "documents")))
+
+
+def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.remove_strings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
@@ -55,13 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_sharding": op1_sharding,
-    "op2_minhash_near_dedup": op2_minhash_near_dedup,
-    "op3_quality_rules": op3_quality_rules,
-    "op4_toxicity": op4_toxicity,
-    "op6_exact_top_k": op6_exact_top_k,
-    "op7_source_mixing": op7_source_mixing,
-    "op9_license_scan": op9_license_scan,
-    "op10_packing": op10_packing,
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_minhash_near_dedup, op3_quality_rules, op4_toxicity, op5_substring_dedup,
+        op6_exact_top_k, op7_source_mixing, op8_bwt_dedup, op9_license_scan, op10_packing,
+    )
 }
 ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": topk.oracle(), "op7_source_mixing": mixing.oracle()}

@@ -82,7 +82,7 @@ class Model:
         slot = np.searchsorted(self.chosen, bucket)
         slot[slot == len(self.chosen)] = 0
         known = self.chosen[slot] == bucket if len(self.chosen) else np.zeros(len(bucket), bool)
-        z = np.bincount(owner[known], self.weights[slot[known]], len(texts))
+        z = np.bincount(owner[known], self.weights[slot[known]], len(texts)).astype(np.float64)
         z += self.weights[-2] * np.log1p(n) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
