@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeops.llm.common import WORD, whole
+from storeops.llm.common import WORD, store, whole
 
 WEIGHTS = (5, 2, 1)  # given to the sources in order, repeating
 SHARE = 1.5  # words of the mix over words of the input
 CAP = 2.0  # no source is repeated more often than this
 SEED = "mix"
+FEW_SOURCES = 50_000  # rate tables up to this size are broadcast
 
 
 def n_words(text: Column) -> Column:
@@ -71,7 +72,9 @@ def mix(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
     rates = targets.select(
         F.col("source").alias("_of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_rate")
     )
-    # at most two copies: a row stays beside its texts, so only the small rate table moves
+    rates = store(rates, "mix_rates")
+    if rates.count() <= FEW_SOURCES:  # texts stay where they are; beyond this the join is left to Spark
+        rates = F.broadcast(rates)
     drawn = F.when(unit_hash(F.col("doc_id"), seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
     return (
         docs.join(rates, F.col("source").eqNullSafe(F.col("_of")))

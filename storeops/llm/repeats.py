@@ -237,13 +237,15 @@ def matched(cut: DataFrame, match: Match, unit_bytes: int) -> DataFrame:
     return distinct.repartition("h").sortWithinPartitions("h", "c").mapInArrow(run, "h long, c long, mins array<long>")
 
 
-def removals(docs: DataFrame, unit: Unit, match: Match) -> DataFrame:
-    """``docs`` columns doc_id and text, with ``copy`` (an exact copy of an earlier text) and ``spans``, the merged unit ranges to remove.
+def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` columns doc_id, text (null read as empty) and ``extra`` (given as x_0, x_1 and so on), with ``copy`` (an exact copy of an earlier text) and ``spans``, the merged unit ranges to remove.
 
     Null and empty texts have no windows.  A row without id has no smaller and no larger one, so it is neither compared
     nor cut.  Rows that repeat an id and text are one document: each keeps what the first keeps.
     """
-    base = docs.select("doc_id", whole("text").alias("text"))
+    more = [F.col(c).alias(f"x_{i}") for i, c in enumerate(extra)]
+    carried = docs.select("doc_id", whole("text").alias("text"), *more)
+    base = carried.select("doc_id", "text")
     marked = base.withColumn("ident", F.hash("text"))
     prints = base.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("p"), F.crc32(F.col("text").cast("binary")).alias("q"), F.octet_length("text").alias("n"))
     firsts = prints.groupBy("p", "q", "n").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("most")).where("lead <> most")
@@ -261,7 +263,9 @@ def removals(docs: DataFrame, unit: Unit, match: Match) -> DataFrame:
     # runs of windows, so that a document's list stays short: first and last window of each segment's hits
     flat = hit.groupBy("doc").agg(F.flatten(F.collect_list("at")).alias("at"))
     state = flat.join(copies.select(F.col("doc_id").alias("doc"), F.lit(True).alias("copy")), "doc", "full")
-    return base.join(state, base["doc_id"] == state["doc"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "at")
+    return carried.join(state, carried["doc_id"] == state["doc"], "left").select(
+        "doc_id", "text", *[f"x_{i}" for i in range(len(extra))], F.coalesce("copy", F.lit(False)).alias("copy"), "at"
+    )
 
 
 def spans(at: list[int] | None, width: int) -> tuple[np.ndarray, np.ndarray]:

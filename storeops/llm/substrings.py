@@ -7,7 +7,6 @@ through the automaton gives, at each word, the longest match and the smallest do
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,9 +96,11 @@ def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     return [shard.windows(words, LENGTH) for words in texts]
 
 
-def remove_passages(docs: DataFrame) -> DataFrame:
+def remove_passages(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one space), per row of ``docs`` (doc_id, text).
 
+    The columns ``extra`` of ``docs`` follow under the names x_0, x_1 and so on.
+
     A word goes if a 13-word window over it also starts in a document with a smaller doc_id.  A null, empty or blank text
     has no words and keeps the empty string; a row without id keeps all its words; repeated rows agree.
     """
@@ -124,13 +125,14 @@ def remove_passages(docs: DataFrame) -> DataFrame:
                     counts.append(hi - lo)
                     removed.append(hi - lo - len(of))
                     kept.append(b" ".join([raw[x:y] for x, y in zip(w.start[of].tolist(), w.end[of].tolist())]).decode())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-    return removals(docs, WORDS, match).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
-
-
-def sha256(text: bytes) -> str:
-    return hashlib.sha256(text).hexdigest()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), *[batch.column(c) for c in names]],
+                ["doc_id", "n_words", "n_removed", "kept", *names],
+            )
+
+    names = [f"x_{i}" for i in range(len(extra))]
+    schema = ", ".join(["doc_id long, n_words long, n_removed long, kept string", *[f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, extra)]])
+    return removals(docs, WORDS, match, extra).mapInArrow(run, schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:

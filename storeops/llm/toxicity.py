@@ -121,20 +121,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     return Model(chosen, nnpu(x, positive, prior))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns of ``docs`` (doc_id by default) and score.
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` (doc_id by default) and the score under ``name``.
 
     Every row is scored by its whole text alone, so repeated rows agree; a null or empty text has no features and scores
-    by bias.  Columns named text and score among the others must be left out of ``keep``.
+    by bias.  Choose ``name`` apart from the kept columns.
     """
     keep = keep or ["doc_id"]
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["score double"])
+    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"`{name}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, texts in text_chunks(batch):
                 part = batch.slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(model.score(texts))], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(model.score(texts))], [*keep, name])
 
     wanted = list(dict.fromkeys([*keep, "text"]))
     return docs.select(*wanted).mapInArrow(run, schema)
