@@ -177,11 +177,14 @@ def shared_anchors(texts: DataFrame, unit: Unit, buckets: int) -> DataFrame:
 
 
 def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
-    """(h, c, doc, start, windows, body) for every segment of a document at one of its shared anchors; c tells bodies apart."""
+    """(h, c, doc, start, windows, body) for every segment of a document at one of its shared anchors.
+
+    c tells bodies apart; a body comes with the smallest document of each batch that has it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists = batch.column("doc_id").to_numpy(), batch.column("hs").to_pylist()
+            ids, lists, found = batch.column("doc_id").to_numpy(), batch.column("hs").to_pylist(), []
             for a, b, part in text_lists(batch):
                 units, first, grams = unit.of(part, unit.k)
                 h, text, begin, count = segments(unit, first, grams)
@@ -193,10 +196,19 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
                 c = prefix.of(begin * units.itemsize, end * units.itemsize)
                 raw, size = units.tobytes(), units.itemsize
                 bodies = [raw[x * size : y * size] for x, y in zip(begin.tolist(), end.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[a:b][text]), pa.array((begin - first[text]).astype(np.int64)), pa.array(count), pa.array(bodies, pa.binary())],
-                    ["h", "c", "doc", "start", "windows", "body"],
-                )
+                found.append((h, c, ids[a:b][text], begin - first[text], count, bodies))
+            if not found:
+                continue
+            h, c, doc, start, count = (np.concatenate(x) for x in list(zip(*found))[:5])
+            # equal segments of a batch send their body once, with the smallest document
+            key = h * np.uint64(0x9E3779B97F4A7C15) + c
+            order = np.lexsort((doc, key))
+            again = np.zeros(len(h), bool)
+            again[order[1:]] = key[order[1:]] == key[order[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array(count), pa.array([x for f in found for x in f[5]], pa.binary(), mask=again)],
+                ["h", "c", "doc", "start", "windows", "body"],
+            )
 
     listed = wanted.groupBy("doc").agg(F.collect_set("h").alias("hs"))
     return texts.join(listed, texts["doc_id"] == listed["doc"]).select("doc_id", "text", "hs").mapInArrow(
@@ -207,7 +219,7 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
 Match = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
 
-def matched(cut: DataFrame, match: Match, unit_bytes: int) -> DataFrame:
+def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFrame:
     """(h, c, mins): for each distinct segment the smallest doc_id of each of its windows; anchors are dealt in shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +227,12 @@ def matched(cut: DataFrame, match: Match, unit_bytes: int) -> DataFrame:
 
         def flush(upto: int) -> Iterator[pa.RecordBatch]:
             part, rows[:] = rows[:upto], rows[upto:]
-            mins = match([r[3] for r in part], np.array([r[2] for r in part], np.int64))
+            anchor = [r[0] for r in part]
+            # a segment alone at its anchor meets no other text: the first document that has it has all its windows
+            alone = [not (i and anchor[i - 1] == x) and not (i + 1 < len(part) and anchor[i + 1] == x) for i, x in enumerate(anchor)]
+            rest = [r for r, x in zip(part, alone) if not x]
+            compared = iter(match([r[3] for r in rest], np.array([r[2] for r in rest], np.int64)) if rest else [])
+            mins = [np.full(len(r[3]) // unit_bytes - unit.width + 1, r[2]) if x else next(compared) for r, x in zip(part, alone)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([m.tolist() for m in mins], pa.list_(pa.int64()))], ["h", "c", "mins"]
             )
@@ -223,6 +240,8 @@ def matched(cut: DataFrame, match: Match, unit_bytes: int) -> DataFrame:
         held, last = 0, 0  # units held, and where the last anchor begins
         for batch in batches:
             for r in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "doc", "body")]):
+                if rows and rows[-1][:2] == r[:2]:
+                    continue  # the same segment from another batch
                 if rows and rows[-1][0] != r[0]:
                     last = len(rows)
                     if held >= SHARD_UNITS:
@@ -233,8 +252,8 @@ def matched(cut: DataFrame, match: Match, unit_bytes: int) -> DataFrame:
         if rows:
             yield from flush(len(rows))
 
-    distinct = cut.groupBy("h", "c").agg(F.min("doc").alias("doc"), F.first("body").alias("body"))
-    return distinct.repartition("h").sortWithinPartitions("h", "c").mapInArrow(run, "h long, c long, mins array<long>")
+    bodies = cut.where("body is not null").select("h", "c", "doc", "body")
+    return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, mins array<long>")
 
 
 def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -255,7 +274,7 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     wanted = shared_anchors(usable, unit, max(1, -(-total // BUCKET_BYTES))).join(copies.withColumnRenamed("doc_id", "doc"), "doc", "left_anti")
     unit_bytes = 8 if unit is WORDS else 1
     cut = store(cut_segments(base.where("doc_id is not null"), wanted, unit), "segments")
-    mins = matched(cut, match, unit_bytes)
+    mins = matched(cut, match, unit, unit_bytes)
     # positions of the windows that start in an earlier document
     hit = cut.select("h", "c", "doc", "start").join(mins, ["h", "c"]).select(
         "doc", F.transform(F.filter(F.transform("mins", lambda m, i: F.struct(m.alias("m"), i.alias("i"))), lambda x: x["m"] < F.col("doc")), lambda x: F.col("start") + x["i"]).alias("at")
