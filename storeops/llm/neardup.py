@@ -49,8 +49,11 @@ def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
 def registers(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """SetSketch registers of non-empty sets, each beginning at one of ``starts``."""
     out = np.empty((len(starts), M), np.uint16)
+    scratch = np.empty_like(values)
     for i in range(M):
-        least = np.minimum.reduceat((values ^ _XOR[i]) * _ODD[i], starts)
+        np.bitwise_xor(values, _XOR[i], out=scratch)
+        np.multiply(scratch, _ODD[i], out=scratch)
+        least = np.minimum.reduceat(scratch, starts)
         x = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64) / A
         out[:, i] = np.clip(np.floor(1 - np.log(x) / np.log(B)), 0, Q + 1)
     return out
