@@ -17,6 +17,11 @@ def to_int(col: Column) -> Column:
     return blank_to_null(col).try_cast("int")
 
 
+def to_key(col: Column) -> Column:
+    """Key columns are wide: a source code may exceed 32 bits."""
+    return blank_to_null(col).try_cast("bigint")
+
+
 def to_money(col: Column) -> Column:
     return blank_to_null(col).try_cast("decimal(12,2)")
 
@@ -39,13 +44,13 @@ def zero_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(0))
 
 
-_CASTS = {"int": to_int, "money": to_money, "date": to_date, "date_key": to_date_key, "flag": to_flag}
+_CASTS = {"int": to_int, "key": to_key, "money": to_money, "date": to_date, "date_key": to_date_key, "flag": to_flag}
 
 
 def typed(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Typed projection of a TEXT table.
 
-    ``spec`` maps column name to int, money, date, date_key, flag or text;
+    ``spec`` maps column name to int, key, money, date, date_key, flag or text;
     columns outside the spec are dropped.
     """
     return df.select(
@@ -55,7 +60,7 @@ def typed(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 
 def rejects(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Per column: blanks and values that cannot be cast, in one pass."""
-    checked = [n for n, kind in spec.items() if kind in ("int", "money", "date")]
+    checked = [n for n, kind in spec.items() if kind in ("int", "key", "money", "date")]
     aggs = []
     for n in checked:
         raw = blank_to_null(F.col(n))

@@ -191,18 +191,23 @@ def expected_arrivals(alert_rows: DataFrame, tiers: DataFrame) -> DataFrame:
     ).drop("lead_mean", "lead_days")
 
 
-def enrich_alerts(alert_rows: DataFrame, products: DataFrame, purchases: DataFrame, max_lead: int) -> DataFrame:
+def enrich_alerts(alert_rows: DataFrame, products: DataFrame, purchases: DataFrame) -> DataFrame:
     """Product name and earliest pending arrival on the alert day.
 
-    No order is open longer than ``max_lead`` days, so alerts meet only the
-    orders of their own and the previous period of that length.
+    Orders are classed by the power of two that their open days reach, so each
+    lies in at most two periods of its class's length; alerts look into their
+    own period of every class present.  One very long order adds one class.
     """
     orders = receipt_dates(purchases).groupBy("product_id", "order_date", "arrival").agg(F.lit(1).alias("one")).drop("one")
-    period = lambda d: F.floor(F.unix_date(d) / max_lead)
+    orders = orders.where(F.col("arrival") > F.col("order_date"))
+    orders = orders.withColumn("class", F.ceil(F.log2(F.date_diff("arrival", "order_date").cast("double"))).cast("int"))
+    period = lambda d: F.floor(F.unix_date(d) / F.pow(F.lit(2.0), F.col("class")))
     spread = orders.withColumn("period", F.explode(F.array(period("order_date"), period("order_date") + 1)))
-    a, o = alert_rows.withColumn("period", period("alert_date")).alias("a"), spread.alias("o")
+    classes = orders.select(F.collect_set("class").alias("v")).scalar()
+    asked = alert_rows.withColumn("class", F.explode_outer(classes))
+    a, o = asked.withColumn("period", period("alert_date")).alias("a"), spread.alias("o")
     is_open = (F.col("o.order_date") <= F.col("a.alert_date")) & (F.col("o.arrival") > F.col("a.alert_date"))
-    met = a.join(o, (F.col("a.product_id") == F.col("o.product_id")) & (F.col("a.period") == F.col("o.period")) & is_open, "left")
+    met = a.join(o, (F.col("a.product_id") == F.col("o.product_id")) & (F.col("a.class") == F.col("o.class")) & (F.col("a.period") == F.col("o.period")) & is_open, "left")
     first = F.min(F.when(F.col("o.arrival").isNotNull(), F.struct("o.arrival", "o.order_date")))
     rows = met.groupBy(*[F.col(f"a.{n}").alias(n) for n in alert_rows.columns]).agg(first.alias("_f")).select(
         *alert_rows.columns, F.col("_f.arrival").alias("pending_arrival"), F.col("_f.order_date").alias("pending_order_date")

@@ -109,7 +109,7 @@ def pair_strength(items: DataFrame, k: int = 20) -> DataFrame:
         "type_a", "line_a", "supplier_a", "type_b", "line_b", "supplier_b", "orders",
         F.round(divide(F.col("orders"), F.col("all_orders")), 6).alias("support"),
         ratio(F.col("orders"), F.col("orders_a")).alias("confidence"),
-        F.round(dbl(F.col("orders") * F.col("all_orders")) / dbl(F.col("orders_a") * F.col("orders_b")), 4).alias("lift"),
+        F.round(dbl(F.col("orders")) * dbl(F.col("all_orders")) / (dbl(F.col("orders_a")) * dbl(F.col("orders_b"))), 4).alias("lift"),
     )
 
 

@@ -181,8 +181,8 @@ def without_header(items: DataFrame, headers: DataFrame, on: list[str]) -> DataF
     return items.join(headers.select(*on), on, "left_anti")
 
 
-def placeholder_dates(name: str, fact: DataFrame, day: str, placeholder: str) -> DataFrame:
-    return fact.agg(count_big().alias("total_rows"), count_where(F.col(day) == F.lit(placeholder).cast("date")).alias("placeholder_rows")).select(
+def placeholder_dates(name: str, fact: DataFrame, day: str, placeholder: Column) -> DataFrame:
+    return fact.agg(count_big().alias("total_rows"), count_where(F.col(day) == placeholder).alias("placeholder_rows")).select(
         F.lit(name).alias("check_name"), "total_rows", "placeholder_rows"
     )
 

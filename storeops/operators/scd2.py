@@ -22,8 +22,11 @@ def apply_changes(current: DataFrame, incoming: DataFrame, bk: list[str], attrs:
 
     One shuffle: open versions and incoming rows meet in a full outer join and
     every pair expands to the zero, one or two versions it leaves behind.
-    Closed history passes through.
+    Closed history passes through.  A change on the day a version opened
+    replaces that version; of several incoming rows of a key the one with the
+    largest attributes counts.
     """
+    incoming = incoming.groupBy(*bk).agg(F.max(F.struct(*attrs)).alias("v")).select(*bk, "v.*")
     day = F.lit(as_of).cast("date")
     fields = [*bk, *attrs, "valid_from", "valid_to", "is_current", "change_hash"]
     history = current.where(F.col("valid_to").isNotNull()).select(*fields)
@@ -33,7 +36,8 @@ def apply_changes(current: DataFrame, incoming: DataFrame, bk: list[str], attrs:
     changed = F.col("old").isNotNull() & F.col("new").isNotNull() & (F.col("old.change_hash") != F.col("new.change_hash"))
     closed = F.col("old").withField("valid_to", F.date_sub(day, 1)).withField("is_current", F.lit(False))
     kept = (
-        F.when(changed, F.array(closed, F.col("new")))
+        F.when(changed & (F.col("old.valid_from") >= day), F.array("new"))
+        .when(changed, F.array(closed, F.col("new")))
         .when(F.col("old").isNull(), F.array("new"))
         .otherwise(F.array("old"))
     )

@@ -317,15 +317,15 @@ def _(m):
 
 @query("E19_replace_partitions", """
 SELECT cast(year(move_date) AS int) AS move_year, count(*) AS row_count,
-       cast(sum(qty_in) AS bigint) AS qty_in, cast(sum(CASE WHEN year(move_date) = 1997 THEN 2 ELSE 1 END * qty_sold) AS bigint) AS qty_sold
+       cast(sum(qty_in) AS bigint) AS qty_in, cast(sum(CASE WHEN year(move_date) = 1997 AND month(move_date) = 3 THEN 2 ELSE 1 END * qty_sold) AS bigint) AS qty_sold
 FROM movements GROUP BY 1""")
 def _(m):
     path = work_path(m.spark, "inventory")
     year = F.year("move_date")
     incremental.replace_partitions(m.movements.withColumn("move_year", year), path, "move_year")
-    corrected = m.movements.where(year == 1997).withColumn("qty_sold", F.col("qty_sold") * 2).withColumn("move_year", year)
-    incremental.replace_partitions(corrected, path, "move_year")
-    incremental.replace_partitions(corrected, path, "move_year")  # repeatable
+    corrected = m.movements.where((year == 1997) & (F.month("move_date") == 3)).withColumn("qty_sold", F.col("qty_sold") * 2).withColumn("move_year", year)
+    incremental.replace_days(corrected, path, "move_date", "move_year")
+    incremental.replace_days(corrected, path, "move_date", "move_year")  # repeatable
     return m.spark.read.parquet(path).groupBy("move_year").agg(
         count_big().alias("row_count"), F.sum("qty_in").alias("qty_in"), F.sum("qty_sold").alias("qty_sold")
     )

@@ -99,18 +99,18 @@ def _(m):
 
 
 @query("T1_stream_replace", """
-SELECT cast(year(move_date) AS int) AS move_year, count(*) AS row_count, cast(sum(CASE WHEN year(move_date) = 1999 THEN qty_sold + 1 ELSE qty_sold END) AS bigint) AS qty_sold FROM movements GROUP BY 1""")
+SELECT cast(year(move_date) AS int) AS move_year, count(*) AS row_count, cast(sum(CASE WHEN year(move_date) = 1999 AND month(move_date) = 3 THEN qty_sold + 1 ELSE qty_sold END) AS bigint) AS qty_sold FROM movements GROUP BY 1""")
 def _(m):
     landing, table, progress = (work_path(m.spark, n) for n in ("landing", "stream-inventory", "stream-progress"))
-    rows = m.movements.withColumn("move_year", F.year("move_date"))
-    # a partition value arrives in one file set: first load, then a correction
-    rows.repartition("move_year").write.mode("append").parquet(landing)
-    run = lambda: loads.load_partitions(loads.file_stream(m.spark, landing, rows.schema), table, "move_year", progress)
+    rows = m.movements.withColumn("delivery", F.lit(1))
+    # days are spread over files and batches: first load, then a correction of one month
+    rows.write.mode("append").parquet(landing)
+    run = lambda: loads.load_days(loads.file_stream(m.spark, landing, rows.schema, 4), table, "delivery", progress)
     run()
-    fixed = rows.where(F.col("move_year") == 1999).withColumn("qty_sold", F.col("qty_sold") + 1)
-    fixed.coalesce(1).write.mode("append").parquet(landing)
+    march = (F.year("move_date") == 1999) & (F.month("move_date") == 3)
+    rows.where(march).withColumn("qty_sold", F.col("qty_sold") + 1).withColumn("delivery", F.lit(2)).write.mode("append").parquet(landing)
     run()
-    return m.spark.read.parquet(table).groupBy("move_year").agg(count_big().alias("row_count"), F.sum("qty_sold").alias("qty_sold"))
+    return loads.latest_days(m.spark.read.parquet(table), "move_date", "delivery").groupBy(F.year("move_date").alias("move_year")).agg(count_big().alias("row_count"), F.sum("qty_sold").alias("qty_sold"))
 
 
 @query("T2_stream_dedup", "SELECT event_type, count(DISTINCT event_id) AS scans FROM events GROUP BY 1")

@@ -248,7 +248,6 @@ def _(m):
     return c.regime_distribution(m.dim_product, RULES)
 
 
-MAX_LEAD = 69
 define("scored_alerts", """
 WITH o AS (SELECT a.product_id, a.alert_date, min(arrival) AS pending_arrival, min(order_date) FILTER (arrival = best) AS pending_order_date FROM (
   SELECT a.product_id, a.alert_date, arrival, order_date, min(arrival) OVER (PARTITION BY a.product_id, a.alert_date) AS best
@@ -261,7 +260,7 @@ FROM timed_alerts t JOIN dim_product p USING (product_id) LEFT JOIN o USING (pro
 
 
 def scored(m):
-    rows = c.enrich_alerts(c.expected_arrivals(alerts(m), tiers(m)), m.dim_product, m.fact_purchases, MAX_LEAD)
+    rows = c.enrich_alerts(c.expected_arrivals(alerts(m), tiers(m)), m.dim_product, m.fact_purchases)
     return rows.withColumn("risk", c.risk_score()).withColumn("in_time", c.arrives_in_time())
 
 

@@ -157,13 +157,13 @@ def _(m):
 
 
 define("short_demand", """
-SELECT category, move_date AS ds, cast(sum(qty_sold) AS bigint) AS y FROM movements JOIN dim_product USING (product_id) WHERE qty_sold > 0 AND store_id = 7 GROUP BY 1, 2""")
+SELECT category, move_date AS ds, cast(sum(qty_sold) AS bigint) AS y FROM movements JOIN dim_product USING (product_id) WHERE qty_sold > 0 GROUP BY 1, 2""")
 
 
 @query("R15_long_series", """
-SELECT category, count(*) AS days FROM short_demand GROUP BY 1 HAVING count(*) >= 130""")
+SELECT category, count(*) AS days FROM short_demand GROUP BY 1 HAVING count(*) >= 30""")
 def _(m):
-    rows = fc.long_enough(fc.daily_demand(m.movements, m.dim_product, [7]), 130)
+    rows = fc.long_enough(fc.daily_demand(m.movements, m.dim_product), 30)
     return rows.groupBy("category").agg(F.count(F.lit(1)).alias("days"))
 
 
@@ -175,12 +175,11 @@ def _(m):
 
 @query("R17_zero_filled_months", """
 WITH s AS (SELECT category, cast(date_trunc('month', sale_date) AS date) AS month, cast(sum(qty) AS bigint) AS qty FROM fact_sales JOIN dim_product USING (product_id)
-  WHERE month(sale_date) NOT IN (2, 7) GROUP BY 1, 2),
+  GROUP BY 1, 2),
 g AS (SELECT category, cast(unnest(generate_series(min(month)::timestamp, max(month)::timestamp, INTERVAL 1 MONTH)) AS date) AS month FROM s GROUP BY category)
 SELECT category, month, cast(coalesce(qty, 0) AS bigint) AS qty FROM g LEFT JOIN s USING (category, month)""")
 def _(m):
-    kept = m.fact_sales.where(~F.month("sale_date").isin(2, 7))
-    per = kept.groupBy("product_id", F.trunc("sale_date", "month").alias("month")).agg(F.sum("qty").alias("qty"))
+    per = m.fact_sales.groupBy("product_id", F.trunc("sale_date", "month").alias("month")).agg(F.sum("qty").alias("qty"))
     monthly = per.join(m.dim_product, "product_id").groupBy("category", "month").agg(F.sum("qty").alias("qty"))
     return fc.zero_filled_months(monthly)
 
@@ -272,7 +271,7 @@ WITH p AS (SELECT category, cast(datediff('month', min(ds), max(ds)) - CASE WHEN
 SELECT *, CASE WHEN months < 6 THEN 'MOVING AVERAGE' WHEN months < 12 THEN 'REGRESSION' WHEN months < 36 THEN 'SEASONAL' ELSE 'SEASONAL OR MACHINE LEARNING' END AS by_history,
  CASE WHEN rows < 1000 THEN 'SIMPLE REGRESSION' WHEN rows < 50000 THEN 'REGRESSION' WHEN rows < 500000 THEN 'SEASONAL' ELSE 'SEASONAL OR MACHINE LEARNING' END AS by_rows FROM p""")
 def _(m):
-    return fc.choose_method(fc.daily_demand(m.movements, m.dim_product, [7]))
+    return fc.choose_method(fc.daily_demand(m.movements, m.dim_product))
 
 
 @query("R26_moving_average", """

@@ -13,15 +13,14 @@ from storeops.sources import loads, raw_text, tables
 define("text_lines", raw_text.TEXT_LINES_SQL)
 define("text_orders", raw_text.TEXT_ORDERS_SQL)
 
-LINE_SPEC = {"order_code": "int", "qty": "int", "gross": "money", "ship_stamp": "date", "flag": "text"}
+LINE_SPEC = {"order_code": "key", "qty": "int", "gross": "money", "ship_stamp": "date", "flag": "text"}
 
 
 @query("S1_read_source", """
 SELECT o_orderstatus AS status, count(*) AS row_count, cast(min(o_orderdate) AS date) AS first_day
-FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY 1""")
+FROM orders GROUP BY 1""")
 def _(m):
-    src = m.raw("orders").where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("date"))
-    return src.groupBy(F.col("o_orderstatus").alias("status")).agg(
+    return m.raw("orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
         count_big().alias("row_count"), F.min("o_orderdate").cast("date").alias("first_day")
     )
 
@@ -132,12 +131,22 @@ def _(m):
     )
 
 
-PROFILED = ("supplier", "part", "customer", "orders")
 _COLS = {
     "supplier": "s_suppkey s_name s_nationkey s_acctbal", "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
     "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
 }
+PROFILED = tuple(_COLS)
 _PROFILE_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, cast({i} AS int) AS position, '{c}' AS column_name, count(*) AS row_count, count({c}) AS filled_rows FROM {t}"
     for t in PROFILED for i, c in enumerate(_COLS[t].split(), start=1)
@@ -153,7 +162,7 @@ def _(m):
     return out
 
 
-COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+COUNTED = PROFILED
 
 
 @query("S13_row_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED))

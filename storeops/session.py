@@ -30,6 +30,8 @@ def local_session(app: str = "storeops", cores: str = "8", **conf: str) -> Spark
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }
+    if "spark.checkpoint.dir" not in settings:  # one machine: driver and executors see the same folder
+        settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="storeops-")
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -38,19 +40,9 @@ def local_session(app: str = "storeops", cores: str = "8", **conf: str) -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would vanish with its executor.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="storeops-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "storeops-work")
 
 
 def work_path(spark: SparkSession, name: str) -> str:

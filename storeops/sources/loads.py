@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 
 from storeops.sources.tables import write_table
 
+class LoadFailed(RuntimeError):
+    """Some steps failed; ``audit`` holds the rows of all steps."""
+
+    def __init__(self, audit: list[tuple]):
+        super().__init__("; ".join(f"{name}: {status}" for name, _, _, status in audit if status != "OK"))
+        self.audit = audit
+
+
 AUDIT_SCHEMA = "step string, row_count bigint, seconds double, status string"
 
 
@@ -21,7 +29,8 @@ def load_tables(
     """Writes every step and returns the audit table.
 
     Row counts are observed while writing, so no table is read twice; a failed
-    step is recorded and the next one goes on.
+    step is recorded, the others are still written, and then ``LoadFailed`` is
+    raised with the audit, so an incomplete set is never taken for a whole one.
     """
     audit = []
     for name, df in steps.items():
@@ -32,6 +41,8 @@ def load_tables(
             audit.append((name, int(seen.get["n"]), time.time() - start, "OK"))
         except Exception as exc:  # noqa: BLE001 - the audit keeps the reason
             audit.append((name, None, time.time() - start, f"FAILED: {type(exc).__name__}"))
+    if any(status != "OK" for *_, status in audit):
+        raise LoadFailed(audit)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 

@@ -10,24 +10,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeops.operators.incremental import replace_partitions
 
+def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Files of a folder as a stream; all new files form one batch.
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    Set ``files_per_batch`` only for loads that do not depend on event time
+    (``load_days``), or for files that arrive in event-time order: a later
+    batch of older events would count as late.
+    """
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
 
 
-def load_partitions(stream: DataFrame, table: str, column: str, checkpoint: str) -> None:
-    """Replaces in ``table`` the partitions present in each batch; a batch that
-    is repeated after a failure leaves the same rows."""
+def load_days(stream: DataFrame, table: str, delivery: str, checkpoint: str) -> None:
+    """Keeps every row under its ``delivery`` and batch; a batch that is
+    repeated after a failure overwrites itself.  ``latest_days`` reads it."""
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        replace_partitions(batch, table, column)
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(delivery, "_batch").parquet(table)
+        )
 
-    query = stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def latest_days(rows: DataFrame, day: str, delivery: str) -> DataFrame:
+    """The rows of each day's newest delivery: a day split over files or batches
+    adds up, a redelivered day replaces the earlier one."""
+    newest = rows.groupBy(day).agg(F.max(delivery).alias("_newest"))
+    return rows.join(newest, day).where(F.col(delivery) == F.col("_newest")).drop("_newest", "_batch")
+
+
 def append(stream: DataFrame, table: str, checkpoint: str) -> None:
     query = (
         stream.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)

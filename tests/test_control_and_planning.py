@@ -82,7 +82,7 @@ def test_enrichment_takes_the_earliest_arrival_across_periods(spark):
     orders = spark.createDataFrame([(1, "2020-01-01", 60), (1, "2020-02-20", 5), (1, "2020-02-25", 3)], "product_id int, order_date string, days_to_arrive int").withColumn("order_date", F.col("order_date").cast("date"))
     products = spark.createDataFrame([(1, "ring")], "product_id int, article string")
     alerts = spark.createDataFrame([(1, D(2020, 2, 22)), (1, D(2020, 2, 26)), (1, D(2020, 3, 2))], "product_id int, alert_date date")
-    out = {r.alert_date: (r.days_to_arrival, r.pending_order_date) for r in c.enrich_alerts(alerts, products, orders, 60).collect()}
+    out = {r.alert_date: (r.days_to_arrival, r.pending_order_date) for r in c.enrich_alerts(alerts, products, orders).collect()}
     assert out == {D(2020, 2, 22): (3, D(2020, 2, 20)), D(2020, 2, 26): (2, D(2020, 2, 25)), D(2020, 3, 2): (None, None)}
 
 
