@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = (
     "K1_sales_kpis", "K2_revenue_by_month", "K3_sales_by_store", "K9_drill_down", "K11_inventory_kpis", "K17_inventory_deltas",
-    "K23_supplier_products", "E6_scd2_apply", "E7_point_in_time", "E11_key_lookup", "E14_inventory_fact", "E16_purchase_fact",
+    "K23_supplier_products", "E3_product_dimension", "E12_sales_fact", "E6_scd2_apply", "E7_point_in_time", "E11_key_lookup", "E14_inventory_fact", "E16_purchase_fact",
     "E17_prorated_purchases", "E18_return_fact", "Q1_primary_keys", "Q5_foreign_keys", "Q21_quality_suite", "M4_cross_sell_pairs",
     "M13_substitute_pairs", "M21_stocked_substitutes", "R2_elasticity_by_category", "R9_weekly_regression", "R16_seasonal_forecast",
     "P8_purchase_channels", "P15_escalating_orders", "I8_purchase_alerts", "I9_alerts_without_open_order", "I18_daily_log",
