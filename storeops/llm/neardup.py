@@ -3,8 +3,9 @@
 Registers hold exponentially spaced, truncated minima of a document's shingle hashes.  Documents that agree in a band of
 four registers are candidates; the joint likelihood of the registers estimates their similarity, and what may reach the
 threshold is verified on the full shingle sets.  Equal sets are one node from the start.  Inside a band every node is
-first compared with the band's smallest; only bands that then still join several components compare the rest, so a large
-group of alike documents costs one comparison per member.
+first compared with the band's smallest; in bands that still hold several components, the nodes outside the largest one
+are compared with a second member of it, and only those that stay apart meet all others, in blocks that give no more links
+than they have members.  A large group of alike documents so costs a few comparisons per member.
 """
 
 from __future__ import annotations
@@ -83,18 +84,22 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, one long, two long, regs binary")
 
 
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """The key of each band of each row of registers."""
+    bands = np.ascontiguousarray(regs).view(np.uint64).reshape(len(regs), -1)
+    bands = (bands + np.arange(bands.shape[1], dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return bands ^ (bands >> np.uint64(32)) ^ (np.arange(bands.shape[1], dtype=np.uint64) << np.uint64(58))
+
+
 def band_rows(nodes: DataFrame) -> DataFrame:
     """(band, node) for each band of each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M)
-                bands = np.ascontiguousarray(r).view(np.uint64).reshape(len(r), -1)
-                bands = (bands + np.arange(bands.shape[1], dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                bands = bands ^ (bands >> np.uint64(32)) ^ (np.arange(bands.shape[1], dtype=np.uint64) << np.uint64(58))
+                bands = band_keys(np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bands.reshape(-1).view(np.int64)), batch.column("node").take(pa.array(np.repeat(np.arange(len(r)), bands.shape[1])))], ["band", "node"]
+                    [pa.array(bands.reshape(-1).view(np.int64)), batch.column("node").take(pa.array(np.repeat(np.arange(len(bands)), bands.shape[1])))], ["band", "node"]
                 )
 
     return nodes.select("node", "regs").mapInArrow(run, "band long, node long")
@@ -129,34 +134,57 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def remaining(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components inside one band, by blocks; ``members``: band, rows, least, node, component, n, regs."""
+def across(members: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Comparison of different components inside a band, by blocks.
+
+    ``members``: band, lead (the band's largest component), blocks, others (blocks of all members and of those outside
+    lead), node, component, n, regs, and items if ``exact``.  Members outside lead meet all members; a pair is looked at in
+    its first common band only.  Gives the nodes with a likely partner (node), or the links (a, b) that join components
+    of a block, which are fewer than its members.
+    """
     least = percent / 100 - MARGIN
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
-    # a member goes to every pair of blocks that holds its own
-    placed = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "least", "node", "component", "n", "regs"
-    )
+    spread = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+    carried = ["band", "node", "component", "n", "regs"] + ["items"] * exact
+    asking = members.where("component <> lead").withColumns({"i": spread("others"), "asks": F.lit(True)}).withColumn("j", every("blocks"))
+    asked = members.withColumns({"j": spread("blocks"), "asks": F.lit(False)}).withColumn("i", every("others"))
+    placed = asking.select("i", "j", "asks", *carried).union(asked.select("i", "j", "asks", *carried))
 
     def compare(part: pa.Table) -> pa.RecordBatch | None:
-        node, comp = part["node"].to_numpy(), part["component"].to_numpy()
-        own, n = part["own"].to_numpy(), part["n"].to_numpy().astype(float)
+        node, comp, n = part["node"].to_numpy(), part["component"].to_numpy(), part["n"].to_numpy().astype(float)
+        asks = part["asks"].to_numpy()
         regs = np.frombuffer(b"".join(part["regs"].to_pylist()), np.uint16).reshape(-1, M)
-        i, j, first = part["i"][0].as_py(), part["j"][0].as_py(), part["least"][0].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & (node[right] != first) & (node[x] != first)]
-            y = y[node[y] > node[x]] if i == j else y
-            if len(y):
-                y = y[(regs[y] == regs[x]).mean(1) >= least - 0.1]
-            if len(y):
-                y = y[similarity(np.repeat(regs[x : x + 1], len(y), 0), regs[y], np.full(len(y), n[x]), n[y]) >= least]
-            found += [(min(node[x], node[k]), max(node[x], node[k])) for k in y]
-        if not found:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+        keys = band_keys(regs)
+        here = int(np.flatnonzero(keys[0].view(np.int64) == part["band"][0].as_py())[0])
+        sets = [x.values.to_numpy() for x in part["items"]] if exact else []
+        root = {c: c for c in np.unique(comp).tolist()}  # components joined so far
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        right, found, links = np.flatnonzero(~asks), set(), []
+        for x in np.flatnonzero(asks):
+            y = right[comp[right] != comp[x]]
+            y = y[(keys[y] == keys[x]).argmax(1) == here]
+            y = y[(regs[y] == regs[x]).mean(1) >= least - 0.1]
+            if not len(y):
+                continue
+            near = similarity(np.repeat(regs[x : x + 1], len(y), 0), regs[y], np.full(len(y), n[x]), n[y])
+            y = y[np.argsort(-near, kind="stable")][: int((near >= least).sum())]
+            if not exact:
+                found.update(node[y].tolist() + [int(node[x])] * bool(len(y)))
+                continue
+            for z in y:
+                if top(comp[x]) != top(comp[z]):
+                    common = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                    if 100 * common >= percent * (len(sets[x]) + len(sets[z]) - common):
+                        root[top(comp[x])] = top(comp[z])
+                        links.append((min(node[x], node[z]), max(node[x], node[z])))
+        if exact:
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], ["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -167,14 +195,25 @@ def remaining(members: DataFrame, percent: int) -> DataFrame:
             cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
                 if held and any(held[0].column(c)[0] != batch.column(c)[a] for c in ("band", "i", "j")):
-                    if out := compare(pa.Table.from_batches(held)):
-                        yield out
+                    yield compare(pa.Table.from_batches(held))
                     held = []
                 held.append(batch.slice(a, b - a))
-        if held and (out := compare(pa.Table.from_batches(held))):
-            yield out
+        if held:
+            yield compare(pa.Table.from_batches(held))
 
-    return placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long" if exact else "node long").distinct()
+
+
+def mixed_bands(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``members`` (band, node) of bands that hold several components, with component, lead, center (a member of lead), blocks, others."""
+    placed = members.join(groups, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    parts = placed.groupBy("band", "component").agg(F.count("*").alias("rows"), F.min_by("node", F.xxhash64("band", "node")).alias("center"))
+    bands = parts.groupBy("band").agg(F.max(F.struct("rows", "component", "center")).alias("most"), F.sum("rows").alias("rows"), F.count("*").alias("parts")).where("parts > 1")
+    sized = bands.select(
+        "band", F.col("most.component").alias("lead"), F.col("most.center").alias("center"),
+        F.ceil(F.col("rows") / BLOCK).alias("blocks"), F.ceil((F.col("rows") - F.col("most.rows")) / BLOCK).alias("others"),
+    )
+    return placed.join(sized, "band")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -217,17 +256,29 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     sets = store(full_sets(docs, ends(near), k), "shingle_sets")
     links = store(verified(near, sets, percent), "links")
     groups = store(components(links), "groups")
-    # where a band still holds several groups, its other pairs across groups are tried as well
-    placed = members.where("rows > 2").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
+    crowded = members.where("rows > 2").select("band", "node")
     sized = nodes.select("node", "n", "regs")
-    late = store(remaining(placed.join(mixed, "band").join(sized, "node"), percent).join(near, ["a", "b"], "left_anti"), "late_pairs")
+
+    def joined(new: DataFrame) -> DataFrame:
+        return store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "groups")
+
+    def with_sets(wanted: DataFrame) -> DataFrame:
+        missing = store(wanted.join(sets, "node", "left_anti"), "late_nodes")
+        return sets.union(store(full_sets(docs, missing, k), "late_sets")) if missing.head(1) else sets
+
+    # where a band still holds several components, those outside its largest are held against another member of that one
+    mixed = mixed_bands(crowded, groups).where("component <> lead")
+    second = mixed.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
+    late = store(likely(second.join(near, ["a", "b"], "left_anti"), nodes, percent), "late_pairs")
     if late.head(1):
-        missing = store(ends(late).join(sets, "node", "left_anti"), "late_nodes")
-        if missing.head(1):
-            sets = sets.union(store(full_sets(docs, missing, k), "late_sets"))
-        links = links.union(store(verified(late, sets, percent), "late_links"))
-        groups = store(components(links), "groups")
+        sets = with_sets(ends(late))
+        groups = joined(verified(late, sets, percent))
+    # what two stars leave apart is compared by blocks: first by registers alone, then by full sets where that may link
+    left = mixed_bands(crowded, groups).join(sized, "node")
+    active = store(across(left, percent, exact=False), "active_nodes")
+    if active.head(1):
+        sets = with_sets(active)
+        groups = joined(across(left.join(active, "node").join(sets, "node"), percent, exact=True))
     lead = nodes.join(groups, "node", "left").select("one", "two", F.col("n").alias("m"), F.coalesce("component", "node").alias("component_id"))
     rows = all_sketches.select("doc_id", "n", "one", "two").alias("s").join(lead.alias("l"), F.expr("s.one = l.one and s.two = l.two and s.n = l.m and s.doc_id is not null"), "left")
     return rows.select(

@@ -128,6 +128,47 @@ def test_near_duplicate_chain_beyond_the_first_of_a_band(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()} == want
 
 
+def test_large_group_of_near_copies_by_blocks(spark, monkeypatch):
+    """Copies with edits of their own: most pairs are no links, and some copies reach the group over others only."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(220):
+        text = list(base)
+        for at in rng.integers(0, 150, rng.integers(1, 9)):
+            text[at] = f"x{at}_{rng.integers(0, 3)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_near(rows)
+    assert 1 < len({c for _, c, _ in want.values()})
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()} == want
+
+
+def test_links_across_components_of_a_band(spark):
+    """Two families of alike sets in common bands: only true links come out."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 60, 400, dtype=np.uint64)) for _ in range(2)]
+    parts = []
+    for i in range(30):
+        parts.append(np.unique(np.append(sets[i % 2][rng.random(len(sets[i % 2])) > 0.02], np.uint64(i))))
+    starts = np.cumsum([0] + [len(p) for p in parts])[:-1]
+    regs = neardup.registers(np.concatenate(parts), starts)
+    keys = neardup.band_keys(regs).view(np.int64)
+    rows = [
+        (int(keys[i, b]), i, len(parts[i]), regs[i].tobytes(), parts[i].view(np.int64).tolist())
+        for i in range(30) for b in range(keys.shape[1]) if (keys[:, b] == keys[i, b]).sum() > 1
+    ]
+    nodes = spark.createDataFrame(rows, "band long, node long, n long, regs binary, items array<long>")
+    none = spark.createDataFrame([], "node long, component long")
+    placed = neardup.mixed_bands(nodes.select("band", "node"), none).join(nodes, ["band", "node"])
+    links = [(r.a, r.b) for r in neardup.across(placed, 80, exact=True).collect()]
+    assert links and all(a < b and a % 2 == b % 2 for a, b in links)
+    for a, b in links:
+        common = len(np.intersect1d(parts[a], parts[b]))
+        assert 100 * common >= 80 * (len(parts[a]) + len(parts[b]) - common)
+
+
 def test_similarity_estimate():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
