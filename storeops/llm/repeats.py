@@ -4,13 +4,15 @@ Every window of ``width`` units has an anchor: its leftmost run of ``k`` units w
 equal anchors, so only texts around an anchor that several documents share need to be compared; the comparison itself is
 the caller's.  Consecutive windows with one anchor form a segment.
 
-1. Anchors are packed by hash bucket, each batch sending one entry per anchor and text, and a bucket tells which occur in
-   several different texts (``shared_anchors``).
+1. Anchors are packed by hash bucket, each batch sending four bytes and a few more per anchor and document, and a bucket
+   tells which occur in several documents (``shared_anchors``).
 2. The segments at shared anchors are cut from the texts; equal ones are merged, keeping the smallest doc_id.
-3. The caller's ``match`` gives each distinct segment, window by window, the smallest doc_id that holds the window.
+3. The caller's ``match`` gives each distinct segment, window by window, the smallest doc_id that holds the window; runs
+   of windows with one answer travel as one.
 4. Windows whose smallest doc_id is below the document's own cover the units to remove.
 
-Exact copies of a whole text are told by their checksum first: all but the first lose everything if they hold a window.
+Exact copies of a whole text are told by their checksum first: all but the first lose everything if they hold a window,
+and take no part in the rest.
 """
 
 from __future__ import annotations
@@ -94,133 +96,175 @@ def text_lists(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
         yield a, b, texts[a:b]
 
 
-def batch_anchors(batch: pa.RecordBatch, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, ident, doc, known) of a batch ordered by hash: the first document of each different text at each anchor.
+def anchor_keys(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each anchor, then 32 more bits of it; buckets hold equal amounts of text, so chance hits stay as rare at any size."""
+    n = np.uint64(buckets)
+    return ((h % n) << np.uint64(32) | (h // n) & np.uint64(0xFFFFFFFF)).view(np.int64)
 
-    ``known`` marks anchors that already occur in different texts of the batch.
-    """
-    parts = []
-    ids, marks = batch.column("doc_id").to_numpy(), batch.column("ident").to_numpy()
+
+def several(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places of entries alone at their key; then key, doc and whether it is the first of its key, for the distinct others."""
+    order = np.argsort(key)
+    multi = np.zeros(len(key), bool)
+    same = key[order[1:]] == key[order[:-1]]
+    multi[1:] |= same
+    multi[:-1] |= same
+    alone, order = order[~multi], order[multi]
+    order = order[np.lexsort((doc[order], key[order]))]
+    key, doc = key[order], doc[order]
+    first, new = np.ones(len(key), bool), np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    new[1:] = first[1:] | (doc[1:] != doc[:-1])
+    return alone, key[new], doc[new], first[new]
+
+
+def batch_anchors(batch: pa.RecordBatch, unit: Unit, buckets: int) -> tuple[np.ndarray, ...]:
+    """key, doc, known, first: each anchor of a batch once per document; ``known`` if several documents of the batch have it."""
+    parts, ids = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], batch.column("doc_id").to_numpy()
     for a, b, texts in text_lists(batch):
         _, first, grams = unit.of(texts, unit.k)
         h, text, _, _ = segments(unit, first, grams)
-        parts.append((h, marks[a:b][text], ids[a:b][text]))
-    h, ident, doc = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))
-    order = np.lexsort((doc, ident, h))
-    h, ident, doc = h[order], ident[order], doc[order]
-    new_h = np.ones(len(h), bool)
-    new_h[1:] = h[1:] != h[:-1]
-    new = new_h.copy()
-    new[1:] |= ident[1:] != ident[:-1]
-    h, ident, doc, new_h = h[new], ident[new], doc[new], new_h[new]
-    run = np.cumsum(new_h) - 1
-    known = np.bincount(run, minlength=1)[run] > 1 if len(run) else np.zeros(0, bool)
-    return h, ident, doc, known
+        parts.append((anchor_keys(h, buckets), ids[a:b][text]))
+    key, doc = (np.concatenate(x) for x in zip(*parts))
+    alone, k, d, lead = several(key, doc)
+    run = np.cumsum(lead) - 1
+    known = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+    more = np.ones(len(alone), bool)
+    return np.concatenate([key[alone], k]), np.concatenate([doc[alone], d]), np.concatenate([~more, known]), np.concatenate([more, lead])
+
 
+def planes(sorted_ids: np.ndarray) -> bytes:
+    """Ascending ids as differences, byte by byte: mostly zeros, which the shuffle's compression folds."""
+    return np.diff(sorted_ids, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
-ENTRY = np.dtype([("h", "<u8"), ("ident", "<i4"), ("doc", "<i8")])
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1))
+
+
+PIECE = 1 << 14  # entries of anchors known to be shared that travel in one row
 
 
 def shared_anchors(texts: DataFrame, unit: Unit, buckets: int) -> DataFrame:
-    """(doc, h): anchors that occur in different texts, with the documents to compare; texts: doc_id, ident, text."""
+    """(doc, h): anchor keys that occur in several documents, with the documents to compare; texts: doc_id, text.
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, ident, doc, known = batch_anchors(batch, unit)
-            lead = np.ones(len(h), bool)
-            lead[1:] = h[1:] != h[:-1]
-            take = ~known | lead  # of anchors known to be shared one entry is enough to tell the other batches
-            h, ident, doc, known = h[take], ident[take], doc[take], known[take]
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, bucket))
-            bucket = bucket[order]
-            cuts = np.searchsorted(bucket, np.unique(bucket))
-            col = lambda x: np.split(x[order], cuts[1:]) if len(cuts) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts])] + [pa.array([x.tobytes() for x in col(c)], pa.binary()) for c in (h, ident.astype(np.int32), doc, known.astype(np.uint8))],
-                ["bucket", "h", "ident", "doc", "known"],
-            )
+    Of anchors that several documents of a batch share, one entry goes to the bucket, to tell the other batches; all of
+    them pass through in pieces spread over the buckets, so a frequent anchor gathers no more than one entry per batch.
+    """
 
-    def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, _, doc, known = batch_anchors(batch, unit)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(h[known].view(np.int64))], ["doc", "h"])
-
-    def meet(parts: list[list[bytes]]) -> pa.RecordBatch:
-        h, ident, doc, known = (np.frombuffer(b"".join(p), t) for p, t in zip(parts, ("<u8", "<i4", "<i8", "u1")))
-        order = np.lexsort((ident, h))
-        h, ident, doc, known = h[order], ident[order], doc[order], known[order].astype(bool)
-        run = np.zeros(len(h), np.int64)
-        run[1:] = np.cumsum(h[1:] != h[:-1])
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (ident[1:] != ident[:-1])
-        shared = (np.bincount(run, new) > 1) | (np.bincount(run, known) > 0)
-        take = shared[run] & ~known
-        return pa.RecordBatch.from_arrays([pa.array(doc[take]), pa.array(h[take].view(np.int64))], ["doc", "h"])
+            key, doc, known, lead = batch_anchors(batch, unit, buckets)
+            rows: list[tuple[int, bytes, bytes, bytes | None]] = []
+            order = np.flatnonzero(known)
+            order = order[np.argsort(doc[order], kind="stable")]
+            for at in range(0, len(order), PIECE):
+                part = order[at : at + PIECE]
+                rows.append(((int(key[part[0]]) & 0xFFFFFFFF) % buckets, key[part].tobytes(), planes(doc[part]), None))
+            order = np.flatnonzero(~known | lead)
+            order = order[np.lexsort((doc[order], key[order] >> 32))]
+            bucket = key[order] >> 32
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            for a, b in zip(cuts, cuts[1:] + [len(order)]):
+                part = order[a:b]
+                rows.append((int(bucket[a]), (key[part] & 0xFFFFFFFF).astype("<u4").tobytes(), planes(doc[part]), known[part].tobytes()))
+            for at in range(0, len(rows), 1000):
+                part = list(zip(*rows[at : at + 1000]))
+                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), *[pa.array(x, pa.binary()) for x in part[1:]]], ["bucket", "h", "doc", "known"])
+
+    def meet(bucket: int, parts: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+        key = np.frombuffer(b"".join(p[0] for p in parts), "<u4") + np.int64(bucket << 32)
+        doc = np.concatenate([from_planes(p[1]) for p in parts])
+        known = np.frombuffer(b"".join(p[2] for p in parts), bool)
+        told = np.unique(key[known])  # shared already: their other entries count even if alone here
+        alone, k, d, lead = several(key[~known], doc[~known])
+        alone = np.flatnonzero(~known)[alone]
+        alone = alone[np.isin(key[alone], told)]
+        run = np.cumsum(lead) - 1
+        take = (np.bincount(run)[run] > 1) | np.isin(k, told) if len(run) else lead
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([doc[alone], d[take]])), pa.array(np.concatenate([key[alone], k[take]]))], ["doc", "h"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, [[], [], [], []]
+        now, held = None, []
         for batch in batches:
-            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
-                if bucket != now and held[0]:
-                    yield meet(held)
-                    held = [[], [], [], []]
+            for bucket, h, doc, known in zip(*[batch.column(c).to_pylist() for c in ("bucket", "h", "doc", "known")]):
+                if bucket != now and held:
+                    yield meet(now, held)
+                    held = []
                 now = bucket
-                for part, c in zip(held, ("h", "ident", "doc", "known")):
-                    part.append(batch.column(c)[i].as_py())
-        if held[0]:
-            yield meet(held)
+                if known is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(from_planes(doc)), pa.array(np.frombuffer(h, np.int64))], ["doc", "h"])
+                else:
+                    held.append((h, doc, known))
+        if held:
+            yield meet(now, held)
 
-    packed = texts.mapInArrow(pack, "bucket long, h binary, ident binary, doc binary, known binary")
-    across = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "doc long, h long")
-    return across.union(texts.mapInArrow(direct, "doc long, h long"))
+    packed = texts.mapInArrow(pack, "bucket long, h binary, doc binary, known binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "doc long, h long")
 
 
-def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
-    """(h, c, doc, start, windows, body) for every segment of a document at one of its shared anchors.
+def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit, buckets: int) -> DataFrame:
+    """(h, c, doc, start, body) for every segment of a document at one of its shared anchors.
 
-    c tells bodies apart; a body comes with the smallest document of each batch that has it.
+    h is the anchor's key; c tells bodies apart; a body comes with the smallest document of each batch that has it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists, found = batch.column("doc_id").to_numpy(), batch.column("hs").to_pylist(), []
+            ids, lists, found = batch.column("doc_id").to_numpy(), batch.column("hs"), []
             for a, b, part in text_lists(batch):
                 units, first, grams = unit.of(part, unit.k)
                 h, text, begin, count = segments(unit, first, grams)
-                mine = np.concatenate([np.array(x, np.int64).view(np.uint64) + np.uint64(i) for i, x in enumerate(lists[a:b])])
-                take = np.isin(h + text.astype(np.uint64), mine)
+                h = anchor_keys(h, buckets)
+                mine, of = lists.slice(a, b - a), np.repeat(np.arange(b - a), lists.slice(a, b - a).value_lengths().to_numpy())
+                # a key and its text make one value; a chance hit only adds a segment to compare
+                take = np.isin(mix(h.view(np.uint64)) + text.astype(np.uint64), mix(mine.flatten().to_numpy().view(np.uint64)) + of.astype(np.uint64))
                 h, text, begin, count = h[take], text[take], begin[take], count[take]
                 end = begin + count + unit.width - 1
                 prefix = Prefix(units.view(np.uint8))
                 c = prefix.of(begin * units.itemsize, end * units.itemsize)
                 raw, size = units.tobytes(), units.itemsize
                 bodies = [raw[x * size : y * size] for x, y in zip(begin.tolist(), end.tolist())]
-                found.append((h, c, ids[a:b][text], begin - first[text], count, bodies))
+                found.append((h, c, ids[a:b][text], begin - first[text], bodies))
             if not found:
                 continue
-            h, c, doc, start, count = (np.concatenate(x) for x in list(zip(*found))[:5])
+            h, c, doc, start = (np.concatenate(x) for x in list(zip(*found))[:4])
             # equal segments of a batch send their body once, with the smallest document
-            key = h * np.uint64(0x9E3779B97F4A7C15) + c
+            key = h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + c
             order = np.lexsort((doc, key))
             again = np.zeros(len(h), bool)
             again[order[1:]] = key[order[1:]] == key[order[:-1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array(count), pa.array([x for f in found for x in f[5]], pa.binary(), mask=again)],
-                ["h", "c", "doc", "start", "windows", "body"],
+                [pa.array(h), pa.array(c.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array([x for f in found for x in f[4]], pa.binary(), mask=again)],
+                ["h", "c", "doc", "start", "body"],
             )
 
     listed = wanted.groupBy("doc").agg(F.collect_set("h").alias("hs"))
     return texts.join(listed, texts["doc_id"] == listed["doc"]).select("doc_id", "text", "hs").mapInArrow(
-        run, "h long, c long, doc long, start long, windows long, body binary"
+        run, "h long, c long, doc long, start long, body binary"
     )
 
 
 Match = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
 
+def low_runs(mins: list[np.ndarray]) -> pa.Array:
+    """Runs of equal values of each array, as lists of (at, n, low)."""
+    first = np.cumsum([0] + [len(m) for m in mins])
+    low = np.concatenate(mins)
+    new = np.ones(len(low), bool)
+    new[1:] = low[1:] != low[:-1]
+    new[first[:-1][first[:-1] < len(low)]] = True
+    begin = np.flatnonzero(new)
+    cuts = np.searchsorted(begin, first)
+    at = begin - np.repeat(first[:-1], np.diff(cuts))
+    n = np.diff(np.append(begin, len(low)))
+    parts = [pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(low[begin])]
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.StructArray.from_arrays(parts, ["at", "n", "low"]))
+
+
 def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFrame:
-    """(h, c, mins): for each distinct segment the smallest doc_id of each of its windows; anchors are dealt in shards."""
+    """(h, c, runs): for each distinct segment its runs of windows (at, n) with one smallest doc_id (low); anchors are dealt in shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, int, bytes]] = []
@@ -233,9 +277,7 @@ def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFr
             rest = [r for r, x in zip(part, alone) if not x]
             compared = iter(match([r[3] for r in rest], np.array([r[2] for r in rest], np.int64)) if rest else [])
             mins = [np.full(len(r[3]) // unit_bytes - unit.width + 1, r[2]) if x else next(compared) for r, x in zip(part, alone)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([m.tolist() for m in mins], pa.list_(pa.int64()))], ["h", "c", "mins"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), low_runs(mins)], ["h", "c", "runs"])
 
         held, last = 0, 0  # units held, and where the last anchor begins
         for batch in batches:
@@ -253,7 +295,7 @@ def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFr
             yield from flush(len(rows))
 
     bodies = cut.where("body is not null").select("h", "c", "doc", "body")
-    return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, mins array<long>")
+    return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, runs array<struct<at:int,n:int,low:bigint>>")
 
 
 def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -264,22 +306,22 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     """
     more = [F.col(c).alias(f"x_{i}") for i, c in enumerate(extra)]
     carried = docs.select("doc_id", whole("text").alias("text"), *more)
-    base = carried.select("doc_id", "text")
-    marked = base.withColumn("ident", F.hash("text"))
-    prints = base.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("p"), F.crc32(F.col("text").cast("binary")).alias("q"), F.octet_length("text").alias("n"))
+    base = carried.select("doc_id", "text").where("doc_id is not null")
+    prints = base.select("doc_id", F.xxhash64("text").alias("p"), F.crc32(F.col("text").cast("binary")).alias("q"), F.octet_length("text").alias("n"))
     firsts = prints.groupBy("p", "q", "n").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("most")).where("lead <> most")
     copies = store(prints.join(firsts, ["p", "q", "n"]).where("doc_id > lead").select("doc_id").distinct(), "copies")
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    usable = marked.where("doc_id is not null")
-    wanted = shared_anchors(usable, unit, max(1, -(-total // BUCKET_BYTES))).join(copies.withColumnRenamed("doc_id", "doc"), "doc", "left_anti")
-    unit_bytes = 8 if unit is WORDS else 1
-    cut = store(cut_segments(base.where("doc_id is not null"), wanted, unit), "segments")
-    mins = matched(cut, match, unit, unit_bytes)
-    # positions of the windows that start in an earlier document
-    hit = cut.select("h", "c", "doc", "start").join(mins, ["h", "c"]).select(
-        "doc", F.transform(F.filter(F.transform("mins", lambda m, i: F.struct(m.alias("m"), i.alias("i"))), lambda x: x["m"] < F.col("doc")), lambda x: F.col("start") + x["i"]).alias("at")
+    buckets = max(1, -(-total // BUCKET_BYTES))
+    # sorted, so that a repeated task packs the same batches again
+    texts = base.join(copies, "doc_id", "left_anti").sortWithinPartitions("doc_id")
+    wanted = shared_anchors(texts, unit, buckets)
+    cut = store(cut_segments(base, wanted, unit, buckets), "segments")
+    runs_at = matched(cut, match, unit, 8 if unit is WORDS else 1)
+    # runs of windows that start in an earlier document, each as one number: place of the first, then length in ten bits
+    code = lambda x: F.shiftleft(F.col("start") + x["at"], RUN_BITS) + x["n"]
+    hit = cut.select("h", "c", "doc", "start").join(runs_at, ["h", "c"]).select(
+        "doc", F.transform(F.filter("runs", lambda x: x["low"] < F.col("doc")), code).alias("at")
     ).where(F.size("at") > 0)
-    # runs of windows, so that a document's list stays short: first and last window of each segment's hits
     flat = hit.groupBy("doc").agg(F.flatten(F.collect_list("at")).alias("at"))
     state = flat.join(copies.select(F.col("doc_id").alias("doc"), F.lit(True).alias("copy")), "doc", "full")
     return carried.join(state, carried["doc_id"] == state["doc"], "left").select(
@@ -287,10 +329,15 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     )
 
 
+RUN_BITS = 10  # a segment has at most width - k + 1 windows
+
+
 def spans(at: list[int] | None, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the merged ranges that windows at these places cover."""
+    """Begin and end of the merged ranges that these runs of windows cover."""
     if not at:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a = np.unique(np.array(at, np.int64))
-    cut = np.flatnonzero(a[1:] > a[:-1] + width)
-    return a[np.append(0, cut + 1)], a[np.append(cut, len(a) - 1)] + width
+    code = np.sort(np.array(at, np.int64))
+    begin = code >> RUN_BITS
+    end = np.maximum.accumulate(begin + (code & ((1 << RUN_BITS) - 1)) - 1 + width)
+    cut = np.flatnonzero(begin[1:] > end[:-1])
+    return begin[np.append(0, cut + 1)], end[np.append(cut, len(end) - 1)]
