@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.session import materialize
+from storeops.session import materialize, work_path
 
 # A word is a run of characters other than space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,3 +29,10 @@ def words(text: Column) -> Column:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back."""
     return materialize(df.sparkSession, df, name)
+
+
+def store_small(df: DataFrame, name: str) -> DataFrame:
+    """As ``store``, for wide intermediates of text: a stronger codec, as these files count as disk."""
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

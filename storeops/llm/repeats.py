@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeops.llm.common import store, whole
+from storeops.llm.common import store, store_small, whole
 from storeops.llm.rolling import Prefix, Words, chunks, mix, runs
 
 BUCKET_BYTES = 8 << 20  # text per anchor bucket
@@ -315,7 +315,7 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     # sorted, so that a repeated task packs the same batches again
     texts = base.join(copies, "doc_id", "left_anti").sortWithinPartitions("doc_id")
     wanted = shared_anchors(texts, unit, buckets)
-    cut = store(cut_segments(base, wanted, unit, buckets), "segments")
+    cut = store_small(cut_segments(base, wanted, unit, buckets), "segments")
     runs_at = matched(cut, match, unit, 8 if unit is WORDS else 1)
     # runs of windows that start in an earlier document, each as one number: place of the first, then length in ten bits
     code = lambda x: F.shiftleft(F.col("start") + x["at"], RUN_BITS) + x["n"]
