@@ -17,7 +17,7 @@ and take no part in the rest.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -204,9 +204,10 @@ def shared_anchors(texts: DataFrame, unit: Unit, buckets: int) -> DataFrame:
 
 
 def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit, buckets: int) -> DataFrame:
-    """(h, c, doc, start, body) for every segment of a document at one of its shared anchors.
+    """(h, c, doc, start, body, many) for every segment of a document at one of its shared anchors.
 
-    h is the anchor's key; c tells bodies apart; a body comes with the smallest document of each batch that has it.
+    h is the anchor's key; c tells bodies apart; a body comes with the smallest document of each batch that has it,
+    ``many`` telling whether the batch has it again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,21 +235,23 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit, buckets: int)
             order = np.lexsort((doc, key))
             again = np.zeros(len(h), bool)
             again[order[1:]] = key[order[1:]] == key[order[:-1]]
+            many = np.zeros(len(h), bool)
+            many[order[:-1]] = again[order[1:]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(c.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array([x for f in found for x in f[4]], pa.binary(), mask=again)],
-                ["h", "c", "doc", "start", "body"],
+                [pa.array(h), pa.array(c.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array([x for f in found for x in f[4]], pa.binary(), mask=again), pa.array(many)],
+                ["h", "c", "doc", "start", "body", "many"],
             )
 
     listed = wanted.groupBy("doc").agg(F.collect_set("h").alias("hs"))
     return texts.join(listed, texts["doc_id"] == listed["doc"]).select("doc_id", "text", "hs").mapInArrow(
-        run, "h long, c long, doc long, start long, body binary"
+        run, "h long, c long, doc long, start long, body binary, many boolean"
     )
 
 
 Match = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
 
-def low_runs(mins: list[np.ndarray]) -> pa.Array:
+def low_runs(mins: Sequence[np.ndarray]) -> pa.Array:
     """Runs of equal values of each array, as lists of (at, n, low)."""
     first = np.cumsum([0] + [len(m) for m in mins])
     low = np.concatenate(mins)
@@ -264,10 +267,10 @@ def low_runs(mins: list[np.ndarray]) -> pa.Array:
 
 
 def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFrame:
-    """(h, c, runs): for each distinct segment its runs of windows (at, n) with one smallest doc_id (low); anchors are dealt in shards."""
+    """(h, c, runs): for each distinct segment that may cover words or bytes to remove, its runs of windows (at, n) with one smallest doc_id (low); anchors are dealt in shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, int, int, bytes]] = []
+        rows: list[tuple[int, int, int, bytes, bool]] = []
 
         def flush(upto: int) -> Iterator[pa.RecordBatch]:
             part, rows[:] = rows[:upto], rows[upto:]
@@ -276,14 +279,21 @@ def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFr
             alone = [not (i and anchor[i - 1] == x) and not (i + 1 < len(part) and anchor[i + 1] == x) for i, x in enumerate(anchor)]
             rest = [r for r, x in zip(part, alone) if not x]
             compared = iter(match([r[3] for r in rest], np.array([r[2] for r in rest], np.int64)) if rest else [])
-            mins = [np.full(len(r[3]) // unit_bytes - unit.width + 1, r[2]) if x else next(compared) for r, x in zip(part, alone)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), low_runs(mins)], ["h", "c", "runs"])
+            found = []
+            for r, x in zip(part, alone):
+                mins = np.full(len(r[3]) // unit_bytes - unit.width + 1, r[2]) if x else next(compared)
+                if r[4] or (mins < r[2]).any():  # else its only document is the first to have each of its windows
+                    found.append((r[0], r[1], mins))
+            if found:
+                h, c, mins = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.int64()), low_runs(mins)], ["h", "c", "runs"])
 
         held, last = 0, 0  # units held, and where the last anchor begins
         for batch in batches:
-            for r in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "doc", "body")]):
+            for r in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "doc", "body", "many")]):
                 if rows and rows[-1][:2] == r[:2]:
-                    continue  # the same segment from another batch
+                    rows[-1] = (*rows[-1][:4], True)  # the same segment from another batch
+                    continue
                 if rows and rows[-1][0] != r[0]:
                     last = len(rows)
                     if held >= SHARD_UNITS:
@@ -294,7 +304,7 @@ def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFr
         if rows:
             yield from flush(len(rows))
 
-    bodies = cut.where("body is not null").select("h", "c", "doc", "body")
+    bodies = cut.where("body is not null").select("h", "c", "doc", "body", "many")
     return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, runs array<struct<at:int,n:int,low:bigint>>")
 
 
