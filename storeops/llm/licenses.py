@@ -1,8 +1,8 @@
 """Licence scan with a positional index of rare template words.
 
-Words of the licence templates are looked up in every document together with their places.  Of a document's licence words
-the rarest in the corpus vote for (template, shift) pairs; a template whose aligned words carry enough weight is a
-candidate, and it counts once its key phrase stands in the document.
+Words of the licence templates are looked up in every document together with their places.  The words of each template
+that are rarest in the corpus are indexed, and wherever one of them stands it votes for (template, shift) pairs; a
+template whose aligned words carry enough weight is a candidate, and it counts once its key phrase stands in the document.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ TEMPLATES = [
 # Template words too plain to index.
 PLAIN = "a and any are be by can copy for in is it not of or that the this to use v with without you may work file files free person terms 0 2 3 4".split()
 RARE_PER_TEMPLATE = 6  # words of a template in the index
-RARE_PER_FILE = 8  # words of a document that vote
 MIN_COVER = 0.5  # weight of a template's indexed words that must align
 
 
@@ -106,22 +105,29 @@ def scan(docs: DataFrame) -> DataFrame:
     for w, t, _, v in index:
         weight.setdefault(t, {})[w] = v
     postings = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(t).alias("t"), F.lit(p).alias("p"), F.lit(v / sum(weight[t].values())).alias("v")) for w, t, p, v in index])
-    idf = {w: v for w, _, _, v in index}
-    ranked = array(sorted(idf, key=lambda w: (-idf[w], w)))
-    rare = F.slice(F.filter(ranked, lambda w: F.array_contains("known", w)), 1, RARE_PER_FILE)
+    indexed = array(sorted({w for w, _, _, _ in index}))
     votes = F.flatten(F.transform(
-        F.filter("hits", lambda h: F.array_contains("rare", h["w"])),
+        F.filter("hits", lambda h: F.array_contains(indexed, h["w"])),
         lambda h: F.transform(F.filter(postings, lambda p: p["w"] == h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("shift"), p["w"].alias("w"), p["v"].alias("v"))),
     ))
-    # the votes of one alignment lie together once sorted, so one fold finds each template's best alignment
-    ordered = F.array_sort(F.array_distinct("votes"))
-    start = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("shift"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<t:int,cover:double>>").alias("done"))
+    # the votes of one alignment lie together once sorted, equal ones side by side, so one fold finds each template's best
+    # alignment; done has one entry per template, as a text may hold a notice any number of times
+    ordered = F.array_sort("votes")
+    start = F.struct(
+        F.lit(-1).alias("t"), F.lit(0).alias("shift"), F.lit("").alias("w"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<t:int,cover:double>>").alias("done")
+    )
 
     def fold(a, x):
         same = (a["t"] == x["t"]) & (a["shift"] == x["shift"])
-        total = F.when(same, a["sum"] + x["v"]).otherwise(x["v"])
-        done = F.when(total >= MIN_COVER, F.array_append(a["done"], F.struct(x["t"].alias("t"), total.alias("cover")))).otherwise(a["done"])
-        return F.struct(x["t"].alias("t"), x["shift"].alias("shift"), total.alias("sum"), done.alias("done"))
+        total = F.when(same & (a["w"] == x["w"]), a["sum"]).when(same, a["sum"] + x["v"]).otherwise(x["v"])
+        n, entry = F.size(a["done"]), lambda cover: F.array(F.struct(x["t"].alias("t"), cover.alias("cover")))
+        last = F.get(a["done"], n - 1)
+        done = (
+            F.when(total < MIN_COVER, a["done"])
+            .when((n > 0) & (last["t"] == x["t"]), F.concat(F.slice(a["done"], F.lit(1), n - 1), entry(F.greatest(last["cover"], total))))
+            .otherwise(F.concat(a["done"], entry(total)))
+        )
+        return F.struct(x["t"].alias("t"), x["shift"].alias("shift"), x["w"].alias("w"), total.alias("sum"), done.alias("done"))
 
     label_of, phrase_of = array([x for x, _, _ in TEMPLATES]), array([x for _, x, _ in TEMPLATES])
     verified = F.filter(
@@ -132,8 +138,7 @@ def scan(docs: DataFrame) -> DataFrame:
     every = F.array_sort(F.concat(*at))
     base = F.filter(F.array(*[F.when(F.size(a) > 0, F.lit(label)) for a, label in zip(at, BASE.values())]), lambda x: x.isNotNull())
     return (
-        found.withColumn("rare", F.when(F.col("hits").isNotNull(), rare))
-        .withColumn("votes", F.when(F.col("hits").isNotNull(), votes))
+        found.withColumn("votes", F.when(F.col("hits").isNotNull(), votes))
         .withColumn("verified", F.when(F.size("votes") > 0, verified).otherwise(F.array().cast("array<struct<t:int,cover:double>>")))
         .withColumn("every", every).withColumn("base", base)
         .select(

@@ -360,6 +360,23 @@ def test_licenses(which, request):
         assert {r.doc_id: r.labels for r in got}[15] == "cc-by-nc"
 
 
+def test_licenses_of_several_notices_and_of_long_prose(spark):
+    """Every notice counts, however many stand in one text and whatever rare licence words its prose holds."""
+    notice = {label: text for label, _, text in licenses.TEMPLATES}
+    prose = "one may obtain modified source forms by redistribution under international terms creative commons granted hereby mozilla subject charge " * 40
+    texts = {
+        1: " ".join(text for _, _, text in licenses.TEMPLATES), 2: f"{notice['mit']} {notice['apache']} {notice['bsd']}",
+        3: f"{prose}{notice['bsd']} {prose}", 4: " ".join([notice["mpl"]] * 300), 5: prose,
+    }
+    texts |= {100 + 10 * i + k: f"filler {text} filler" for i, (_, _, text) in enumerate(licenses.TEMPLATES) for k in range(5)}
+    docs = spark.createDataFrame([*texts.items(), *[(1000 + i, f"plain words {i}") for i in range(900)]], "doc_id long, text string")
+    got = by_id(licenses.scan(docs))
+    every = ",".join(sorted({label for label, _, _ in licenses.TEMPLATES}))
+    assert {i: got[i].labels for i in range(1, 6)} == {1: every, 2: "apache,bsd,mit", 3: "bsd", 4: "mpl", 5: ""}
+    assert all(got[100 + 10 * i].labels == label for i, (label, _, _) in enumerate(licenses.TEMPLATES))
+    assert got[3].score == pytest.approx(1.0)
+
+
 @pytest.mark.parametrize("which", ["odd", "real"])
 def test_packing(which, request):
     docs = request.getfixturevalue(which)
