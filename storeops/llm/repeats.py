@@ -8,7 +8,8 @@ the caller's.  Consecutive windows with one anchor form a segment.
    tells which occur in several documents (``shared_anchors``).
 2. The segments at shared anchors are cut from the texts; equal ones are merged, keeping the smallest doc_id.
 3. The caller's ``match`` gives each distinct segment, window by window, the smallest doc_id that holds the window; runs
-   of windows with one answer travel as one.
+   of windows with one answer travel as one.  Segments at an anchor too crowded for one shard are cut into their windows,
+   which are dealt to as many shards as it takes by their own hash; equal windows meet there.
 4. Windows whose smallest doc_id is below the document's own cover the units to remove.
 
 Exact copies of a whole text are told by their checksum first: all but the first lose everything if they hold a window,
@@ -29,7 +30,8 @@ from storeops.llm.common import store, store_small, whole
 from storeops.llm.rolling import Prefix, Words, chunks, mix, runs
 
 BUCKET_BYTES = 8 << 20  # text per anchor bucket
-SHARD_UNITS = 1 << 16  # units compared at once; a larger group of segments at one anchor is compared as one
+SHARD_UNITS = 1 << 16  # units compared at once, where anchors are less crowded
+CROWDED_BYTES = 1 << 19  # bodies at one anchor compared as one; a larger group is compared window by window
 
 
 @dataclass(frozen=True)
@@ -308,6 +310,66 @@ def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFr
     return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, runs array<struct<at:int,n:int,low:bigint>>")
 
 
+def crowded_anchors(cut: DataFrame, unit: Unit, unit_bytes: int) -> DataFrame:
+    """(h, shards): anchors whose segments hold more than CROWDED_BYTES, with the shards that their windows need."""
+    size = F.octet_length("body").cast("long")
+    per_anchor = cut.where("body is not null").groupBy("h").agg(F.sum(size).alias("size"), F.sum(size / unit_bytes - (unit.width - 1)).alias("windows"))
+    return per_anchor.where(F.col("size") > CROWDED_BYTES).select("h", F.ceil(F.col("windows") * unit.width * unit_bytes / CROWDED_BYTES).cast("long").alias("shards"))
+
+
+def cut_windows(crowded: DataFrame, unit: Unit, unit_bytes: int) -> DataFrame:
+    """(h, c, doc, body, many, at): the windows of segments (h, c, doc, body, many, shards) as segments of their own.
+
+    h is the shard; equal windows of a batch travel once, with the smallest document and the places (h, c, at) they have
+    in the segments.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bodies, (h, c, doc, shards) = batch.column("body").to_pylist(), (batch.column(x).to_numpy() for x in ("h", "c", "doc", "shards"))
+            raw, size = b"".join(bodies), np.array([len(x) for x in bodies])
+            n = size // unit_bytes - unit.width + 1
+            of = np.repeat(np.arange(len(n)), n)
+            at = np.arange(len(of)) - (np.cumsum(n) - n)[of]
+            begin = (np.cumsum(size) - size)[of] + at * unit_bytes
+            w = Prefix(np.frombuffer(raw, np.uint8)).of(begin, begin + unit.width * unit_bytes)
+            shard = mix(h.view(np.uint64)[of] ^ mix(w % shards.view(np.uint64)[of] + np.uint64(1)))
+            order = np.lexsort((doc[of], w, shard))
+            new = np.ones(len(order), bool)
+            new[1:] = (shard[order[1:]] != shard[order[:-1]]) | (w[order[1:]] != w[order[:-1]])
+            cuts = np.flatnonzero(new)
+            lead = order[cuts]
+            many = np.logical_or.reduceat(batch.column("many").to_numpy(zero_copy_only=False)[of[order]], cuts) | (np.diff(np.append(cuts, len(order))) > 1)
+            places = pa.StructArray.from_arrays([pa.array(h[of[order]]), pa.array(c[of[order]]), pa.array(at[order].astype(np.int32))], ["h", "c", "at"])
+            wide = unit.width * unit_bytes
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[lead].view(np.int64)), pa.array(w[lead].view(np.int64)), pa.array(doc[of[lead]]), pa.array([raw[x : x + wide] for x in begin[lead].tolist()], pa.binary()),
+                 pa.array(many), pa.ListArray.from_arrays(pa.array(np.append(cuts, len(order)).astype(np.int32)), places)],
+                ["h", "c", "doc", "body", "many", "at"],
+            )
+
+    return crowded.select("h", "c", "doc", "body", "many", "shards").mapInArrow(
+        run, "h long, c long, doc long, body binary, many boolean, at array<struct<h:bigint,c:bigint,at:int>>"
+    )
+
+
+def matched_everywhere(cut: DataFrame, match: Match, unit: Unit) -> DataFrame:
+    """As ``matched``, with crowded anchors dealt window by window, so no shard grows with the corpus."""
+    unit_bytes = 8 if unit is WORDS else 1
+    crowded = store(crowded_anchors(cut, unit, unit_bytes), "crowded_anchors")
+    if crowded.isEmpty():
+        return matched(cut, match, unit, unit_bytes)
+    windows = cut_windows(cut.where("body is not null").join(crowded, "h"), unit, unit_bytes)
+    lows = matched(windows, match, unit, unit_bytes).select("h", "c", F.get("runs", F.lit(0))["low"].alias("low"))
+    placed = windows.select("h", "c", "at").join(lows, ["h", "c"]).select(F.explode("at").alias("x"), "low")
+    per_segment = placed.groupBy(F.col("x.h").alias("h"), F.col("x.c").alias("c")).agg(
+        F.collect_set(F.struct(F.col("x.at").alias("at"), F.lit(1).alias("n"), "low")).alias("runs")
+    )
+    return matched(cut.join(crowded, "h", "left_anti"), match, unit, unit_bytes).unionByName(per_segment)
+
+
 def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` columns doc_id, text (null read as empty) and ``extra`` (given as x_0, x_1 and so on), with ``copy`` (an exact copy of an earlier text) and ``spans``, the merged unit ranges to remove.
 
@@ -326,7 +388,7 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     texts = base.join(copies, "doc_id", "left_anti").sortWithinPartitions("doc_id")
     wanted = shared_anchors(texts, unit, buckets)
     cut = store_small(cut_segments(base, wanted, unit, buckets), "segments")
-    runs_at = matched(cut, match, unit, 8 if unit is WORDS else 1)
+    runs_at = matched_everywhere(cut, match, unit)
     # runs of windows that start in an earlier document, each as one number: place of the first, then length in ten bits
     code = lambda x: F.shiftleft(F.col("start") + x["at"], RUN_BITS) + x["n"]
     hit = cut.select("h", "c", "doc", "start").join(runs_at, ["h", "c"]).select(

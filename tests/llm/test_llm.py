@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from storeops.llm import bwt, licenses, mixing, neardup, packing, quality, rolling, sharding, substrings, topk, toxicity
+from storeops.llm import bwt, licenses, mixing, neardup, packing, quality, repeats, rolling, sharding, substrings, topk, toxicity
 from storeops.llm.graph import components
 from storeops.llm.queries import ORACLE_SQL, QUERIES, rank_file
 from tests.compare import compare
@@ -271,6 +271,36 @@ def test_byte_strings(which, request):
     assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in got if r.doc_id is not None)
 
 
+@pytest.mark.parametrize("which", ["words", "bytes"])
+def test_anchor_with_many_contexts(spark, which):
+    """A phrase that anchors other text in every document: right results, and no comparison grows with their number."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    make = lambda n, size: ["".join(x) for x in rng.choice(letters, (n, size))]
+    if which == "words":
+        unit, match, side, glue, count = repeats.WORDS, substrings.match, 8, " ", 10_000
+        phrases, pool = [" ".join(make(5, 4)) for _ in range(20_000)], [" ".join(make(side, 4)) for _ in range(600)]
+    else:
+        unit, match, side, glue, count = repeats.BYTES, bwt.match, 30, "", 18_000
+        phrases, pool = make(20_000, 20), make(300, side)
+    hashes = [unit.of([x.encode()], unit.k)[2][0] for x in phrases]
+    phrase = phrases[int(np.argmin(hashes))]
+    rows = [(i, glue.join([pool[a], phrase, pool[b]])) for i, (a, b) in enumerate(rng.integers(0, len(pool), (count, 2)).tolist())]
+    limit = 1 << 20
+
+    def bounded(bodies, docs):
+        assert sum(map(len, bodies)) <= limit
+        return match(bodies, docs)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.copy, repeats.spans(r["at"], unit.width)) for r in repeats.removals(docs, unit, bounded).collect()}
+    want = brute_removal(rows, *((WORD.findall, 13, lambda x: " ".join(x).encode()) if which == "words" else (str.encode, 50, b"".join)))
+    for i, (n, removed, _, _) in want.items():
+        copy, (begin, end) = got[i]
+        assert (n if copy else int((end - begin).sum())) == removed
+    assert sum(removed > 0 for _, removed, _, _ in want.values()) > count / 2
+
+
 def test_window_minima_of_both_matchers():
     rng = np.random.default_rng(3)
     words = [rng.integers(0, 3, n).astype(np.int64) for n in (40, 13, 25, 60)]
