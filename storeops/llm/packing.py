@@ -1,7 +1,9 @@
 """Hierarchical packing of token ids into windows of several lengths.
 
-A document gives full 2048-token windows and one rest.  Rests are routed to context-size tiers; one that fills its tier's
-window exactly stays there, the others fill long windows, the longest first, whose gaps take the longest rests that fit.
+A document gives full 2048-token windows and one rest.  Rests are routed to context-size tiers by their length.  Those of
+the longest tier open long windows, the longest first, whose gaps take the longest shorter rests that fit.  Each short
+tier is then packed from its own rests and those left by shorter tiers, keeping windows that are exactly full; what is
+left fills long windows again.
 The plan needs only the histogram of rest lengths (at most 2047 rows, whatever the input); each rest then finds its place
 by its rank among the rests of its length.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 import base64
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,40 +61,76 @@ def tokenized(docs: DataFrame, ranks: str, length: int = LENGTH) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, n_tokens long, sums array<long>")
 
 
-def plan(histogram: dict[int, int], length: int = LENGTH, tiers=TIERS) -> tuple[dict[int, list[tuple[int, int, int, int]]], int]:
-    """Where the rests of each length go: (first rank, first window, rests per window, offset) entries, and the windows used.
-
-    Every step uses up one length, so there are at most ``length`` patterns.
+def exact_fill(left: dict[int, int], n: int, size: int) -> Counter[int] | None:
+    """Lengths still left that make up ``size`` together with one ``n``: the rest of the gap at each step by one or two, else the longest first."""
+    pattern = Counter([n])
+    free = lambda m: left.get(m, 0) - pattern[m]
+    gap = size - n
+    while gap:
+        if free(gap) > 0:
+            pattern[gap] += 1
+            return pattern
+        longest = 0
+        for m in range(gap - 1, 0, -1):
+            if free(m) > 0:
+                if free(gap - m) > (m == gap - m):
+                    pattern.update([m, gap - m])
+                    return pattern
+                longest = longest or m
+        if not longest:
+            return None
+        pattern[longest] += 1
+        gap -= longest
+    return pattern
+
+
+def plan(histogram: dict[int, int], length: int = LENGTH, tiers=TIERS) -> tuple[dict[int, list[tuple[int, int, int, int, int]]], int]:
+    """Where the rests of each length go: (first rank, first window, rests per window, offset, tier) entries, and the windows used.
+
+    Every pattern uses up one length, so there are at most ``length`` patterns.
     """
     left = {n: c for n, c in histogram.items() if c > 0}
     used: dict[int, int] = dict.fromkeys(left, 0)
-    places: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in left}
+    places: dict[int, list[tuple[int, int, int, int, int]]] = {n: [] for n in left}
     window = 0
-    for tier in tiers:  # exactly full short windows
-        if tier < length and tier in left:
-            places[tier].append((0, window, 1, 0))
-            window += left.pop(tier)
-    sizes = sorted(left)
-    while sizes:
-        pattern: dict[int, int] = {}
-        gap = length
-        at = len(sizes) - 1
-        while at >= 0:
-            n = sizes[at]
-            fit = min(gap // n, left[n])
-            if fit:
-                pattern[n] = fit
-                gap -= fit * n
-            at = min(at, bisect_right(sizes, gap)) - 1
+
+    def lay(pattern: dict[int, int], tier: int) -> None:
+        nonlocal window
         times = min(left[n] // c for n, c in pattern.items())
         offset = 0
         for n, c in pattern.items():
-            places[n].append((used[n], window, c, offset))
+            places[n].append((used[n], window, c, offset, tier))
             offset += n * c
             used[n] += times * c
             left[n] -= times * c
         window += times
-        sizes = [n for n in sizes if left[n]]
+
+    def fill_long(least: int) -> None:
+        """Long windows led by rests of at least ``least``, gaps taken by the longest rests that fit."""
+        sizes = sorted(n for n in left if left[n])
+        while sizes and sizes[-1] >= least:
+            pattern: dict[int, int] = {}
+            gap = length
+            at = len(sizes) - 1
+            while at >= 0:
+                n = sizes[at]
+                fit = min(gap // n, left[n])
+                if fit:
+                    pattern[n] = fit
+                    gap -= fit * n
+                at = min(at, bisect_right(sizes, gap)) - 1
+            lay(pattern, length)
+            sizes = [n for n in sizes if left[n]]
+
+    short = sorted(t for t in tiers if t < length)
+    above = 0
+    fill_long(short[-1] + 1 if short else 1)
+    for tier in short:  # exactly full
+        for n in sorted((n for n in left if above < n <= tier), reverse=True):
+            while left[n] and (pattern := exact_fill(left, n, tier)):
+                lay(pattern, tier)
+        above = tier
+    fill_long(1)
     return places, window
 
 
@@ -124,7 +163,7 @@ def pack(docs: DataFrame, ranks: str, length: int = LENGTH, tiers=TIERS, step_si
 
     A null or empty text is the closing id alone.  Repeated rows are packed each by itself; ties between equal rows are
     interchangeable.  A document of any length is cut, never dropped.  ``tier`` is the window's length and ``step`` its
-    step group: windows are numbered by pattern, longest rests first, and dealt to the steps in turn, so every step gets
+    step group: windows are numbered by pattern and dealt to the steps in turn, so every step gets
     an equal mix.  An empty table gives no rows.
     """
     cut = store(tokenized(docs, ranks, length), "token_cuts")
@@ -133,7 +172,6 @@ def pack(docs: DataFrame, ranks: str, length: int = LENGTH, tiers=TIERS, step_si
     n_full = cut.agg(F.sum(F.floor(F.col("n_tokens") / length))).first()[0] or 0
     steps = max(1, -(-(n_mixed + n_full) // step_size))
     table = {n: np.array(entries, np.int64).T for n, entries in places.items()}
-    short = {n for n in tiers if n < length}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,11 +185,11 @@ def pack(docs: DataFrame, ranks: str, length: int = LENGTH, tiers=TIERS, step_si
             for n in np.unique(col["rest"][row[is_rest]]):
                 mine = np.flatnonzero(is_rest & (col["rest"][row] == n))
                 rank = col["nth"][row[mine]]
-                first, window, per, at = table[n][:, np.searchsorted(table[n][0], rank, "right") - 1]
+                first, window, per, at, level = table[n][:, np.searchsorted(table[n][0], rank, "right") - 1]
                 sequence[mine] = window + (rank - first) // per
                 offset[mine] = at + (rank - first) % per * n
                 size[mine] = n
-                tier[mine] = n if n in short else length
+                tier[mine] = level
             sums = batch.column("sums").flatten()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(row)), pa.array(nth * length), pa.array(size), sums, pa.array(col["n_tokens"][row]),

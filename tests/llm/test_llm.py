@@ -428,6 +428,25 @@ def test_packing(which, request):
         assert at <= 2048
 
 
+def test_short_tiers_are_packed_from_several_rests(spark):
+    lengths = {250: 40, 6: 40, 300: 10, 212: 10, 700: 5, 200: 5, 124: 5, 1500: 3, 548: 3, 256: 2, 2048 + 90: 1}
+    texts = [" ".join(["the"] * (n - 1)) for n, c in lengths.items() for _ in range(c)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    windows = defaultdict(list)
+    for r in packing.pack(docs, rank_file()).collect():
+        assert r.doc_tokens in lengths
+        windows[r.sequence_id].append(r)
+    by_tier = defaultdict(list)
+    for pieces in windows.values():
+        (tier,) = {r.tier for r in pieces}
+        assert sorted(r.offset for r in pieces) == list(np.cumsum([0] + [r.length for r in sorted(pieces, key=lambda r: r.offset)])[:-1])
+        by_tier[tier].append(sorted(r.length for r in pieces))
+    assert sum(map(len, windows.values())) == len(texts) + 1
+    assert all(sum(x) == tier for tier in (256, 512, 1024) for x in by_tier[tier])
+    assert by_tier[256].count([6, 250]) == 40 and by_tier[256].count([256]) == 2 and by_tier[512].count([212, 300]) == 10 and by_tier[1024].count([124, 200, 700]) == 5
+    assert by_tier[2048].count([548, 1500]) == 3
+
+
 def test_same_ids_as_the_other_vocabulary_file():
     import public_tokenizers
     from tokenizers import Tokenizer
