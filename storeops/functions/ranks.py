@@ -36,7 +36,7 @@ def _cuts(rows: DataFrame, by: list[str], total: int, split_rows: int) -> DataFr
     return materialize(rows.sparkSession, sorted_keys.select(*by, picked.alias("_cuts")), "cuts")
 
 
-def ranked(df: DataFrame, by: list[str], order: list[Column], name: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def ranked(df: DataFrame, by: list[str], order: list[Column], name: str, split_rows: int | None = None) -> DataFrame:
     """``df`` with row numbers ``name`` (from 1) inside each ``by`` (nulls are one group; no columns: one group of all).
 
     Rows are ordered by the ascending ``order`` columns, nulls first.  Groups that a sample shows to be large are cut into
@@ -44,6 +44,7 @@ def ranked(df: DataFrame, by: list[str], order: list[Column], name: str, split_r
     groups are one range.  ``df`` is read up to four times and must give the same rows each time; rows that agree in the
     whole order key share a range, so end ``order`` with a stored row id where one key may hold very many rows.
     """
+    split_rows = split_rows or SPLIT_ROWS
     total = df.count()
     rows = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
     kept = df.columns
