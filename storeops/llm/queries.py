@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm import bwt, licenses, mixing, neardup, packing, quality, sharding, substrings, topk, toxicity
+from storeops.llm import bwt, licenses, merkle, mixing, neardup, packing, quality, resampling, sharding, simhash, substrings, topk, toxicity
 from storeops.llm.common import table
 
 
@@ -62,11 +62,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), rank_file())
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_minhash_near_dedup, op3_quality_rules, op4_toxicity, op5_substring_dedup,
         op6_exact_top_k, op7_source_mixing, op8_bwt_dedup, op9_license_scan, op10_packing,
+        op11_importance_resampling, op12_simhash_near_dedup, op13_merkle_manifest,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": topk.oracle(), "op7_source_mixing": mixing.oracle()}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_top_k": topk.oracle(), "op7_source_mixing": mixing.oracle(),
+    "op11_importance_resampling": resampling.oracle(), "op13_merkle_manifest": merkle.oracle(),
+}
