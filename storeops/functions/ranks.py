@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storeops.session import materialize
 
-SPLIT_ROWS = 50_000  # rows one task sorts of a group, as far as the sample can tell
+SPLIT_ROWS = 5_000  # rows one task sorts of a group, as far as the sample can tell
 SAMPLE_ROWS = 100_000  # sampled order keys of the whole table
 LEAST_SAMPLES = 20  # sampled keys a split stands for, at least
 FINE = 32  # cuts below one coarse cut; a group has at most FINE * FINE splits
