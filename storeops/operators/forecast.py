@@ -5,8 +5,6 @@ A *forecast* is a table (category, ds, yhat, yhat_lower, yhat_upper).
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,79 +39,45 @@ def weekly_features(weekly: DataFrame) -> DataFrame:
     return weekly.withColumn("y", F.log1p(dbl(F.col("qty")))).withColumn("t", t).withColumn("quarter", F.quarter("week_start"))
 
 
-def fit_weekly(features: DataFrame) -> ols.Fit:
-    """y ~ category + quarter + t.
+def _quarters(quarter: Column) -> dict[str, Column]:
+    return {f"quarter={q}": F.when(quarter == q, 1.0).otherwise(0.0) for q in (2, 3, 4)}
 
-    One aggregate row per (category, quarter) carries everything the normal
-    equations need, however many weeks or categories there are.
-    """
-    y, t = F.col("y"), dbl(F.col("t"))
-    cells = features.groupBy("category", "quarter").agg(
-        count_big().alias("n"), F.sum(t).alias("t"), F.sum(t * t).alias("tt"), F.sum(y).alias("y"), F.sum(y * y).alias("yy"), F.sum(t * y).alias("ty")
-    ).toPandas().sort_values(["category", "quarter"])
-    categories, quarters = sorted(cells["category"].unique()), sorted(cells["quarter"].unique())
-    names = ["Intercept", *[f"category={c}" for c in categories[1:]], *[f"quarter={q}" for q in quarters[1:]], "t"]
-    at = {n: i for i, n in enumerate(names)}
-    gram, moment = np.zeros((len(names), len(names))), np.zeros(len(names))
-    for cell in cells.itertuples():
-        on = [0] + [at[k] for k in (f"category={cell.category}", f"quarter={cell.quarter}") if k in at]
-        gram[np.ix_(on, on)] += cell.n
-        gram[on, -1] += cell.t
-        gram[-1, on] += cell.t
-        gram[-1, -1] += cell.tt
-        moment[on] += cell.y
-        moment[-1] += cell.ty
-    return ols.solve(names, gram, moment, int(cells["n"].sum()), float(cells["y"].sum()), float(cells["yy"].sum()))
-
-
-def model_summary(spark, fit: ols.Fit) -> DataFrame:
-    row = (fit.n, len(fit.beta), float(fit.r2), float(fit.r2_adj), float(fit.aic), float(fit.bic))
-    return spark.createDataFrame([row], "n bigint, parameters int, r2 double, r2_adj double, aic double, bic double")
-
-
-def coefficients(spark, fit: ols.Fit) -> DataFrame:
+
+def fit_weekly(features: DataFrame) -> ols.SweptFit:
+    """y ~ category + quarter + t; the category is swept out, so the driver only solves for quarters and trend."""
+    return ols.fit_swept(features, "category", F.col("y"), {**_quarters(F.col("quarter")), "t": F.col("t")})
+
+
+def model_summary(fit: ols.SweptFit) -> DataFrame:
+    row = (fit.n, fit.parameters, float(fit.r2), float(fit.r2_adj), float(fit.aic), float(fit.bic))
+    return fit.levels.sparkSession.createDataFrame([row], "n bigint, parameters bigint, r2 double, r2_adj double, aic double, bic double")
+
+
+def coefficients(fit: ols.SweptFit) -> DataFrame:
     """Coefficients with p-value, stars and the reading of the trend."""
-    rows = [(n, float(b), float(p)) for n, b, p in zip(fit.names, fit.beta, fit.p_values())]
     p, b = F.col("p_value"), F.col("coefficient")
     stars = F.when(p < 0.01, "***").when(p < 0.05, "**").when(p < 0.1, "*").otherwise("")
     trend = F.when(p >= 0.05, "NO SIGNIFICANT TREND").when(b > 0, "SIGNIFICANT GROWTH").otherwise("SIGNIFICANT DECLINE")
-    out = spark.createDataFrame(rows, "term string, coefficient double, p_value double")
+    out = ols.with_p_values(fit.terms(), fit.n - fit.parameters)
     return out.withColumn("stars", stars).withColumn("reading", F.when(F.col("term") == "t", trend))
 
 
-def weekly_forecast(features: DataFrame, fit: ols.Fit, weeks: int = 26) -> DataFrame:
+def weekly_forecast(features: DataFrame, fit: ols.SweptFit, weeks: int = 26) -> DataFrame:
     """Mean and 95 % band for the next weeks of every category.
 
-    The grid is built and scored in Spark; the fitted model travels as one row
-    per (category, quarter) with its level and the parts of the variance.
+    Every category is one row of the fit that is unfolded to the weeks ahead; nothing is joined.
     """
-    spark = features.sparkSession
-    index = {n: i for i, n in enumerate(fit.names)}
-    categories = [None] + [n[9:] for n in fit.names if n.startswith("category=")]
-    cells = []
-    for c in categories:
-        for q in range(1, 5):
-            d = np.zeros(len(fit.names))
-            d[0] = 1
-            for key in (f"category={c}", f"quarter={q}"):
-                if key in index:
-                    d[index[key]] = 1
-            cells.append((c, q, float(d @ fit.beta), float(fit.beta[-1]), float(d @ fit.cov @ d), float(fit.cov[-1] @ d), float(fit.cov[-1, -1])))
-    model = spark.createDataFrame(cells, "known string, quarter int, level double, slope double, v0 double, v1 double, v2 double")
-    known = F.when(F.col("category").isin([c for c in categories if c]), F.col("category"))
-    grid = features.select("category").distinct().select(
-        "category", known.alias("known"), F.explode(F.sequence(F.lit(1), F.lit(weeks))).alias("week_ahead"),
+    grid = fit.levels.select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(weeks))).alias("week_ahead"),
         features.select(F.max("week_start").alias("v")).scalar().alias("last"), features.select(F.max("t").alias("v")).scalar().alias("t0"),
     )
-    grid = grid.withColumn("week_start", F.date_add("last", F.col("week_ahead") * 7)).withColumn("quarter", F.quarter("week_start"))
-    rows = grid.join(F.broadcast(model), grid.known.eqNullSafe(model.known) & (grid.quarter == model.quarter)).drop(model.quarter)
-    t = F.col("t0") + F.col("week_ahead")
-    mean = F.col("level") + F.col("slope") * t
-    half = 1.96 * F.sqrt(F.greatest(F.col("v0") + 2 * F.col("v1") * t + F.col("v2") * t * t, F.lit(0.0)))
+    rows = grid.withColumn("week_start", F.date_add("last", F.col("week_ahead") * 7))
+    quarters = _quarters(F.quarter("week_start"))
+    mean, se = fit.mean_and_se([*quarters.values(), F.col("t0") + F.col("week_ahead")])
     back = lambda x: F.greatest(F.round(F.expm1(x), 1), F.lit(0.0))
     return rows.select(
         "category", "week_ahead", "week_start", F.extract(F.lit("YEAROFWEEK"), F.col("week_start")).cast("int").alias("iso_year"),
-        F.weekofyear("week_start").alias("iso_week"), back(mean).alias("mean"), back(F.greatest(mean - half, F.lit(0.0))).alias("low"), back(mean + half).alias("high"),
+        F.weekofyear("week_start").alias("iso_week"), back(mean).alias("mean"), back(F.greatest(mean - 1.96 * se, F.lit(0.0))).alias("low"), back(mean + 1.96 * se).alias("high"),
     )
 
 
@@ -155,56 +119,6 @@ def zero_filled_months(monthly: DataFrame) -> DataFrame:
     return grid.join(monthly, ["category", "month"], "left").select("category", "month", big(F.coalesce("qty", F.lit(0))).alias("qty"))
 
 
-SEASONAL_SCHEMA = (
-    "category string, ds date, y double, yhat double, yhat_lower double, yhat_upper double, "
-    "trend double, yearly double, holidays double"
-)
-FOURIER_ORDER = 10
-BAND_80 = 1.2815515655446004  # standard normal quantile of 0.9
-
-
-def _seasonal_fit(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Log-linear trend, yearly harmonics and holiday dummies of one series."""
-    pdf = pdf.sort_values("ds").reset_index(drop=True)
-    days = (pd.to_datetime(pdf["ds"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
-    scale = max(days.max() - days.min(), 1.0)
-    trend = np.column_stack([np.ones(len(pdf)), (days - days.min()) / scale])
-    angle = 2 * np.pi * days[:, None] / 365.25 * np.arange(1, FOURIER_ORDER + 1)[None, :]
-    season = np.hstack([np.sin(angle), np.cos(angle)])
-    names = sorted(h for h in pdf["holiday"].dropna().unique())
-    marks = np.column_stack([(pdf["holiday"] == h).to_numpy(dtype=float) for h in names]) if names else np.zeros((len(pdf), 0))
-    x = np.hstack([trend, season, marks])
-    seen = pdf["y"].notna().to_numpy()
-    target = np.log1p(pdf.loc[seen, "y"].to_numpy(dtype=float))
-    # a light ridge keeps harmonics and holidays that the data cannot tell apart finite
-    penalty = np.diag([0.0, 0.0] + [0.1] * season.shape[1] + [1.0] * marks.shape[1])
-    beta = np.linalg.solve(x[seen].T @ x[seen] + penalty + 1e-9 * np.eye(x.shape[1]), x[seen].T @ target)
-    sigma = float(np.std(target - x[seen] @ beta))
-    level, s = trend @ beta[:2], season @ beta[2 : 2 + season.shape[1]]
-    h = marks @ beta[2 + season.shape[1] :]
-    mean = level + s + h
-    back = lambda v: np.maximum(np.expm1(v), 0.0)
-    return pd.DataFrame({
-        "category": pdf["category"], "ds": pdf["ds"], "y": pdf["y"].astype(float), "yhat": back(mean),
-        "yhat_lower": back(mean - BAND_80 * sigma), "yhat_upper": back(mean + BAND_80 * sigma),
-        "trend": back(level), "yearly": np.expm1(s), "holidays": np.expm1(h),
-    })
-
-
-def seasonal_forecast(demand: DataFrame, holidays: DataFrame, horizon: int = 182) -> DataFrame:
-    """History and ``horizon`` days ahead for every category, 80 % band.
-
-    Series are daily category totals, so a group holds at most one row per
-    calendar day.
-    """
-    span = demand.groupBy("category").agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
-    grid = span.select("category", F.explode(F.sequence("a", F.date_add("b", horizon))).alias("ds"))
-    named = holidays.groupBy(F.col("day").alias("ds")).agg(F.min("holiday").alias("holiday"))
-    rows = grid.join(demand, ["category", "ds"], "left").join(F.broadcast(named), "ds", "left")
-    rows = rows.select("category", "ds", dbl(F.col("y")).alias("y"), "holiday")
-    return rows.groupBy("category").applyInPandas(_seasonal_fit, SEASONAL_SCHEMA)
-
-
 def future_part(forecast: DataFrame, demand: DataFrame) -> DataFrame:
     last = demand.select(F.max("ds").alias("v")).scalar()
     return forecast.where(F.col("ds") > last)
@@ -252,9 +166,9 @@ def cover_need(forecast: DataFrame, days: int = 120, margin_pct: int = 20) -> Da
     )
 
 
-def forecast_totals(forecast: DataFrame, cutoff: str) -> DataFrame:
+def forecast_totals(forecast: DataFrame, cutoff: Column) -> DataFrame:
     """Totals up to a cut-off date, with day count and range."""
-    return forecast.where(F.col("ds") < F.lit(cutoff).cast("date")).groupBy("category").agg(
+    return forecast.where(F.col("ds") < cutoff).groupBy("category").agg(
         F.round(F.sum("yhat"), 2).alias("total"), count_big().alias("days"), F.min("ds").alias("first_day"), F.max("ds").alias("last_day")
     )
 
@@ -330,13 +244,3 @@ def model_gate(summary: DataFrame, forecast: DataFrame, min_r2: float = 0.70) ->
         F.lit("forecast not positive").alias("check_name"), dbl(F.col("n")).alias("value"), F.lit(0.0).alias("threshold"),
         F.when(F.col("n") == 0, "PASS").otherwise("BLOCK").alias("status"))
     return r2.unionByName(low)
-
-
-def seasonal_summary(forecast: DataFrame) -> DataFrame:
-    """Spread of the yearly factor and days with a holiday effect."""
-    return forecast.groupBy("category").agg(
-        count_big().alias("days"), F.round(F.min("yearly"), 4).alias("yearly_min"), F.round(F.avg("yearly"), 4).alias("yearly_mean"),
-        F.round(F.max("yearly"), 4).alias("yearly_max"), F.count_if(F.col("holidays") != 0).alias("holiday_days"),
-    )
-
-

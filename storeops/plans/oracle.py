@@ -75,9 +75,31 @@ FROM fact_inventory GROUP BY product_id""",
 }
 
 
-def define(name: str, sql: str) -> None:
-    """Register a shared CTE for later oracle queries."""
+ONCE: set[str] = set()
+
+
+def define(name: str, sql: str, once: bool = False) -> None:
+    """Register a shared CTE for later oracle queries; ``once``: computed once though read often."""
     CTES[name] = sql
+    if once:
+        ONCE.add(name)
+
+
+def define_sweep(name: str, start: str, size: int, part: str = "part") -> str:
+    """Registers the sweeps of a symmetric system (part, i, j, v), i and j from 1, over its first ``size`` indices.
+
+    Returns the name of the last CTE: minus the inverse inside, the solution against every further column, and the
+    remaining sums of squares and products of the further columns.
+    """
+    before = start
+    for k in range(1, size + 1):
+        now = f"{name}_{k}"
+        define(now, f"""
+SELECT a.{part}, a.i, a.j, CASE WHEN a.i = {k} AND a.j = {k} THEN -1 / d.v WHEN a.i = {k} OR a.j = {k} THEN a.v / d.v ELSE a.v - r.v * c.v / d.v END AS v
+FROM {before} a JOIN {before} r ON r.{part} = a.{part} AND r.i = a.i AND r.j = {k} JOIN {before} c ON c.{part} = a.{part} AND c.i = {k} AND c.j = a.j
+  JOIN {before} d ON d.{part} = a.{part} AND d.i = {k} AND d.j = {k}""", once=True)
+        before = now
+    return before
 
 
 def expand(sql: str) -> str:
@@ -93,7 +115,7 @@ def expand(sql: str) -> str:
 
     visit(sql)
     sql = sql.strip()
-    prefix = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in needed)
+    prefix = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in ONCE else ''}({CTES[name].strip()})" for name in needed)
     if not prefix:
         return sql
     if sql[:5].upper() == "WITH ":

@@ -8,7 +8,7 @@ from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.plans.run_i_control import alerts
 from storeops.plans.run_k_stock import CLOTHING, JEWELLERY, snap, supplier_products
-from storeops.plans.run_r_models import MAJOR, given_forecast
+from storeops.plans.run_r_models import MAJOR, forecast_days
 from storeops.session import work_path
 from storeops.sources import tables
 
@@ -20,14 +20,14 @@ define("velocity_rows", """
 SELECT product_id, stock, sold, selling_days, all_days, sold::double / selling_days::double AS chain_velocity, greatest(sold::double / all_days::double, 0.0001::double) AS velocity
 FROM (SELECT product_id, arg_max(stock, move_date) AS stock, cast(sum(qty_sold) AS bigint) AS sold FROM fact_inventory GROUP BY 1), day_counts""")
 define("horizon", """
-SELECT category AS forecast_group, sum(yhat) AS total, sum(yhat) / count(*)::double AS daily_mean FROM given_forecast WHERE ds - (SELECT min(ds) FROM given_forecast) < 120 GROUP BY 1""")
+SELECT category AS forecast_group, sum(yhat) AS total, sum(yhat) / count(*)::double AS daily_mean FROM forecast_days WHERE ds - (SELECT min(ds) FROM forecast_days) < 120 GROUP BY 1""")
 define("candidates", """
 SELECT d.*, v.* EXCLUDE (product_id), CASE WHEN category IN ('STANDARD', 'MEDIUM', 'LARGE', 'PROMO') THEN category ELSE 'OTHER' END AS forecast_group
 FROM dim_product d JOIN velocity_rows v USING (product_id) WHERE status = 'ACTIVE'""")
 
 
 def totals(m):
-    return p.horizon_totals(given_forecast(m))
+    return p.horizon_totals(forecast_days(m))
 
 
 def rows(m):
@@ -173,12 +173,12 @@ def _(m):
 
 
 @query("P14_category_need", """
-WITH f AS (SELECT category, round(sum(yhat), 0) AS forecast FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY ds) AS r FROM given_forecast) WHERE r <= 120 GROUP BY 1),
+WITH f AS (SELECT category, round(sum(yhat), 0) AS forecast FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY ds) AS r FROM forecast_days) WHERE r <= 120 GROUP BY 1),
 s AS (SELECT category, sum(stock) AS stock FROM snapshot JOIN dim_product USING (product_id) WHERE status = 'ACTIVE' GROUP BY 1)
 SELECT category, cast(coalesce(stock, 0) AS bigint) AS stock, coalesce(forecast, 0.0::double) AS forecast, CASE WHEN forecast IS NULL THEN 0.0::double ELSE greatest(forecast - coalesce(stock, 0)::double, 0.0::double) END AS need,
   CASE WHEN coalesce(forecast, 0) > 0 THEN round(coalesce(stock, 0)::double / (forecast / 120), 0) ELSE 999.0::double END AS coverage_days FROM f FULL JOIN s USING (category)""")
 def _(m):
-    return p.category_need(given_forecast(m), snap(m), m.dim_product)
+    return p.category_need(forecast_days(m), snap(m), m.dim_product)
 
 
 define("category_rates", """

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from storeops.functions.columns import dbl
-from storeops.operators import elasticity as el, forecast as fc, holidays
-from storeops.plans.oracle import define
+from storeops.operators import elasticity as el, forecast as fc, holidays, seasonal
+from storeops.plans.oracle import define, define_sweep
 from storeops.plans.registry import query
 from storeops.session import materialize
 
@@ -88,43 +88,84 @@ def _(m):
     return fc.weekly_features(weekly(m)).select("category", "week_start", "qty", F.round("y", 6).alias("y"), "t", "quarter")
 
 
-@query("R9_weekly_regression")
+# the regression in SQL: categories are swept out by their own sums, quarters and trend by Gauss-Jordan steps
+define("reg_rows", """
+SELECT category, ln(1 + qty::double) AS y, ((week_start - (SELECT min(week_start) FROM weekly)) // 7)::double AS t, quarter(week_start) AS q FROM weekly""", once=True)
+define("reg_long", """
+SELECT category, row, i, CASE i WHEN 4 THEN t WHEN 5 THEN y ELSE CASE WHEN q = i + 1 THEN 1.0::double ELSE 0.0::double END END AS x
+FROM (SELECT *, row_number() OVER () AS row FROM reg_rows), (SELECT unnest(range(1, 6)) AS i)""", once=True)
+define("reg_levels", "SELECT category, i, count(*)::double AS n, sum(x) / count(*) AS mean FROM reg_long GROUP BY 1, 2", once=True)
+define("reg_within", """
+SELECT 0 AS part, a.i, b.i AS j, sum((a.x - ma.mean) * (b.x - mb.mean)) AS v FROM reg_long a JOIN reg_long b USING (row)
+  JOIN reg_levels ma ON ma.category = a.category AND ma.i = a.i JOIN reg_levels mb ON mb.category = b.category AND mb.i = b.i GROUP BY 1, 2, 3""", once=True)
+_REG = define_sweep("reg_sweep", "reg_within", 4)
+define("reg_fit", f"""
+SELECT n, c + 4 AS k, (SELECT v FROM {_REG} WHERE i = 5 AND j = 5) AS rss, tss, (SELECT v FROM {_REG} WHERE i = 5 AND j = 5) / (n - c - 4) AS s2
+FROM (SELECT count(*) AS n, var_pop(y) * count(*) AS tss, count(DISTINCT category) AS c FROM reg_rows)""", once=True)
+define("reg_summary", """
+SELECT n, k AS parameters, round(1 - rss / tss, 6) AS r2, round(1 - (rss / tss) * (n - 1) / (n - k), 6) AS r2_adj,
+  round(2 * k + n * (ln(2 * pi() * rss / n) + 1), 6) AS aic, round(ln(n) * k + n * (ln(2 * pi() * rss / n) + 1), 6) AS bic FROM reg_fit""")
+
+
+@query("R9_weekly_regression", "SELECT * FROM reg_summary")
 def _(m):
-    return fc.model_summary(m.spark, fc.fit_weekly(fc.weekly_features(weekly(m))))
+    return rounded(fc.model_summary(fc.fit_weekly(fc.weekly_features(weekly(m)))), "r2", "r2_adj", "aic", "bic")
+
+
+# p-values by Simpson's rule on Student's t, as an integral over the angle atan(t / sqrt(df))
+define("reg_terms", f"""
+WITH base AS (SELECT min(category) AS c FROM reg_rows),
+d AS (SELECT a.category, a.i, a.n, CASE WHEN a.category = c THEN a.mean ELSE a.mean - b.mean END AS m, b.n AS bn, a.category = c AS is_base
+  FROM reg_levels a, base, reg_levels b WHERE b.category = c AND b.i = a.i),
+level AS (SELECT category, any_value(n) AS n, any_value(bn) AS bn, any_value(is_base) AS is_base, sum(CASE WHEN i = 5 THEN m ELSE -m * w.v END) AS b
+  FROM d LEFT JOIN (SELECT i AS wi, v FROM {_REG} WHERE j = 5 AND i < 5) w ON wi = i GROUP BY 1),
+spread AS (SELECT x.category, -sum(x.m * z.m * w.v) AS q FROM d x JOIN d z USING (category) JOIN {_REG} w ON w.i = x.i AND w.j = z.i WHERE x.i < 5 AND z.i < 5 GROUP BY 1)
+SELECT CASE WHEN is_base THEN 'Intercept' ELSE concat('category=', category) END AS term, b AS coefficient,
+  sqrt(s2 * (q + 1 / n + CASE WHEN is_base THEN 0 ELSE 1 / bn END)) AS se FROM level JOIN spread USING (category), (SELECT s2 FROM reg_fit)
+UNION ALL
+SELECT CASE w.i WHEN 4 THEN 't' ELSE concat('quarter=', w.i + 1) END, w.v, sqrt(-u.v * s2) FROM {_REG} w JOIN {_REG} u ON u.i = w.i AND u.j = w.i, (SELECT s2 FROM reg_fit)
+WHERE w.j = 5 AND w.i < 5""", once=True)
+_TAIL = lambda a: f"list_sum(list_transform(range(8001), lambda i: (CASE WHEN i IN (0, 8000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * (pi() / 2 - {a}) / 24000 * pow(cos({a} + (pi() / 2 - {a}) * i / 8000), (n - k - 1)::double)))"
+
+
+@query("R10_coefficients", f"""
+WITH p AS (SELECT term, coefficient, {_TAIL('atan(abs(coefficient / se) / sqrt(n - k))')} / {_TAIL('0.0::double')} AS p_value FROM reg_terms, reg_fit)
+SELECT term, round(coefficient, 6) AS coefficient, round(p_value, 6) AS p_value,
+  CASE WHEN p_value < 0.01 THEN '***' WHEN p_value < 0.05 THEN '**' WHEN p_value < 0.1 THEN '*' ELSE '' END AS stars,
+  CASE WHEN term <> 't' THEN NULL WHEN p_value >= 0.05 THEN 'NO SIGNIFICANT TREND' WHEN coefficient > 0 THEN 'SIGNIFICANT GROWTH' ELSE 'SIGNIFICANT DECLINE' END AS reading FROM p""")
+def _(m):
+    out = fc.coefficients(fc.fit_weekly(fc.weekly_features(weekly(m))))
+    return rounded(out.drop("se"), "coefficient", "p_value")
 
 
-@query("R10_coefficients")
-def _(m):
-    return fc.coefficients(m.spark, fc.fit_weekly(fc.weekly_features(weekly(m))))
+define("weekly_ahead", f"""
+WITH g AS (SELECT category, week_ahead, cast((SELECT max(week_start) FROM weekly) + cast(7 * week_ahead AS int) AS date) AS week_start, (SELECT max(t) FROM reg_rows) + week_ahead AS t
+  FROM (SELECT DISTINCT category FROM weekly), (SELECT unnest(range(1, 27)) AS week_ahead)),
+x AS (SELECT g.category, week_ahead, week_start, i, l.n, l.mean, CASE WHEN i = 4 THEN t WHEN i = 5 THEN 0 WHEN quarter(week_start) = i + 1 THEN 1.0::double ELSE 0.0::double END - l.mean AS d
+  FROM g JOIN reg_levels l USING (category)),
+s AS (SELECT a.category, a.week_ahead, -sum(a.d * b.d * w.v) AS q FROM x a JOIN x b USING (category, week_ahead) JOIN {_REG} w ON w.i = a.i AND w.j = b.i WHERE a.i < 5 AND b.i < 5 GROUP BY 1, 2),
+m AS (SELECT category, week_ahead, any_value(week_start) AS week_start, any_value(n) AS n, sum(CASE WHEN i = 5 THEN mean ELSE d * w.v END) AS mu
+  FROM x LEFT JOIN (SELECT i AS wi, v FROM {_REG} WHERE j = 5 AND i < 5) w ON wi = i GROUP BY 1, 2),
+f AS (SELECT category, cast(week_ahead AS int) AS week_ahead, week_start, mu, 1.96::double * sqrt(s2 * (1 / n + q)) AS half FROM m JOIN s USING (category, week_ahead), (SELECT s2 FROM reg_fit))
+SELECT category, week_ahead, week_start, cast(isoyear(week_start) AS int) AS iso_year, cast(weekofyear(week_start) AS int) AS iso_week,
+  greatest(round(exp(mu) - 1, 1), 0.0::double) AS mean, greatest(round(exp(greatest(mu - half, 0.0::double)) - 1, 1), 0.0::double) AS low, greatest(round(exp(mu + half) - 1, 1), 0.0::double) AS high FROM f""", once=True)
 
 
-@query("R11_weekly_forecast")
-def _(m):
+def weekly_ahead(m):
     features = fc.weekly_features(weekly(m))
     return fc.weekly_forecast(features, fc.fit_weekly(features))
 
 
-# the last 26 observed weeks stand in for a given weekly forecast
-define("given_weekly", """
-SELECT category, week_ahead, qty::double AS mean, round(qty * 0.8::double, 1) AS low, round(qty * 1.25::double, 1) AS high
-FROM (SELECT category, qty, cast((week_start - (SELECT max(week_start) - 182 FROM weekly)) // 7 AS int) AS week_ahead FROM weekly) WHERE week_ahead >= 1""")
-
-
-def given_weekly(m):
-    rows = materialize(m.spark, weekly(m), "weekly")
-    last = rows.select(F.max("week_start").alias("v")).scalar()
-    ahead = (F.date_diff(F.col("week_start"), F.date_sub(last, 182)) / 7).cast("int")
-    return rows.select(
-        "category", ahead.alias("week_ahead"), dbl(F.col("qty")).alias("mean"),
-        F.round(F.col("qty") * F.lit(0.8), 1).alias("low"), F.round(F.col("qty") * F.lit(1.25), 1).alias("high"),
-    ).where(F.col("week_ahead") >= 1)
+@query("R11_weekly_forecast", "SELECT * FROM weekly_ahead")
+def _(m):
+    return weekly_ahead(m)
 
 
 @query("R12_purchase_quantity", """
 SELECT category, round(sum(mean), 1) AS mean_total, round(sum(low), 1) AS low_total, round(sum(high), 1) AS high_total, cast(count(*) AS int) AS weeks
-FROM given_weekly WHERE week_ahead <= 18 GROUP BY 1""")
+FROM weekly_ahead WHERE week_ahead <= 18 GROUP BY 1""")
 def _(m):
-    return fc.purchase_quantity(given_weekly(m))
+    return fc.purchase_quantity(weekly_ahead(m))
 
 
 STORES = [3, 4, 6, 7, 8, 9, 15, 16, 20, 23]
@@ -167,10 +208,59 @@ def _(m):
     return rows.groupBy("category").agg(F.count(F.lit(1)).alias("days"))
 
 
-@query("R16_seasonal_forecast")
+# the seasonal fit in SQL: design rows by name, their Gram matrix, Gauss-Jordan steps, and the days scored by the solution
+HOLIDAYS = 10  # federal ones
+SIZE = 2 + 2 * seasonal.FOURIER_ORDER + HOLIDAYS
+define("federal", "SELECT day AS ds, min(holiday) AS holiday FROM holiday_days WHERE kind = 'FEDERAL' GROUP BY 1")
+define("federal_no", "SELECT holiday, row_number() OVER (ORDER BY holiday) AS h FROM (SELECT DISTINCT holiday FROM federal)")
+define("series", "SELECT * FROM grouped_demand WHERE category IN (SELECT category FROM grouped_demand GROUP BY 1 HAVING count(*) >= 30)", once=True)
+define("seasonal_days", """
+SELECT category, g.ds, y::double AS y, h, (g.ds - a)::double / greatest(b - a, 1)::double AS tau, 2 * pi() * (g.ds - DATE '1970-01-01')::double / 365.25 AS angle
+FROM (SELECT category, a, b, cast(unnest(generate_series(a::timestamp, b::timestamp, INTERVAL 1 DAY)) AS date) AS ds
+      FROM (SELECT category, min(ds) AS a, cast(max(ds) + 182 AS date) AS b FROM series GROUP BY 1)) g
+  LEFT JOIN series s USING (category, ds) LEFT JOIN federal f ON f.ds = g.ds LEFT JOIN federal_no USING (holiday)""", once=True)
+define("seasonal_design", f"""
+SELECT category, ds, y, i, CASE WHEN i = 1 THEN 1.0::double WHEN i = 2 THEN tau WHEN i <= 12 THEN sin(angle * (i - 2)) WHEN i <= 22 THEN cos(angle * (i - 12)) WHEN i <= {SIZE} THEN 1.0::double ELSE ln(1 + y) END AS x
+FROM (SELECT *, unnest(range(1, {SIZE + 2})) AS i FROM seasonal_days) WHERE i <= 22 OR (i = 22 + h) OR (i = {SIZE + 1} AND y IS NOT NULL)""", once=True)
+define("seasonal_gram", f"""
+WITH g AS (SELECT a.category, a.i, b.i AS j, sum(a.x * b.x) AS v FROM seasonal_design a JOIN seasonal_design b USING (category, ds) WHERE a.y IS NOT NULL GROUP BY 1, 2, 3)
+SELECT category AS part, i, j, coalesce(v, 0.0::double) + CASE WHEN i <> j OR i > {SIZE} THEN 0.0::double WHEN i <= 2 THEN 1e-9::double WHEN i <= 22 THEN 0.1::double + 1e-9::double ELSE 1.0::double + 1e-9::double END AS v
+FROM (SELECT category, i, unnest(range(1, {SIZE + 2})) AS j FROM (SELECT category, unnest(range(1, {SIZE + 2})) AS i FROM (SELECT DISTINCT category FROM series))) c LEFT JOIN g USING (category, i, j)""", once=True)
+_SOLVED = define_sweep("seasonal_sweep", "seasonal_gram", SIZE)
+define("seasonal", f"""
+WITH f AS (SELECT d.category, d.ds, any_value(d.y) AS y, sum(d.x * w.v) AS mean, sum(CASE WHEN d.i <= 2 THEN d.x * w.v END) AS level,
+    sum(CASE WHEN d.i BETWEEN 3 AND 22 THEN d.x * w.v END) AS season, coalesce(sum(CASE WHEN d.i > 22 THEN d.x * w.v END), 0.0::double) AS mark
+  FROM seasonal_design d JOIN {_SOLVED} w ON w.part = d.category AND w.i = d.i AND w.j = {SIZE + 1} WHERE d.i <= {SIZE} GROUP BY 1, 2),
+s AS (SELECT category, stddev_pop(ln(1 + y) - mean) AS sigma FROM f WHERE y IS NOT NULL GROUP BY 1)
+SELECT category, ds, y, greatest(exp(mean) - 1, 0.0::double) AS yhat, greatest(exp(mean - {seasonal.BAND_80} * sigma) - 1, 0.0::double) AS yhat_lower,
+  greatest(exp(mean + {seasonal.BAND_80} * sigma) - 1, 0.0::double) AS yhat_upper, greatest(exp(level) - 1, 0.0::double) AS trend, exp(season) - 1 AS yearly, exp(mark) - 1 AS holidays
+FROM f JOIN s USING (category)""", once=True)
+
+
+def seasonal_rows(m):
+    """History and forecast of the grouped demand."""
+    federal = holidays.holiday_calendar(m.date_span).where(F.col("kind") == "FEDERAL")
+    return seasonal.seasonal_forecast(fc.long_enough(grouped(m)), federal)
+
+
+_SEASONAL = ("yhat", "yhat_lower", "yhat_upper", "trend", "yearly", "holidays")
+
+
+@query("R16_seasonal_forecast", "SELECT category, ds, y, " + ", ".join(f"round({c}, 5) AS {c}" for c in _SEASONAL) + " FROM seasonal")
 def _(m):
-    series = fc.long_enough(grouped(m))
-    return fc.seasonal_forecast(series, holidays.holiday_calendar(m.date_span).where(F.col("kind") == "FEDERAL"))
+    return seasonal_rows(m).select("category", "ds", "y", *[F.round(c, 5).alias(c) for c in _SEASONAL])
+
+
+@query("R16_gram_matrix", """
+SELECT category, coalesce(holiday, '-') AS holiday, cast(k AS int) AS k, """ + ", ".join(f"round(sum({e}), 6) AS {n}" for n, e in {
+    "c": "cos(angle * k)", "s": "sin(angle * k)", "tc": "tau * cos(angle * k)", "ts": "tau * sin(angle * k)", "zc": "ln(1 + y) * cos(angle * k)", "zs": "ln(1 + y) * sin(angle * k)",
+}.items()) + """
+FROM seasonal_days LEFT JOIN federal_no USING (h), (SELECT unnest(range(21)) AS k) WHERE y IS NOT NULL GROUP BY 1, 2, 3""")
+def _(m):
+    federal = holidays.holiday_calendar(m.date_span).where(F.col("kind") == "FEDERAL")
+    moments = seasonal.seasonal_moments(seasonal.seasonal_grid(fc.long_enough(grouped(m)), federal))
+    # no negative zero in sums that vanish
+    return moments.select("category", F.coalesce("holiday", F.lit("-")).alias("holiday"), "k", *[(F.round(c, 6) + 0.0).alias(c) for c in ("c", "s", "tc", "ts", "zc", "zs")])
 
 
 @query("R17_zero_filled_months", """
@@ -184,26 +274,21 @@ def _(m):
     return fc.zero_filled_months(monthly)
 
 
-# the last 182 observed days stand in for a given daily forecast
-define("given_forecast", """
-SELECT category, ds, y::double AS yhat, y * 0.75::double AS yhat_lower, y * 1.25::double AS yhat_upper FROM grouped_demand
-WHERE ds > (SELECT max(ds) - 182 FROM grouped_demand)""")
+# the days ahead, to four decimals, as a forecast table would keep them
+define("forecast_days", "SELECT category, ds, " + ", ".join(f"round({c}, 4) AS {c}" for c in _SEASONAL[:3]) + " FROM seasonal WHERE ds > (SELECT max(ds) FROM series)", once=True)
 
 
-def given_forecast(m):
-    """A stored forecast table, as a training run would leave it."""
-    rows = grouped(m)
-    last = rows.select(F.max("ds").alias("v")).scalar()
-    return rows.where(F.col("ds") > F.date_sub(last, 182)).select(
-        "category", "ds", dbl(F.col("y")).alias("yhat"), (F.col("y") * F.lit(0.75)).alias("yhat_lower"), (F.col("y") * F.lit(1.25)).alias("yhat_upper")
-    )
+def forecast_days(m):
+    """The seasonal forecast behind the last observed day, stored: plans read it more than once."""
+    ahead = fc.future_part(seasonal_rows(m).select("category", "ds", *[F.round(c, 4).alias(c) for c in _SEASONAL[:3]]), grouped(m))
+    return materialize(m.spark, ahead, "forecast")
 
 
 @query("R18_horizon_summary", """
-SELECT category, round(sum(yhat), 2) AS total, round(sum(yhat) / count(*), 2) AS daily_mean, max(yhat) AS peak, min(ds) FILTER (yhat = top) AS peak_day
-FROM (SELECT *, max(yhat) OVER (PARTITION BY category) AS top FROM given_forecast) GROUP BY 1""")
+SELECT category, round(sum(yhat), 2) AS total, round(sum(yhat) / count(*), 2) AS daily_mean, round(max(yhat), 2) AS peak, min(ds) FILTER (yhat = top) AS peak_day
+FROM (SELECT *, max(yhat) OVER (PARTITION BY category) AS top FROM forecast_days) GROUP BY 1""")
 def _(m):
-    return fc.horizon_summary(given_forecast(m))
+    return fc.horizon_summary(forecast_days(m))
 
 
 @query("R19_season_effect", """
@@ -225,11 +310,11 @@ def _(m):
 
 
 @query("R22_cover_need", """
-WITH p AS (SELECT category, sum(yhat) AS need FROM given_forecast WHERE ds - (SELECT min(ds) FROM given_forecast) < 120 GROUP BY 1),
+WITH p AS (SELECT category, sum(yhat) AS need FROM forecast_days WHERE ds - (SELECT min(ds) FROM forecast_days) < 120 GROUP BY 1),
 r AS (SELECT category, round(need, 2) AS forecast, cast(floor(round(need * 120 / 100, 6)) AS bigint) AS recommended FROM p)
 SELECT * FROM r UNION ALL SELECT 'TOTAL', round(sum(forecast), 2), cast(sum(recommended) AS bigint) FROM r""")
 def _(m):
-    return fc.cover_need(given_forecast(m))
+    return fc.cover_need(forecast_days(m))
 
 
 define("profile_months", """
@@ -259,11 +344,13 @@ def _(m):
     return fc.demand_profile(m.fact_sales, m.dim_product).select("category", F.explode("weekday_weights").alias("weekday", "weight"))
 
 
-@query("R24_model_gate")
+@query("R24_model_gate", """
+SELECT 'model r2' AS check_name, round(1 - rss / tss, 4) AS value, 0.7::double AS threshold, CASE WHEN 1 - rss / tss >= 0.7 THEN 'PASS' ELSE 'BLOCK' END AS status FROM reg_fit
+UNION ALL SELECT 'forecast not positive', count(*) FILTER (mean <= 0)::double, 0.0::double, CASE WHEN count(*) FILTER (mean <= 0) = 0 THEN 'PASS' ELSE 'BLOCK' END FROM weekly_ahead""")
 def _(m):
     features = fc.weekly_features(weekly(m))
     fit = fc.fit_weekly(features)
-    return fc.model_gate(fc.model_summary(m.spark, fit), fc.weekly_forecast(features, fit))
+    return fc.model_gate(fc.model_summary(fit), fc.weekly_forecast(features, fit))
 
 
 @query("R25_method_choice", """
@@ -295,12 +382,14 @@ def _(m):
 
 
 @query("R28_forecast_totals", """
-SELECT category, round(sum(yhat), 2) AS total, count(*) AS days, min(ds) AS first_day, max(ds) AS last_day FROM given_forecast WHERE ds < DATE '2001-09-15' GROUP BY 1""")
+SELECT category, round(sum(yhat), 2) AS total, count(*) AS days, min(ds) AS first_day, max(ds) AS last_day FROM forecast_days WHERE ds < (SELECT cast(min(ds) + 100 AS date) FROM forecast_days) GROUP BY 1""")
 def _(m):
-    return fc.forecast_totals(given_forecast(m), "2001-09-15")
+    rows = forecast_days(m)
+    return fc.forecast_totals(rows, F.date_add(rows.select(F.min("ds").alias("v")).scalar(), 100))
 
 
-@query("R28_seasonal_summary")
+@query("R28_seasonal_summary", """
+SELECT category, count(*) AS days, round(min(yearly), 4) AS yearly_min, round(avg(yearly), 4) AS yearly_mean, round(max(yearly), 4) AS yearly_max,
+  count(*) FILTER (holidays <> 0) AS holiday_days FROM seasonal GROUP BY 1""")
 def _(m):
-    full = fc.seasonal_forecast(fc.long_enough(grouped(m)), holidays.holiday_calendar(m.date_span).where(F.col("kind") == "FEDERAL"))
-    return fc.seasonal_summary(full)
+    return seasonal.seasonal_summary(seasonal_rows(m))
