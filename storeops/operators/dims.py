@@ -84,6 +84,11 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("r")).select(key, "r.*")
 
 
+def distinct_members(rows: DataFrame, code: str) -> DataFrame:
+    """Dimension members as a source delivers them, repeated or without code: one row per code that is given."""
+    return one_per_key(rows.where(F.col(code).isNotNull() & (F.trim(code) != "")), code)
+
+
 def current(dim: DataFrame, statuses: list[str] | None = None, categories: list[str] | None = None) -> DataFrame:
     """Open versions of a slowly changing dimension, optionally filtered."""
     out = dim.where(F.col("valid_to").isNull()) if "valid_to" in dim.columns else dim

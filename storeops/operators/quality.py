@@ -198,6 +198,29 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], value: str, ok
     return a.join(b, keys, "full").select(*keys, "left_value", "right_value", F.round(diff, 4).alias("diff_pct"), level.alias("status"))
 
 
+def reconcile_levels(left: DataFrame, right: DataFrame, keys: list[str], value: str, total_pct: float = 0.5, group_pct: float = 1.0) -> DataFrame:
+    """Totals of two sources on two levels: the whole within ``total_pct`` percent, each group within ``group_pct``.
+
+    Within its tolerance a level is OK, up to twice that ALERT, beyond or with one side missing CRITICAL.  Both levels come
+    from one grouping a side; group rows are few when the totals are added up from them.
+    """
+    side = lambda df, name: df.rollup(*keys).agg(F.sum(value).cast("double").alias(name), F.grouping_id().cast("int").alias("_level")).where(
+        F.col("_level").isin(0, 2 ** len(keys) - 1))
+    a, b = side(left, "left_value").alias("a"), side(right, "right_value").alias("b")
+    same = F.col("a._level") == F.col("b._level")
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    diff = F.abs(F.col("left_value") - F.col("right_value")) * 100.0 / F.nullif(F.abs("left_value"), F.lit(0.0))
+    whole = F.coalesce("a._level", "b._level") > 0
+    limit = F.when(whole, total_pct).otherwise(group_pct)
+    both = F.col("left_value").isNotNull() & F.col("right_value").isNotNull()
+    status = F.when(~both, "CRITICAL").when((F.col("left_value") == F.col("right_value")) | (diff <= limit), "OK").when(diff <= 2 * limit, "ALERT").otherwise("CRITICAL")
+    return a.join(b, same, "full").select(
+        F.when(whole, "TOTAL").otherwise("GROUP").alias("level"), *[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys],
+        "left_value", "right_value", F.round(diff, 4).alias("diff_pct"), limit.alias("tolerance_pct"), status.alias("status"),
+    )
+
+
 def suite_row(name: str, severity: str, df: DataFrame, value: Column, threshold: float, fail_when: Column) -> DataFrame:
     """One check in report form: check, severity, value, threshold, status."""
     return df.agg(dbl(value).alias("value")).select(

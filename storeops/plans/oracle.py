@@ -55,6 +55,16 @@ FROM day_moves""",
     "fact_store_inventory": """
 SELECT *, cast(10 * (product_id % 10) + sum(qty_in - qty_sold) OVER (PARTITION BY product_id, store_id ORDER BY move_date ROWS UNBOUNDED PRECEDING) AS bigint) AS stock
 FROM movements""",
+    "stock_book": """
+WITH d AS (SELECT l_partkey AS product_id, cast(l_suppkey % n AS int) AS store_id, cast(l_shipdate AS date) AS move_date,
+  cast(sum(CASE WHEN l_returnflag = 'N' AND l_linenumber < 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_in, cast(sum(CASE WHEN l_returnflag = 'A' AND l_linenumber < 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_sold,
+  cast(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS bigint) AS qty_exchanged,
+  cast(sum(CASE WHEN l_returnflag = 'N' AND l_linenumber = 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_transfer_in, cast(sum(CASE WHEN l_returnflag = 'A' AND l_linenumber = 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_transfer_out,
+  cast(sum(CASE WHEN l_returnflag = 'N' AND l_linenumber > 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_adjust_up, cast(sum(CASE WHEN l_returnflag = 'A' AND l_linenumber > 6 THEN l_quantity ELSE 0 END) AS bigint) AS qty_adjust_down
+  FROM lineitem, n_store GROUP BY ALL),
+n AS (SELECT *, qty_in - qty_sold + qty_transfer_in - qty_transfer_out + qty_adjust_up - qty_adjust_down AS net FROM d),
+s AS (SELECT *, cast(10 * (product_id % 10) + sum(net) OVER (PARTITION BY product_id, store_id ORDER BY move_date ROWS UNBOUNDED PRECEDING) AS bigint) AS stock FROM n)
+SELECT * EXCLUDE (net), stock - net AS stock_open, CASE WHEN day(move_date) <= 3 THEN stock END AS counted FROM s""",
     "fact_purchases": """
 SELECT l_orderkey AS order_no, item_no, l_linenumber AS line_no, c_nationkey AS store_id, l_suppkey AS supplier_id, l_partkey AS product_id,
        cast(o_orderdate AS date) AS order_date, o_orderpriority AS order_type, cast(l_quantity AS int) AS qty,

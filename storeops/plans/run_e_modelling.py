@@ -1,5 +1,7 @@
 """Dimensional modelling and loading."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from storeops.functions import text as t
@@ -8,7 +10,7 @@ from storeops.functions.numbering import dense_ids
 from storeops.operators import dims, facts, holidays, incremental, scd2
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
-from storeops.session import work_path
+from storeops.session import materialize, work_path
 from storeops.sources import loads, raw_text, tables
 
 define("easter_days", """
@@ -57,6 +59,28 @@ def _(m):
     return dims.with_unknown(m.dim_supplier, {"supplier_id": -1, "supplier": "N/A"})
 
 
+UNKNOWN = {
+    "dim_product": {"product_id": -1, "article": "N/A", "status": "N/A"}, "dim_store": {"store_id": -1, "store": "N/A"},
+    "dim_supplier": {"supplier_id": -1, "supplier": "N/A"}, "dim_customer": {"customer_id": -1, "segment": "N/A"},
+}
+
+
+@query("E2_unknown_in_all_dimensions", """
+SELECT 'dim_product' AS dimension, product_id AS member, article AS label FROM dim_product UNION ALL SELECT 'dim_product', -1, 'N/A'
+UNION ALL SELECT 'dim_store', store_id, store FROM dim_store UNION ALL SELECT 'dim_store', -1, 'N/A'
+UNION ALL SELECT 'dim_supplier', supplier_id, supplier FROM dim_supplier UNION ALL SELECT 'dim_supplier', -1, 'N/A'
+UNION ALL SELECT 'dim_customer', customer_id, segment FROM dim_customer UNION ALL SELECT 'dim_customer', -1, 'N/A'
+UNION ALL SELECT 'dim_date', cast(strftime(day, '%Y%m%d') AS bigint), cast(day AS varchar) FROM calendar UNION ALL SELECT 'dim_date', 19000101, '1900-01-01'""")
+def _(m):
+    days = dims.with_unknown(dims.dim_date(m.date_span), {"date_id": 19000101, "day": datetime.date(1900, 1, 1)})
+    out = days.select(F.lit("dim_date").alias("dimension"), F.col("date_id").cast("bigint").alias("member"), F.col("day").cast("string").alias("label"))
+    for name, row in UNKNOWN.items():
+        key, label = list(row)[:2]
+        whole = dims.with_unknown(getattr(m, name), row)
+        out = out.unionByName(whole.select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("member"), F.col(label).alias("label")))
+    return out
+
+
 _LOOKUP_SQL = {
     "type_code": ("mp.p_brand", "Brand#7"), "category_code": ("mp.p_type", "PROMO"),
     "line_code": ("concat('LINE-', cast(mp.p_size % 5 AS varchar))", None), "cut_code": ("split_part(mp.p_name, ' ', 2)", None),
@@ -135,17 +159,78 @@ def _(m):
 
 
 @query("E7_scd2_rebuild", """
-SELECT product_id, category, valid_from, valid_to, is_current FROM scd_versions WHERE product_id % 6 <> 1""")
+SELECT product_id, category, valid_from, valid_to, is_current FROM scd_versions""")
 def _(m):
-    base = m.dim_product.where(F.col("product_id") % 6 != 1).select("product_id", *SCD_ATTRS)
+    first = m.dim_product.where(F.col("product_id") % 6 != 1).select("product_id", *SCD_ATTRS)
     feed = (
-        base.withColumn("day", F.lit("1995-01-01").cast("date"))
-        .unionByName(_changed_products(m).where(F.col("product_id") % 6 != 1).withColumn("day", F.lit("1998-01-01").cast("date")))
-        .unionByName(_changed_products(m).where(F.col("product_id") % 6 != 1).withColumn("day", F.lit("1999-06-01").cast("date")))
+        first.withColumn("day", F.lit("1995-01-01").cast("date"))
+        .unionByName(_changed_products(m).withColumn("day", F.lit("1998-01-01").cast("date")))
+        .unionByName(_changed_products(m).withColumn("day", F.lit("1999-06-01").cast("date")))
     )
     return scd2.rebuild(feed, ["product_id"], SCD_ATTRS, "day").select("product_id", "category", "valid_from", "valid_to", "is_current")
 
 
+# feeds that arrive late, out of order and twice on a day
+define("scd_feed", """
+SELECT product_id, category, line, supplier_id, DATE '1995-01-01' AS day, 0 AS seq FROM dim_product WHERE product_id % 6 <> 1
+UNION ALL SELECT product_id, CASE WHEN product_id % 5 = 0 THEN concat(category, '-2') ELSE category END, line, supplier_id, DATE '1998-01-01', 0 FROM dim_product WHERE product_id % 5 = 0 OR product_id % 7 = 0 OR product_id % 6 = 1
+UNION ALL SELECT product_id, category, 'LINE-X', supplier_id, DATE '1996-07-01', 0 FROM dim_product WHERE product_id % 4 = 0
+UNION ALL SELECT product_id, concat(category, CASE s WHEN 1 THEN '-Z' ELSE '-A' END), line, supplier_id, DATE '1999-01-01', s FROM dim_product, (SELECT unnest([1, 2]) AS s) WHERE product_id % 9 = 0""")
+define("scd_timeline", f"""
+WITH h AS (SELECT *, {hash_sql(SCD_ATTRS)} AS change_hash FROM scd_feed QUALIFY row_number() OVER (PARTITION BY product_id, day ORDER BY seq DESC) = 1),
+s AS (SELECT * FROM h QUALIFY lag(change_hash) OVER (PARTITION BY product_id ORDER BY day) IS DISTINCT FROM change_hash)
+SELECT product_id, category, line, supplier_id, day AS valid_from, cast(lead(day) OVER w - 1 AS date) AS valid_to, lead(day) OVER w IS NULL AS is_current, change_hash FROM s WINDOW w AS (PARTITION BY product_id ORDER BY day)""")
+
+
+def spliced(m):
+    """The versions after four deliveries, of which the third is older than the second."""
+    pid, p = F.col("product_id"), m.dim_product
+    cols = ["product_id", *SCD_ATTRS]
+    late = p.where(pid % 4 == 0).withColumn("line", F.lit("LINE-X")).select(*cols)
+    twice = p.where(pid % 9 == 0).withColumn("seq", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn(
+        "category", F.concat("category", F.when(F.col("seq") == 1, "-Z").otherwise("-A"))).select(*cols, "seq")
+    now = _first_version(m)
+    log = now.select(*cols, "valid_from", F.lit(0).alias("seq"))
+    for day, rows in (("1998-01-01", _changed_products(m)), ("1996-07-01", late), ("1999-01-01", twice)):
+        rows = rows if "seq" in rows.columns else rows.withColumn("seq", F.lit(0))
+        now = scd2.apply_changes(now, rows, ["product_id"], SCD_ATTRS, day, "seq", log)
+        log = log.unionByName(rows.withColumn("valid_from", F.lit(day).cast("date")))
+    return now
+
+
+@query("E6_backdated_changes", "SELECT * FROM scd_timeline")
+def _(m):
+    return spliced(m)
+
+
+_KEY_ORDER = "md5(concat(cast(product_id AS varchar), chr(1), cast(valid_from AS varchar)))"
+_KEYED = f"""
+SELECT *, CASE WHEN valid_from = DATE '1995-01-01' THEN row_number() OVER (PARTITION BY valid_from = DATE '1995-01-01' ORDER BY {_KEY_ORDER})
+  ELSE (SELECT count(*) FROM dim_product WHERE product_id % 6 <> 1) + row_number() OVER (PARTITION BY valid_from = DATE '1995-01-01' ORDER BY {_KEY_ORDER}) END AS version_key FROM """
+define("scd_keyed", _KEYED + "scd_versions")
+define("scd_keyed_timeline", _KEYED + "scd_timeline")
+
+
+def with_keys(m, rows):
+    """Versions with keys: those of the first load keep theirs, the others are numbered after them.
+
+    Stored, as a dimension would be: facts and the numbering read it more than once.
+    """
+    given = scd2.with_version_keys(_first_version(m).select("product_id", "valid_from"), None, ["product_id"], "version_key")
+    now = materialize(m.spark, rows, "versions")
+    keyed = scd2.with_version_keys(now, materialize(m.spark, given, "version_keys"), ["product_id"], "version_key")
+    return materialize(m.spark, keyed, "dim_product_versions")
+
+
+def keyed_versions(m):
+    return with_keys(m, versions(m))
+
+
+@query("E6_version_keys", "SELECT product_id, valid_from, valid_to, version_key FROM scd_keyed_timeline")
+def _(m):
+    return with_keys(m, spliced(m)).select("product_id", "valid_from", "valid_to", "version_key")
+
+
 @query("E7_point_in_time", """
 SELECT v.category, count(*) AS product_days, cast(sum(q) AS bigint) AS qty FROM (
   SELECT product_id, sale_date, sum(qty) AS q FROM fact_sales GROUP BY ALL) s
@@ -188,12 +273,44 @@ def _(m):
     return dims.one_per_key(raw_text.text_orders(m).select("customer_code", "seller_code"), "customer_code")
 
 
-define("known_products", "SELECT product_id, product_id + 1000 AS product_key FROM dim_product WHERE product_id % 50 <> 0")
+@query("E10_all_dimensions", """
+SELECT 'customer' AS dimension, cast(c_custkey AS varchar) AS code, concat_ws('|', c_name, nullif(c_mktsegment, 'BUILDING'), CASE WHEN c_custkey % 3 = 0 THEN 'true' ELSE 'false' END) AS attributes FROM customer
+UNION ALL SELECT 'store', cast(n_nationkey AS varchar), n_name FROM nation
+UNION ALL SELECT 'supplier', cast(s_suppkey AS varchar), concat_ws('|', s_name, CASE WHEN s_nationkey % 5 <> 0 THEN cast(s_nationkey AS varchar) END) FROM supplier
+UNION ALL SELECT DISTINCT 'seller', seller_code, concat('SELLER ', seller_code) FROM text_orders""")
+def _(m):
+    key = F.col("c_custkey")
+    # every source delivers some rows twice, customers also rows without code
+    customers = m.raw("customer").select(
+        key.cast("string").alias("code"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.when(key % 3 == 0, F.lit("S")).otherwise("N").alias("flag"),
+    )
+    customers = customers.unionByName(customers.where(F.col("code").endswith("7"))).unionByName(customers.where(F.col("code").endswith("9")).withColumn("code", F.lit("")))
+    stores = m.raw("nation").select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("name"))
+    suppliers = m.raw("supplier").select(
+        F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") % 5 == 0, "").otherwise(F.col("s_nationkey").cast("string")).alias("status"),
+    )
+    sellers = raw_text.text_orders(m).select(F.col("seller_code").alias("code"), F.concat(F.lit("SELLER "), "seller_code").alias("name"))
+    blank = lambda c: t.blank_to_null(F.col(c)).alias(c)
+    loaded = {
+        "customer": dims.distinct_members(customers.select("code", "name", blank("segment"), t.to_flag(F.col("flag")).cast("string").alias("flag")), "code"),
+        "store": dims.distinct_members(stores.unionByName(stores), "code"),
+        "supplier": dims.distinct_members(suppliers.select("code", "name", blank("status")).unionByName(suppliers.select("code", "name", blank("status"))), "code"),
+        "seller": dims.distinct_members(sellers, "code"),
+    }
+    out = None
+    for name, df in loaded.items():
+        part = df.select(F.lit(name).alias("dimension"), "code", F.concat_ws("|", *[c for c in df.columns if c != "code"]).alias("attributes"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+define("known_products", "SELECT product_id, product_id + 1000 AS product_key FROM dim_product")
 
 
 def known_products(m):
-    """Product keys with gaps, so that lookups have something to miss."""
-    return m.dim_product.where(F.col("product_id") % 50 != 0).select("product_id", (F.col("product_id") + 1000).alias("product_key"))
+    """Surrogate keys of all products."""
+    return m.dim_product.select("product_id", (F.col("product_id") + 1000).alias("product_key"))
 
 
 @query("E11_key_lookup", """
@@ -206,8 +323,8 @@ def _(m):
 
 @query("E12_sales_fact", """
 SELECT cast(year(sale_date) AS int) AS year, count(*) AS row_count, cast(sum(qty) AS bigint) AS qty,
-       count(*) FILTER (product_id % 50 = 0) AS unknown_products
-FROM fact_sales GROUP BY 1""")
+       count(*) FILTER (product_key IS NULL) AS unknown_products
+FROM fact_sales LEFT JOIN known_products USING (product_id) GROUP BY 1""")
 def _(m):
     headers = raw_text.text_orders(m)
     # some tickets arrive twice with another customer
@@ -223,6 +340,15 @@ def _(m):
     )
 
 
+@query("E12_sales_by_version", """
+SELECT coalesce(version_key, -1) AS version_key, count(*) AS row_count, cast(sum(qty) AS bigint) AS qty FROM fact_sales s
+LEFT JOIN scd_keyed v ON v.product_id = s.product_id AND sale_date >= valid_from AND (valid_to IS NULL OR sale_date <= valid_to) GROUP BY 1""")
+def _(m):
+    # every sale carries the product as it was on its day; products not yet listed then are unknown
+    keyed = scd2.lookup_as_of(m.fact_sales.select("product_id", "sale_date", "qty"), keyed_versions(m), ["product_id"], "sale_date", "version_key")
+    return keyed.groupBy("version_key").agg(count_big().alias("row_count"), F.sum("qty").alias("qty"))
+
+
 @query("E13_person_keys", """
 SELECT count(*) AS row_count, count(*) FILTER (seller_code IS NULL OR cast(seller_code AS int) >= 35) AS null_sellers,
        round(100.0::double * count(*) FILTER (seller_code IS NULL OR cast(seller_code AS int) >= 35)::double / count(*)::double, 2) AS null_pct
@@ -238,17 +364,25 @@ def _(m):
     )
 
 
+MEASURES = (
+    "stock", "stock_open", "qty_sold", "qty_in", "qty_exchanged", "qty_transfer_in", "qty_transfer_out", "qty_adjust_up", "qty_adjust_down", "counted",
+)
+
+
 @query("E14_inventory_fact", """
-SELECT cast(strftime(move_date, '%Y%m%d') AS int) AS date_id, store_id, coalesce(product_key, -1) AS product_key, qty_in, qty_sold, qty_exchanged, stock
-FROM fact_store_inventory LEFT JOIN known_products USING (product_id)""")
+SELECT cast(strftime(move_date, '%Y%m%d') AS int) AS date_id, coalesce(cast(d.store_id AS int), -1) AS store_key, coalesce(version_key, -1) AS version_key, """ + ", ".join(MEASURES) + """
+FROM stock_book b LEFT JOIN dim_store d ON d.store_id = b.store_id
+LEFT JOIN scd_keyed v ON v.product_id = b.product_id AND move_date >= valid_from AND (valid_to IS NULL OR move_date <= valid_to)""")
 def _(m):
-    text = m.fact_store_inventory.select(
-        F.date_format("move_date", "yyyy-MM-dd HH:mm:ss").alias("stamp"), "store_id", "product_id",
-        *[F.col(c).cast("string").alias(c) for c in ("qty_in", "qty_sold", "qty_exchanged", "stock")],
+    text = m.stock_book.select(
+        F.date_format("move_date", "yyyy-MM-dd HH:mm:ss").alias("stamp"), "move_date", "store_id", "product_id",
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in MEASURES],
     )
-    return dims.lookup(text, known_products(m), ["product_id"], "product_key").select(
-        t.to_date_key(F.col("stamp")).alias("date_id"), "store_id", "product_key",
-        *[t.to_int(F.col(c)).cast("bigint").alias(c) for c in ("qty_in", "qty_sold", "qty_exchanged", "stock")],
+    stores = m.dim_store.select("store_id", F.col("store_id").alias("store_key"))
+    keyed = scd2.lookup_as_of(dims.lookup(text, stores, ["store_id"], "store_key"), keyed_versions(m), ["product_id"], "move_date", "version_key")
+    return keyed.select(
+        t.to_date_key(F.col("stamp")).alias("date_id"), F.col("store_key").cast("int").alias("store_key"), "version_key",
+        *[t.to_int(F.col(c)).cast("bigint").alias(c) for c in MEASURES],
     )
 
 
@@ -277,6 +411,26 @@ def _(m):
     )
 
 
+@query("E16_purchase_rows", """
+SELECT order_no, item_no, coalesce(cast(strftime(day, '%Y%m%d') AS int), 19000101) AS date_id, coalesce(cast(d.store_id AS int), -1) AS store_key, coalesce(s.supplier_id, -1) AS supplier_key,
+  coalesce(version_key, -1) AS version_key, order_type, qty, cast(gross AS double) AS gross
+FROM fact_purchases f LEFT JOIN calendar ON day = order_date LEFT JOIN dim_store d ON d.store_id = f.store_id LEFT JOIN dim_supplier s ON s.supplier_id = f.supplier_id
+LEFT JOIN scd_keyed v ON v.product_id = f.product_id AND order_date >= valid_from AND (valid_to IS NULL OR order_date <= valid_to)""")
+def _(m):
+    article = F.col("product_id") - F.col("product_id") % 3
+    sku = m.fact_purchases.select("order_no", "item_no", article.alias("article_code"), "product_id", "supplier_id", "store_id", "qty", "gross")
+    headers = m.raw("orders").select(F.col("o_orderkey").alias("order_no"), F.col("o_orderpriority").alias("order_type"), F.col("o_orderdate").cast("date").alias("order_date"))
+    bought = facts.build_purchases(headers, sku.select("order_no", "article_code"), sku)
+    days = dims.dim_date(m.date_span).select(F.col("day").alias("order_date"), "date_id")
+    same = lambda dim, c, key: dim.select(c, F.col(c).alias(key))
+    rows = dims.lookup(bought, days, ["order_date"], "date_id", 19000101)
+    rows = dims.lookup(rows, same(m.dim_store, "store_id", "store_key"), ["store_id"], "store_key")
+    rows = dims.lookup(rows, same(m.dim_supplier, "supplier_id", "supplier_key"), ["supplier_id"], "supplier_key")
+    return scd2.lookup_as_of(rows, keyed_versions(m), ["product_id"], "order_date", "version_key").select(
+        "order_no", "item_no", "date_id", F.col("store_key").cast("int").alias("store_key"), "supplier_key", "version_key", "order_type", "qty", dbl(F.col("gross")).alias("gross")
+    )
+
+
 @query("E17_prorated_purchases", """
 WITH h AS (SELECT o_orderkey AS order_no, cast(cast(o_totalprice AS decimal(12,2)) * 0.05 AS decimal(12,2)) AS discount,
   cast(cast(o_totalprice AS decimal(12,2)) * 0.02 AS decimal(12,2)) AS tax FROM orders),

@@ -181,8 +181,10 @@ def demand(m):
 
 
 def grouped(m):
-    """Daily demand per forecast group: a small stored series table."""
-    return materialize(m.spark, fc.group_rare(demand(m), MAJOR), "demand")
+    """Daily demand per forecast group: a small series table, stored once per mart."""
+    if "_grouped" not in m.__dict__:
+        m._grouped = materialize(m.spark, fc.group_rare(demand(m), MAJOR), "demand")
+    return m._grouped
 
 
 @query("R13_daily_demand", f"""

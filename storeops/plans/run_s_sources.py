@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions import text as t
 from storeops.functions.columns import count_big, count_where, dbl, divide
-from storeops.operators import facts, incremental
+from storeops.operators import dims, facts, incremental
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.session import work_path
@@ -170,13 +170,10 @@ def _(m):
     return tables.row_counts({n: m.raw(n) for n in COUNTED})
 
 
-@query("S14_load_audit", """
-SELECT 'dim_product' AS step, count(*) AS row_count, 'OK' AS status FROM part
-UNION ALL SELECT 'dim_supplier', count(*), 'OK' FROM supplier
-UNION ALL SELECT 'fact_sales', count(*), 'OK' FROM fact_sales""")
+GOLD = ("dim_product", "dim_supplier", "dim_store", "dim_customer", "fact_sales", "fact_inventory", "fact_store_inventory", "fact_purchases", "fact_returns")
+
+
+@query("S14_load_audit", " UNION ALL ".join([f"SELECT '{n}' AS step, count(*) AS row_count, 'OK' AS status FROM {n}" for n in GOLD] + ["SELECT 'dim_date', count(*), 'OK' FROM calendar"]))
 def _(m):
-    audit = loads.load_tables(
-        m.spark, {"dim_product": m.dim_product, "dim_supplier": m.dim_supplier, "fact_sales": m.fact_sales},
-        lambda name: work_path(m.spark, name),
-    )
-    return audit.drop("seconds")
+    steps = {**{name: getattr(m, name) for name in GOLD}, "dim_date": dims.dim_date(m.date_span)}
+    return loads.load_tables(m.spark, steps, lambda name: work_path(m.spark, name)).drop("seconds")

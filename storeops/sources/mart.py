@@ -175,6 +175,27 @@ class Mart:
     def fact_store_inventory(self) -> DataFrame:
         return running_stock(self.movements, ["product_id", "store_id"], 10 * (F.col("product_id") % 10))
 
+    @cached_property
+    def stock_book(self) -> DataFrame:
+        """Daily stock per product and store with all ten measures.
+
+        Line 6 of an order stands for transfers, line 7 for adjustments; stock is counted on the first three days of a month.
+        """
+        n_store = scalar_of(self.raw("nation"), count_big())
+        line, qty = F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+        of = lambda flag, cond: F.sum(F.when((F.col("l_returnflag") == flag) & cond, qty).otherwise(0))
+        daily = self.raw("lineitem").groupBy(
+            F.col("l_partkey").alias("product_id"), (F.col("l_suppkey") % n_store).cast("int").alias("store_id"), F.col("l_shipdate").cast("date").alias("move_date"),
+        ).agg(
+            of("N", line < 6).alias("qty_in"), of("A", line < 6).alias("qty_sold"), of("R", F.lit(True)).alias("qty_exchanged"),
+            of("N", line == 6).alias("qty_transfer_in"), of("A", line == 6).alias("qty_transfer_out"),
+            of("N", line > 6).alias("qty_adjust_up"), of("A", line > 6).alias("qty_adjust_down"),
+        )
+        net = F.col("qty_in") - F.col("qty_sold") + F.col("qty_transfer_in") - F.col("qty_transfer_out") + F.col("qty_adjust_up") - F.col("qty_adjust_down")
+        w = Window.partitionBy("product_id", "store_id").orderBy("move_date").rowsBetween(Window.unboundedPreceding, 0)
+        stock = daily.withColumn("stock", 10 * (F.col("product_id") % 10) + F.sum(net).over(w))
+        return stock.withColumn("stock_open", F.col("stock") - net).withColumn("counted", F.when(F.dayofmonth("move_date") <= 3, F.col("stock")))
+
     @cached_property
     def fact_purchases(self) -> DataFrame:
         qty = F.col("l_quantity").cast("int")
