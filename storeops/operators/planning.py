@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions.columns import big, count_big, count_where, dbl, divide, ratio, top, top_per
 from storeops.operators.control import URGENCY_ORDER, urgency_rank
+from storeops.functions.ranks import ranked
 from storeops.session import materialize
 
 HORIZON = 120
@@ -162,12 +163,15 @@ def supplier_rollup(items: DataFrame, jewellery_suppliers: list[int], k: int | N
 def supplier_documents(items: DataFrame, page: int = 50) -> DataFrame:
     """One document per supplier and page of items, most urgent item first.
 
-    Pages bound the list held in memory and keep every item.
+    Pages bound the list held in memory and keep every item; the lines of a large supplier, or of none, are ranked by
+    ranges.  ``items`` is stored first, as ranking reads it several times.
     """
-    w = Window.partitionBy("supplier_id").orderBy("coverage_days", F.desc("quantity"), "article", "size_code")
-    ranked = items.withColumn("rank", F.row_number().over(w)).withColumn("page", F.floor((F.col("rank") - 1) / page).cast("int"))
+    stored = materialize(items.sparkSession, items, "supplier-items")
+    order = [F.col("coverage_days"), -F.col("quantity"), F.col("article"), F.col("size_code")]
+    placed = ranked(stored, ["supplier_id"], order, "rank").withColumn("rank", F.col("rank").cast("int"))
+    paged = placed.withColumn("page", F.floor((F.col("rank") - 1) / page).cast("int"))
     entry = F.struct("rank", "article", "size_code", "stock", "quantity", dbl(F.col("value")).alias("value"), "coverage_days")
-    return ranked.groupBy("supplier_id", "page").agg(count_big().alias("n"), F.array_sort(F.collect_list(entry)).alias("items"))
+    return paged.groupBy("supplier_id", "page").agg(count_big().alias("n"), F.array_sort(F.collect_list(entry)).alias("items"))
 
 
 def size_rollup(plan: DataFrame, by: str, k: int) -> DataFrame:

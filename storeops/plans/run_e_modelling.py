@@ -418,7 +418,7 @@ FROM fact_purchases f LEFT JOIN calendar ON day = order_date LEFT JOIN dim_store
 LEFT JOIN scd_keyed v ON v.product_id = f.product_id AND order_date >= valid_from AND (valid_to IS NULL OR order_date <= valid_to)""")
 def _(m):
     article = F.col("product_id") - F.col("product_id") % 3
-    sku = m.fact_purchases.select("order_no", "item_no", article.alias("article_code"), "product_id", "supplier_id", "store_id", "qty", "gross")
+    sku = m.numbered_purchases.select("order_no", "item_no", article.alias("article_code"), "product_id", "supplier_id", "store_id", "qty", "gross")
     headers = m.raw("orders").select(F.col("o_orderkey").alias("order_no"), F.col("o_orderpriority").alias("order_type"), F.col("o_orderdate").cast("date").alias("order_date"))
     bought = facts.build_purchases(headers, sku.select("order_no", "article_code"), sku)
     days = dims.dim_date(m.date_span).select(F.col("day").alias("order_date"), "date_id")
@@ -449,7 +449,7 @@ def _(m):
     headers = m.raw("orders").select(
         F.col("o_orderkey").alias("order_no"), money(price * F.lit(Decimal("0.05"))).alias("discount"), money(price * F.lit(Decimal("0.02"))).alias("tax"),
     )
-    lines = m.fact_purchases.select("order_no", "item_no", "gross")
+    lines = m.numbered_purchases.select("order_no", "item_no", "gross")
     out = facts.prorate(lines, headers, "order_no", "item_no", "gross", ["discount", "tax"])
     return out.select(
         "order_no", "item_no", dbl(F.col("gross")).alias("gross"), dbl(F.col("discount_share")).alias("discount_share"),

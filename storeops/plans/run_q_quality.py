@@ -23,7 +23,7 @@ def _(m):
     return q.union_all([
         q.check_unique("dim_product", m.dim_product, ["product_id"]), q.check_unique("dim_supplier", m.dim_supplier, ["supplier_id"]),
         q.check_unique("dim_store", m.dim_store, ["store_id"]), q.check_unique("dim_customer", m.dim_customer, ["customer_id"]),
-        q.check_unique("fact_sales", m.fact_sales, ["ticket", "item_no"]),
+        q.check_unique("fact_sales", m.numbered_sales, ["ticket", "item_no"]),
         q.check_unique("raw_lines", m.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     ])
 

@@ -50,14 +50,14 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Parquet table, partitioned on low-cardinality columns."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        # One writer task per partition value and salt keeps the file count
-        # bounded without sending a hot month through a single task.
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(16))
-        writer = df.repartition(*[F.col(c) for c in partition_by], salt).write.mode("overwrite").partitionBy(*partition_by)
-    writer.parquet(path)
+    """Parquet table, partitioned on low-cardinality columns.
+
+    The rows of a partition value come together, and the rebalance hint lets AQE cut values above the advisory size into as
+    many writers as they need, so neither the file count nor a hot month's share of one task grows without bound.
+    """
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def flatten(df: DataFrame, array: str, keep: list[str], fields: list[str]) -> DataFrame:
@@ -65,19 +65,6 @@ def flatten(df: DataFrame, array: str, keep: list[str], fields: list[str]) -> Da
     return df.select(*keep, F.explode(array).alias("e")).select(*keep, *[F.col(f"e.{f}").alias(f) for f in fields])
 
 
-def describe_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Catalog view: one row per table column, read from schemas only."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [
-        (name, pos, field.name, field.dataType.simpleString(), field.nullable)
-        for name, df in tables.items()
-        for pos, field in enumerate(df.schema.fields, start=1)
-    ]
-    return spark.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string, nullable boolean"
-    )
-
-
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of every table in one result."""
     parts = [

@@ -6,6 +6,8 @@ kept in a checkpoint below the shared folder, so the next call continues.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +25,17 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_pe
 
 
 def load_days(stream: DataFrame, table: str, delivery: str, checkpoint: str) -> None:
-    """Keeps every row under its ``delivery`` and batch; a batch that is
-    repeated after a failure overwrites itself.  ``latest_days`` reads it."""
+    """Keeps every row under its ``delivery``, stream and batch; a batch that is repeated after a failure overwrites itself.
+
+    Batch numbers count per checkpoint, so a stream is known by its checkpoint folder: streams with folders of their own add
+    to the same delivery.  ``latest_days`` reads the table, ``compact_days`` drops what later deliveries replaced.
+    """
+    name = md5(checkpoint.encode()).hexdigest()
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(delivery, "_batch").parquet(table)
+            batch.withColumns({"_stream": F.lit(name), "_batch": F.lit(batch_id)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(delivery, "_stream", "_batch").parquet(table)
         )
 
     query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -37,10 +43,19 @@ def load_days(stream: DataFrame, table: str, delivery: str, checkpoint: str) ->
 
 
 def latest_days(rows: DataFrame, day: str, delivery: str) -> DataFrame:
-    """The rows of each day's newest delivery: a day split over files or batches
-    adds up, a redelivered day replaces the earlier one."""
+    """The rows of each day's newest delivery: a day split over files, batches or streams adds up, a redelivered day
+    replaces the earlier one."""
     newest = rows.groupBy(day).agg(F.max(delivery).alias("_newest"))
-    return rows.join(newest, day).where(F.col(delivery) == F.col("_newest")).drop("_newest", "_batch")
+    return rows.join(newest, day).where(F.col(delivery) == F.col("_newest")).drop("_newest", "_stream", "_batch")
+
+
+def compact_days(spark: SparkSession, table: str, target: str, day: str, delivery: str) -> None:
+    """Writes the newest delivery of each day to ``target``, as one batch; load and read there from now on.
+
+    The old table stays as it is, so a failure on the way loses nothing; it can be removed once ``target`` is in use.
+    """
+    rows = latest_days(spark.read.parquet(table), day, delivery).withColumns({"_stream": F.lit("compacted"), "_batch": F.lit(0)})
+    rows.hint("rebalance", delivery).write.partitionBy(delivery, "_stream", "_batch").parquet(target)
 
 
 def append(stream: DataFrame, table: str, checkpoint: str) -> None:
