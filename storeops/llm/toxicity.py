@@ -51,21 +51,50 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("positive").slice(first, end - first), lists, pa.array(n.astype(np.int64))], ["positive", "buckets", "n_words"])
 
 
-def nnpu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (bias last) minimising the non-negative risk with the sigmoid loss, by Adam over the whole sample."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    p, u = x[positive], x[~positive]
-    w = np.zeros(x.shape[1], np.float32)
+class Sample:
+    """A 0/1 matrix as (row, slot) pairs, beside one dense column; products by counting, so nothing of rows x slots is built."""
+
+    def __init__(self, row: np.ndarray, slot: np.ndarray, dense: np.ndarray, slots: int):
+        self.row, self.slot, self.dense, self.slots = row, slot, dense, slots
+
+    def __len__(self) -> int:
+        return len(self.dense)
+
+    def part(self, rows: np.ndarray) -> Sample:
+        """The rows of a mask."""
+        at, take = np.cumsum(rows) - 1, rows[self.row]
+        return Sample(at[self.row[take]].astype(np.int32), self.slot[take], self.dense[rows], self.slots)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """Row scores under weights (slots, dense column, bias)."""
+        return np.bincount(self.row, w[self.slot], len(self)) + self.dense * w[-2] + w[-1]
+
+    def summed(self, v: np.ndarray) -> np.ndarray:
+        """Sum of rows weighted by ``v``, in the order of the weights."""
+        return np.concatenate([np.bincount(self.slot, v[self.row], self.slots), [self.dense @ v, v.sum()]])
+
+
+def risk(p: Sample, u: Sample, w: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """Risk of calling positives negative, corrected risk of the negative class, and the gradient to follow.
+
+    The loss of calling z positive is 1 - s(z), of calling it negative s(z); both have slope s (1 - s).  The risk of the
+    negative class is that of the unlabelled rows without the positives' share; where it turns negative, it is driven up.
+    """
+    sp, su = 1 / (1 + np.exp(-p.times(w))), 1 / (1 + np.exp(-u.times(w)))
+    slope_p, slope_u = p.summed(sp * (1 - sp)) / max(len(p), 1), u.summed(su * (1 - su)) / max(len(u), 1)
+    negative = (su.mean() if len(u) else 0.0) - prior * (sp.mean() if len(p) else 0.0)
+    missed = prior * (1 - sp.mean() if len(p) else 0.0)
+    return missed, negative, -prior * slope_p + slope_u - prior * slope_p if negative >= 0 else prior * slope_p - slope_u
+
+
+def nnpu(x: Sample, positive: np.ndarray, prior: float, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (dense column and bias last) minimising the non-negative risk with the sigmoid loss, by Adam over the whole sample."""
+    p, u = x.part(positive), x.part(~positive)
+    w = np.zeros(x.slots + 2)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
-        # loss of calling z positive is 1 - s(z), of calling it negative s(z); both have slope s (1 - s)
-        slope_p = p.T @ (sp * (1 - sp)) / max(len(p), 1)
-        slope_u = u.T @ (su * (1 - su)) / max(len(u), 1)
-        negative = (su.mean() if len(u) else 0.0) - prior * (sp.mean() if len(p) else 0.0)
-        grad = -prior * slope_p + slope_u - prior * slope_p if negative >= 0 else prior * slope_p - slope_u
-        grad = grad + DECAY * np.append(w[:-1], 0).astype(np.float32)
+        grad = risk(p, u, w, prior)[2] + DECAY * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
@@ -89,7 +118,8 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Train on rows outside the held-out fold.  The class prior is the toxic share of their labels."""
-    known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    # a label that is given twice counts once
+    known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
     prior = min(max(share, 1e-3), 0.9)
     by_hash = F.xxhash64(F.col("doc_id"), F.lit(11))
@@ -102,23 +132,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     if not got.num_rows:
         return Model(np.zeros(0), np.array([0.0, np.log(prior / (1 - prior))]))
     positive = got["positive"].to_numpy(zero_copy_only=False).astype(bool)
+    n_words = got["n_words"].to_numpy()
     lists = got["buckets"].combine_chunks()
-    lengths = np.diff(lists.offsets.to_numpy())
-    bucket, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(lengths)), lengths)
+    bucket = lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(positive), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     n_pos, n_unl = max(positive.sum(), 1), max((~positive).sum(), 1)
-    in_pos = np.bincount(bucket[positive[owner]], minlength=BUCKETS)
-    in_unl = np.bincount(bucket[~positive[owner]], minlength=BUCKETS)
+    chosen = choose(bucket, positive[owner], n_pos, n_unl)
+    if not len(chosen):
+        return Model(chosen, nnpu(Sample(owner[:0], owner[:0], np.log1p(n_words), 0), positive, prior))
+    slot = np.minimum(np.searchsorted(chosen, bucket), len(chosen) - 1).astype(np.int32)
+    hit = chosen[slot] == bucket
+    sample = Sample(owner[hit], slot[hit], np.log1p(n_words), len(chosen))
+    del got, lists, bucket, owner, slot, hit
+    return Model(chosen, nnpu(sample, positive, prior))
+
+
+def choose(bucket: np.ndarray, positive: np.ndarray, n_pos: int, n_unl: int) -> np.ndarray:
+    """The buckets that set toxic samples apart best, ascending; (bucket, positive) pairs are distinct per document."""
+    count = lambda values: np.unique(values, return_counts=True)
+    held, in_pos = count(bucket[positive])
+    held, in_pos = held[in_pos >= MIN_SEEN], in_pos[in_pos >= MIN_SEEN]
+    if not len(held):
+        return np.zeros(0, np.int32)
+    others = bucket[~positive]
+    at = np.minimum(np.searchsorted(held, others), len(held) - 1)
+    in_unl = np.bincount(at[held[at] == others], minlength=len(held))
     a, b = in_pos / n_pos, (in_unl + 0.5) / n_unl
-    strength = np.where((in_pos >= MIN_SEEN) & (a >= MIN_LIFT * b), (a - b) / np.sqrt(b / n_pos), 0)
-    chosen = np.sort(np.argsort(-strength, kind="stable")[:N_FEATURES])
-    chosen = chosen[strength[chosen] > 0].astype(np.int32)
-    x = np.zeros((len(lengths), len(chosen) + 1), np.float32)
-    x[:, -1] = np.log1p(got["n_words"].to_numpy())
-    slot = np.minimum(np.searchsorted(chosen, bucket), max(len(chosen) - 1, 0))
-    if len(chosen):
-        hit = chosen[slot] == bucket
-        x[owner[hit], slot[hit]] = 1
-    return Model(chosen, nnpu(x, positive, prior))
+    strength = np.where(a >= MIN_LIFT * b, (a - b) / np.sqrt(b / n_pos), 0)
+    best = np.argsort(-strength, kind="stable")[:N_FEATURES]
+    return np.sort(held[best[strength[best] > 0]]).astype(np.int32)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
