@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeops.llm.common import store
+from storeops.functions.ranks import ranked
+from storeops.llm.common import store, whole
 from storeops.llm.graph import components
 from storeops.llm.rolling import Words, fold_unique, runs, text_chunks
 
@@ -28,6 +29,7 @@ SHINGLE = 4
 PERCENT = 80
 MARGIN = 0.2  # an estimate may fall this far (about five deviations) below the threshold and still be verified
 BLOCK = 256  # members of a band compared at once
+SENT_NODES = 2_000_000  # ids and checksums (16 bytes each) that may be sent to every task
 _rng = np.random.default_rng(2)
 _XOR = _rng.integers(0, 1 << 63, M, dtype=np.uint64)
 _ODD = _rng.integers(0, 1 << 62, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,7 +63,7 @@ def registers(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, set size, two checksums of the set, registers (null for an empty set)."""
+    """doc_id, p (checksum of the text), set size, two checksums of the set, registers (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,11 +79,16 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     for i, r in zip(has, registers(v, at[has])):
                         regs[i] = r.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, end - first), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(regs, pa.binary())],
-                    ["doc_id", "n", "one", "two", "regs"],
+                    [batch.column("doc_id").slice(first, end - first), batch.column("p").slice(first, end - first), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(regs, pa.binary())],
+                    ["doc_id", "p", "n", "one", "two", "regs"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, one long, two long, regs binary")
+    return docs.select("doc_id", "text", text_print()).mapInArrow(run, "doc_id long, p long, n long, one long, two long, regs binary")
+
+
+def text_print() -> Column:
+    """p: what tells texts of rows with one id apart."""
+    return F.xxhash64(whole()).alias("p")
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
@@ -217,7 +224,10 @@ def mixed_bands(members: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node, shingle set of the wanted nodes."""
+    """node, shingle set of the wanted nodes (node, doc_id, p).
+
+    Few wanted nodes go to the texts; from SENT_NODES on, the texts are dealt by node instead.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +236,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 at = np.searchsorted(o, np.arange(len(texts) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(first, end - first), pa.ListArray.from_arrays(pa.array(at), pa.array(v.view(np.int64)))], ["node", "items"])
 
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
+    if wanted.count() <= SENT_NODES:
+        wanted = F.broadcast(wanted)
+    texts = docs.select("doc_id", "text", text_print()).join(wanted, ["doc_id", "p"]).groupBy("node").agg(F.first("text").alias("text"))
     return texts.mapInArrow(run, "node long, items array<long>")
 
 
@@ -239,21 +251,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, kept, p for every row of ``docs`` (doc_id, text).
 
     Null, empty and blank texts have no shingles and link with nothing: each is its own component and kept.  A row without
-    id is not linked: null component, kept.  Rows that share an id are one document; repeated rows get equal results.
-    Ties between equal sets go to the smallest id.  Other columns are not looked at.
+    id is not linked: null component, kept.  Rows that share an id are judged each by its own text, which ``p``, the
+    checksum of the text, tells apart; repeated rows get equal results.  Ties between equal sets go to the smallest id.  A
+    long text counts whole, one at a time.  An empty table gives an empty result; other columns are not looked at.
     """
     all_sketches = store(sketches(docs, k), "sketches")
     linkable = all_sketches.where("n > 0 and doc_id is not null")
-    nodes = store(linkable.groupBy("one", "two", "n").agg(F.min("doc_id").alias("node"), F.first("regs").alias("regs")), "sketch_nodes")
+    first = F.min(F.struct("doc_id", "p")).alias("first")
+    distinct = linkable.groupBy("one", "two", "n").agg(first, F.first("regs").alias("regs")).select("one", "two", "n", "regs", "first.*")
+    nodes = store(distinct, "sketch_nodes")
+    numbered = bool(nodes.groupBy("doc_id").count().where("count > 1").head(1))
+    if numbered:  # an id that several sets begin with names none of them: they are numbered in the order of their ids
+        nodes = store(ranked(nodes, [], [F.col(c) for c in ("doc_id", "one", "two", "n")], "node").withColumn("node", F.col("node").cast("long")), "sketch_nodes")
+    else:
+        nodes = nodes.withColumn("node", F.col("doc_id"))
     bands = store(band_rows(nodes), "bands")
     shared = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("rows")).where("least <> most")
     members = store(bands.join(shared, "band").select("band", "node", "least", "rows"), "band_members")
     near = store(likely(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, percent), "near_pairs")
     ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = store(full_sets(docs, ends(near), k), "shingle_sets")
+    named = nodes.select("node", "doc_id", "p")
+    sets = store(full_sets(docs, store(ends(near).join(named, "node"), "wanted_nodes"), k), "shingle_sets")
     links = store(verified(near, sets, percent), "links")
     groups = store(components(links), "groups")
     crowded = members.where("rows > 2").select("band", "node")
@@ -263,7 +284,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
         return store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "groups")
 
     def with_sets(wanted: DataFrame) -> DataFrame:
-        missing = store(wanted.join(sets, "node", "left_anti"), "late_nodes")
+        missing = store(wanted.join(sets.select("node"), "node", "left_anti").join(named, "node"), "late_nodes")
         return sets.union(store(full_sets(docs, missing, k), "late_sets")) if missing.head(1) else sets
 
     # where a band still holds several components, those outside its largest are held against another member of that one
@@ -280,8 +301,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
         sets = with_sets(active)
         groups = joined(across(left.join(active, "node").join(sets, "node"), percent, exact=True))
     lead = nodes.join(groups, "node", "left").select("one", "two", F.col("n").alias("m"), F.coalesce("component", "node").alias("component_id"))
-    rows = all_sketches.select("doc_id", "n", "one", "two").alias("s").join(lead.alias("l"), F.expr("s.one = l.one and s.two = l.two and s.n = l.m and s.doc_id is not null"), "left")
+    if numbered:
+        ids = named.select(F.col("node").alias("component_id"), "doc_id")
+        lead = lead.join(ids, "component_id").select("one", "two", "m", F.col("doc_id").alias("component_id"))
+    rows = all_sketches.select("doc_id", "p", "n", "one", "two").alias("s").join(lead.alias("l"), F.expr("s.one = l.one and s.two = l.two and s.n = l.m and s.doc_id is not null"), "left")
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"), "p",
     )
