@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storeops.functions.ranks import ranked
 from storeops.llm.common import store, store_small, whole
 from storeops.llm.rolling import Prefix, Words, chunks, mix, runs
 
@@ -370,19 +371,41 @@ def matched_everywhere(cut: DataFrame, match: Match, unit: Unit) -> DataFrame:
     return matched(cut.join(crowded, "h", "left_anti"), match, unit, unit_bytes).unionByName(per_segment)
 
 
+PRINT = ("p", "q", "n")  # two checksums and the size of a text
+
+
+def numbered_documents(prints: DataFrame) -> DataFrame | None:
+    """doc_id, p, q, n, doc, first: numbers in the order of doc_id for documents of which some share an id, and the first
+    number of the id; None where every id has one text."""
+    ends = prints.groupBy("doc_id").agg(F.min(F.struct(*PRINT)).alias("a"), F.max(F.struct(*PRINT)).alias("b"))
+    if not ends.where("a <> b").head(1):
+        return None
+    known = store(prints.distinct(), "documents")
+    numbers = store(ranked(known, [], [F.col(c) for c in ("doc_id", *PRINT)], "doc").withColumn("doc", F.col("doc").cast("long")), "document_numbers")
+    return numbers.join(numbers.groupBy("doc_id").agg(F.min("doc").alias("first")), "doc_id")
+
+
 def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` columns doc_id, text (null read as empty) and ``extra`` (given as x_0, x_1 and so on), with ``copy`` (an exact copy of an earlier text) and ``spans``, the merged unit ranges to remove.
 
     Null and empty texts have no windows.  A row without id has no smaller and no larger one, so it is neither compared
-    nor cut.  Rows that repeat an id and text are one document: each keeps what the first keeps.
+    nor cut.  Rows that repeat an id and text are one document: each keeps what the first keeps.  Rows of one id with
+    different texts are different documents, none of them smaller than the other: each loses what smaller ids hold of it
+    and nothing else.  A long text is compared whole; an empty table gives an empty result; columns that are not named are
+    not looked at.
     """
     more = [F.col(c).alias(f"x_{i}") for i, c in enumerate(extra)]
+    of = (F.xxhash64("text").alias("p"), F.crc32(F.col("text").cast("binary")).alias("q"), F.octet_length("text").alias("n"))
     carried = docs.select("doc_id", whole("text").alias("text"), *more)
     base = carried.select("doc_id", "text").where("doc_id is not null")
-    prints = base.select("doc_id", F.xxhash64("text").alias("p"), F.crc32(F.col("text").cast("binary")).alias("q"), F.octet_length("text").alias("n"))
-    firsts = prints.groupBy("p", "q", "n").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("most")).where("lead <> most")
-    copies = store(prints.join(firsts, ["p", "q", "n"]).where("doc_id > lead").select("doc_id").distinct(), "copies")
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    prints = store(base.select("doc_id", *of), "prints")
+    numbers = numbered_documents(prints)
+    if numbers is not None:  # from here on, doc_id is the number of a document
+        base = base.select("doc_id", "text", *of).join(numbers, ["doc_id", *PRINT]).select(F.col("doc").alias("doc_id"), "text")
+        prints = numbers.select(F.col("doc").alias("doc_id"), *PRINT)
+    firsts = prints.groupBy(*PRINT).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("most")).where("lead <> most")
+    copies = store(prints.join(firsts, list(PRINT)).where("doc_id > lead").select("doc_id").distinct(), "copies")
+    total = prints.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     # sorted, so that a repeated task packs the same batches again
     texts = base.join(copies, "doc_id", "left_anti").sortWithinPartitions("doc_id")
@@ -391,14 +414,19 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     runs_at = matched_everywhere(cut, match, unit)
     # runs of windows that start in an earlier document, each as one number: place of the first, then length in ten bits
     code = lambda x: F.shiftleft(F.col("start") + x["at"], RUN_BITS) + x["n"]
-    hit = cut.select("h", "c", "doc", "start").join(runs_at, ["h", "c"]).select(
-        "doc", F.transform(F.filter("runs", lambda x: x["low"] < F.col("doc")), code).alias("at")
+    places = cut.select("h", "c", "doc", "start").withColumn("first", F.col("doc"))
+    if numbers is not None:
+        places = places.drop("first").join(numbers.select("doc", "first"), "doc")
+    hit = places.join(runs_at, ["h", "c"]).select(
+        "doc", F.transform(F.filter("runs", lambda x: x["low"] < F.col("first")), code).alias("at")
     ).where(F.size("at") > 0)
     flat = hit.groupBy("doc").agg(F.flatten(F.collect_list("at")).alias("at"))
     state = flat.join(copies.select(F.col("doc_id").alias("doc"), F.lit(True).alias("copy")), "doc", "full")
-    return carried.join(state, carried["doc_id"] == state["doc"], "left").select(
-        "doc_id", "text", *[f"x_{i}" for i in range(len(extra))], F.coalesce("copy", F.lit(False)).alias("copy"), "at"
-    )
+    found = ["doc_id", "text", *[f"x_{i}" for i in range(len(extra))], F.coalesce("copy", F.lit(False)).alias("copy"), "at"]
+    if numbers is None:
+        return carried.join(state, carried["doc_id"] == state["doc"], "left").select(*found)
+    named = numbers.join(state, "doc").select("doc_id", *PRINT, "copy", "at")
+    return carried.select("*", *of).join(named, ["doc_id", *PRINT], "left").select(*found)
 
 
 RUN_BITS = 10  # a segment has at most width - k + 1 windows
