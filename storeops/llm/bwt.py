@@ -1,8 +1,9 @@
 """Removal of byte strings that an earlier document already holds, by merging Burrows-Wheeler transforms of shards.
 
 Each shard of segments (see ``repeats``) gets its own transform.  The transforms are merged by refining their interleave:
-round t orders all suffixes by their first t bytes, using only the transforms and their last-to-first maps.  Neighbours
-that first differ in round t share t - 1 bytes, so after 50 rounds the blocks that never split are the repeated strings.
+a round orders all suffixes by two more of their first bytes, using only the transforms and their last-to-first maps.
+Neighbours that a round parts first share the bytes compared before, which gives the common prefixes; where these reach 50
+bytes without a break lie the repeated strings.
 """
 
 from __future__ import annotations
@@ -21,25 +22,31 @@ SHARDS = 4
 
 
 def suffixes(text: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; ends of texts (0) stop a comparison, equal suffixes keep their order."""
+    """Suffix array by prefix doubling from eight symbols on; ends of texts (0) stop a comparison, equal suffixes keep their order."""
     n = len(text)
     end = np.append(np.flatnonzero(text == 0), n)
     left = end[np.searchsorted(end, np.arange(n))] - np.arange(n)  # symbols before the text's end
-    rank, step = text.astype(np.int64), 1
+    key, open_ = np.zeros(n, np.uint64), np.ones(n, bool)
+    for i in range(min(8, n)):  # eight symbols in one number, zeros from the end on
+        open_ &= left > i
+        key[: n - i] |= np.where(open_[: n - i], text[i:], 0).astype(np.uint64) << np.uint64(56 - 8 * i)
+    step, classes = 8, 0
     while True:
+        order = np.argsort(key)
+        change = np.ones(n, np.int64)
+        change[1:] = key[order[1:]] != key[order[:-1]]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(change)
+        # classes that a round does not split are never split again
+        if rank[order[-1]] == classes or step > int(left.max(initial=0)) + 1:
+            return np.argsort(rank * n + np.arange(n))
+        classes = int(rank[order[-1]])
         ahead = np.zeros(n, np.int64)
         if step < n:
             ahead[: n - step] = rank[step:] + 1
         ahead[left < step] = 0
-        key = rank * (int(rank.max()) + 2) + ahead
-        order = np.argsort(key, kind="stable")
-        change = np.ones(n, np.int64)
-        change[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(change)
+        key = rank * (classes + 2) + ahead
         step *= 2
-        if step > int(left.max(initial=0)) + 1:
-            return order
 
 
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,21 +58,31 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, bwt, place[order - 1]
 
 
-def repeated_blocks(bwt: np.ndarray, last_to_first: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merged order of all suffixes by ``length`` symbols, block number of each, and common prefixes with the one before."""
+def merged(bwt: np.ndarray, last_to_first: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Merged order of all suffixes by ``length`` symbols, and the common prefix of each with the one before it.
+
+    ``bwt`` and ``last_to_first`` are the shards' transforms one after the other.  A round goes two steps back in each
+    text: suffixes ordered by t symbols, sorted by the two symbols before them, are ordered by t + 2.  An odd ``length``
+    begins with a round of one step.  Neighbours that a round parts first share what the rounds before compared, so common
+    prefixes are told to the even symbol; they end at ``length``.
+    """
     n = len(bwt)
-    order, block = np.arange(n), np.zeros(n, np.int64)
-    common = np.full(n, length, np.int64)
-    for t in range(1, length + 1):
-        symbol = bwt[order]
-        by = np.argsort(symbol, kind="stable")
-        order = last_to_first[order][by]
-        symbol, before = symbol[by], block[by]
-        new = np.ones(n, bool)
-        new[1:] = (symbol[1:] != symbol[:-1]) | (before[1:] != before[:-1])
-        block = np.cumsum(new) - 1
-        common[new] = np.minimum(common[new], t - 1)
-    return order, block, common
+    order, block = np.arange(n), np.zeros(n, np.int32)
+    common = np.full(n, length, np.uint8)
+    common[:1] = 0
+    two_back = last_to_first[last_to_first]
+    pairs = bwt[last_to_first].astype(np.uint16) << np.uint16(8) | bwt
+    for t in range(2 - length % 2, length + 1, 2):
+        symbols, back, step = (bwt, last_to_first, 1) if t == 1 else (pairs, two_back, 2)
+        symbol = symbols.take(order)
+        by = symbol.argsort(kind="stable")
+        order = back.take(order.take(by))
+        symbol, before = symbol.take(by), block.take(by)
+        new = symbol[1:] != symbol[:-1]
+        new |= before[1:] != before[:-1]
+        common[1:][new & (common[1:] == length)] = t - step
+        np.cumsum(new, out=block[1:])
+    return order, common
 
 
 def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
@@ -75,13 +92,15 @@ def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     places, bwts, maps, base = [], [], [], 0
     for part in np.split(np.arange(len(bodies)), bounds):
         if len(part):
-            text = np.concatenate([np.append(np.frombuffer(bodies[i], np.uint8).astype(np.uint16) + 1, np.uint16(0)) for i in part])
+            # UTF-8 has no byte 0xFF, so bytes shifted by one leave 0 for the ends
+            text = np.concatenate([np.append(np.frombuffer(bodies[i], np.uint8) + np.uint8(1), np.uint8(0)) for i in part])
             order, bwt, lf = transform(text)
             places.append(order + base)
             bwts.append(bwt)
             maps.append(lf + base)
             base += len(text)
-    order, block, _ = repeated_blocks(np.concatenate(bwts), np.concatenate(maps))
+    order, common = merged(np.concatenate(bwts), np.concatenate(maps))
+    block = np.cumsum(common < LENGTH) - 1  # a repeated interval goes on while neighbours share the whole length
     start = np.cumsum(np.append(0, sizes + 1))
     at = np.concatenate(places)[order]
     body = np.searchsorted(start, at, "right") - 1
