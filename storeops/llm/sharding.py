@@ -63,7 +63,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
     text = whole(F.col(text_col))
     records = store(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"),
-        F.xxhash64(text).alias("key"),
+        F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("row"),
     ), "shard_records")
     totals = records.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
     total, aim, row_aim = max(totals.b, 1), max(totals.b // CELLS, 1), CELL_ROWS
@@ -77,11 +77,11 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
     per_range = {r.range: r.parts for r in ranged.groupBy("range").agg(pieces(aim).alias("parts")).collect()}
     parts = F.array(*[F.lit(per_range.get(i, 1)).cast("long") for i in range(len(bounds) + 1)])
     split = ranged.withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), F.get(parts, F.col("range"))))
-    # ... and a cell that is still overfull holds a heavy text, whose copies are split by id
+    # ... and a cell that is still overfull holds a heavy text, whose copies are split row by row, also those of one id
     heavy = split.groupBy("range", "part").agg(pieces(aim).alias("subs")).where("subs > 2")
     celled = (
         split.join(heavy, ["range", "part"], "left")
-        .withColumn("sub", F.pmod(F.xxhash64("id", F.lit(9)), F.coalesce("subs", F.lit(1))))
+        .withColumn("sub", F.pmod(F.xxhash64("row", F.lit(9)), F.coalesce("subs", F.lit(1))))
         .select("id", "size", "crc", "range", "part", "sub")
     )
     # one row per cell: about CELLS, or one per million records
