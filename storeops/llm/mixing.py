@@ -67,20 +67,26 @@ def copies_per_document(docs: DataFrame, seed: str = SEED, **options) -> DataFra
 
 
 def mix(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
+    """The rows of ``docs`` with all their columns, each as often as the mix takes it.
+
+    Null, empty and wordless texts count no words; their source's rate still applies to them.  A long text counts whole.
+    Rows of one id, repeated or not, are drawn alike, as the draw is seeded by the id; rows without id share one draw.
+    A null source is a source.  An empty table gives an empty result.  Columns may have any names.
+    """
     targets = source_targets(docs.select("source", n_words(whole("text")).alias("size")), **options)
     rates = targets.select(
-        F.col("source").alias("_of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_rate")
+        F.col("source").alias("of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate")
     )
     rates = store(rates, "mix_rates")
     if rates.count() <= FEW_SOURCES:  # texts stay where they are; beyond this the join is left to Spark
         rates = F.broadcast(rates)
-    drawn = F.when(unit_hash(F.col("doc_id"), seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    drawn = F.when(unit_hash(F.col("row.doc_id"), seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return (
-        docs.join(rates, F.col("source").eqNullSafe(F.col("_of")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(int(options.get("cap", CAP)) + 1))))
-        .where(F.col("_copy") <= F.floor("_rate") + drawn)
-        .select(*[docs[c] for c in docs.columns])
+        docs.select(F.struct("*").alias("row"))  # apart from the columns added here
+        .join(rates, F.col("row.source").eqNullSafe(F.col("of")))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(int(options.get("cap", CAP)) + 1))))
+        .where(F.col("copy") <= F.floor("rate") + drawn)
+        .select("row.*")
     )
 
 
