@@ -322,18 +322,34 @@ def test_window_minima_of_both_matchers():
         assert [first[b[k : k + 50]] for k in range(len(b) - 49)] == list(mins)
 
 
-def test_common_prefixes_of_merged_transforms():
-    texts = [b"banana", b"ananas", b"bandana"]
+@pytest.mark.parametrize("length", [3, 4, 6])
+def test_common_prefixes_of_merged_transforms(length):
+    texts = [b"banana", b"ananas", b"bandana", b"ananas", b"b"]
     places, bwts, maps, at = [], [], [], 0
     for t in texts:
-        order, b, lf = bwt.transform(np.append(np.frombuffer(t, np.uint8).astype(np.uint16) + 1, np.uint16(0)))
+        order, b, lf = bwt.transform(np.append(np.frombuffer(t, np.uint8) + np.uint8(1), np.uint8(0)))
         places.append(order + at), bwts.append(b), maps.append(lf + at)
         at += len(t) + 1
-    order, block, common = bwt.repeated_blocks(np.concatenate(bwts), np.concatenate(maps), 4)
-    joined = b"\0".join(texts) + b"\0"
-    suffixes = [joined[p:][:4] for p in np.concatenate(places)[order]]
-    heads = [s.split(b"\0")[0] + b"\0" if b"\0" in s else s for s in suffixes]
-    assert [h.rstrip(b"\0") for h in heads] == sorted(h.rstrip(b"\0") for h in heads)
+    order, common = bwt.merged(np.concatenate(bwts), np.concatenate(maps), length)
+    # rounds go on over the end of a text to the text before it in the same shard, which is itself here
+    joined = [(t + b"\0") * 8 for t in texts]
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+    suffixes = []
+    for p in np.concatenate(places)[order]:
+        shard = int(np.searchsorted(starts, p, "right")) - 1
+        suffixes.append(joined[shard][p - starts[shard] :][:length])
+    assert suffixes == sorted(suffixes)
+    for i in range(1, len(suffixes)):
+        shared = next((k for k in range(length) if suffixes[i][k] != suffixes[i - 1][k]), length)
+        assert common[i] == (length if shared == length else max(shared - (shared - length) % 2, 0))
+
+
+@pytest.mark.parametrize("text", [b"", b"a", b"abababababababababab", b"x" * 40, bytes(range(1, 200)) * 2])
+def test_suffix_array(text):
+    text = np.concatenate([np.frombuffer(text, np.uint8), [0], np.frombuffer(text[3:], np.uint8), [0]]).astype(np.uint8)
+    ends = np.flatnonzero(text == 0)
+    key = lambda i: (text[i : ends[np.searchsorted(ends, i)] + 1].tobytes(), i)
+    assert bwt.suffixes(text).tolist() == sorted(range(len(text)), key=key)
 
 
 @pytest.mark.parametrize("k", [1, 5])
