@@ -1,4 +1,11 @@
-"""From raw documents to packed training windows: five stages, each written before the next reads it."""
+"""From raw documents to packed training windows: five stages, each written before the next reads it.
+
+In every stage null and empty texts are documents without words: they are not toxic by themselves, near no other document
+and hold no passage; the mix takes them at the rate of their source, and packing gives them their end mark only.  A long
+text is judged whole.  Repeated rows are treated alike; rows of one id with different texts are judged each by its own
+text; of equal texts the smallest id stays.  Rows without id pass the stages that compare documents.  An empty table gives
+an empty result.  Columns beyond those of documents are dropped by the first stage.
+"""
 
 from __future__ import annotations
 
@@ -20,9 +27,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates; rows without id are all kept."""
+    """The first document of each group of near duplicates; rows without id are all kept.
+
+    Rows that share an id are told apart by their texts, so one that stays is not lost with one that goes.
+    """
     groups = neardup.near_duplicates(docs, NEAR_SHINGLE)
-    return docs.join(groups.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    gone = groups.where(~F.col("kept")).select("doc_id", "p").distinct()
+    return docs.select(*COLUMNS, neardup.text_print()).join(gone, ["doc_id", "p"], "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +64,7 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-ORACLE_SQL = None  # a trained classifier and a tokenizer are not SQL; the tests hold each stage against brute force
+ORACLE_SQL = None  # a trained classifier and a tokenizer are not SQL; the tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
