@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from storeops.functions.columns import count_big, dbl, top
-from storeops.operators import control as c, market as mk, stock as k, suppliers as su
+from storeops.operators import control as c, daybook, market as mk, stock as k, suppliers as su
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.plans.run_k_stock import snap
+from storeops.session import work_path
+from storeops.sources.tables import write_json
 
 AS_OF = "2001-07-15"
 RULES = c.RegimeRules(
@@ -350,6 +352,32 @@ def _(m):
     return top(rows, 5, F.desc("days_without_sale"), F.asc("product_id"))
 
 
+DOCUMENT_DAYS = ("2001-06-01", "2001-06-30")
+_PAGE = 50
+define("day_entries", f"""
+SELECT day, 'ALERT' AS section, row_number() OVER (PARTITION BY day ORDER BY CASE urgency WHEN 'CRITICAL' THEN 4 WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END DESC, coverage_days, product_id) AS position,
+  product_id, supplier_id, quantity, CASE WHEN coverage_days <= 3 THEN 'CRITICAL' WHEN coverage_days <= 7 THEN 'VERY LOW' WHEN coverage_days <= 14 THEN 'LOW'
+  WHEN coverage_days <= 30 THEN 'MEDIUM' WHEN coverage_days <= 60 THEN 'GOOD' ELSE 'COMFORTABLE' END AS label, cast(NULL AS int) AS days
+FROM (SELECT *, alert_date AS day FROM alert_rows WHERE alert_date BETWEEN DATE '{DOCUMENT_DAYS[0]}' AND DATE '{DOCUMENT_DAYS[1]}')
+UNION ALL
+SELECT day, 'ORDER', row_number() OVER (PARTITION BY day ORDER BY days, order_no, line_no, product_id, supplier_id, qty), product_id, supplier_id, qty, label, days
+FROM (SELECT *, CASE WHEN arrival > day THEN 'PENDING' ELSE 'TAGGING' END AS label, cast(CASE WHEN arrival > day THEN arrival - day ELSE in_stock - day END AS int) AS days
+  FROM timeline JOIN calendar ON day >= order_date AND day < in_stock WHERE day BETWEEN DATE '{DOCUMENT_DAYS[0]}' AND DATE '{DOCUMENT_DAYS[1]}')""")
+
+
+@query("I27_day_documents", f"""
+SELECT day, cast((position - 1) // {_PAGE} AS int) AS page, section, cast(position AS bigint) AS position, product_id, supplier_id, cast(quantity AS bigint) AS quantity, label, days FROM day_entries
+UNION ALL SELECT day, 0, 'TOTALS', 0, NULL, NULL, sales_qty, NULL, NULL FROM day_log WHERE day BETWEEN DATE '{DOCUMENT_DAYS[0]}' AND DATE '{DOCUMENT_DAYS[1]}'
+UNION ALL SELECT day, 0, 'SLOW', r, product_id, NULL, stock, cast(discount AS varchar), days_without_sale
+FROM (SELECT *, row_number() OVER (ORDER BY days_without_sale DESC, product_id) AS r FROM slow), calendar WHERE r <= 5 AND day BETWEEN DATE '{DOCUMENT_DAYS[0]}' AND DATE '{DOCUMENT_DAYS[1]}'""")
+def _(m):
+    # nested documents, written as JSON, read back and flattened
+    documents = daybook.day_documents(log(m), alerts(m), m.fact_purchases, c.slow_movers(m.fact_inventory, AS_OF), *DOCUMENT_DAYS, page_size=_PAGE)
+    path = work_path(m.spark, "day-documents")
+    write_json(documents, path)
+    return daybook.flat_documents(m.spark.read.schema(documents.schema).json(path))
+
+
 @query("I28_log_by_month", """
 SELECT strftime(day, '%Y-%m') AS month, cast(sum(sales_qty) AS bigint) AS sales_qty, cast(sum(cast(sales_value AS decimal(18,2))) AS double) AS sales_value, round(sum(sales_qty)::double / count(*), 1) AS daily_qty,
   round(cast(sum(cast(sales_value AS decimal(18,2))) AS double) / count(*), 2) AS daily_value, cast(sum(stock_outs) AS bigint) AS stock_outs, cast(sum(alerts) AS bigint) AS alerts, count(*) AS days FROM day_log GROUP BY 1""")

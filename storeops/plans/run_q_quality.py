@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 from storeops.functions.columns import count_big, date_key, money_of
 from storeops.operators import dims, quality as q, scd2
+from storeops.operators.rules import Rule, compile_rules
+from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.plans.run_e_modelling import known_products, versions
 
@@ -274,23 +276,100 @@ def _(m):
     return q.without_header(items, headers, ["ticket"]).groupBy("ticket").agg(count_big().alias("row_count"))
 
 
+# the short report: eight rules of the catalogue
+SUITE = [
+    Rule("product key unique", q.BLOCK, "unique", "dim_product", "product_id"),
+    Rule("sales without product", q.BLOCK, "reference", "fact_sales", "product_id", 0, "dim_product.product_id"),
+    Rule("item without ticket", q.BLOCK, "reference", "lineitem", "l_orderkey", 0, "orders.o_orderkey"),
+    Rule("scd2 overlap", q.BLOCK, "count", "version_overlaps", "true"),
+    Rule("negative stock %", q.WARN, "share", "fact_inventory", "stock < 0", 1),
+    Rule("future sales", q.WARN, "count", "fact_sales", "sale_date > date'2001-07-01'"),
+    Rule("non-positive net %", q.WARN, "share", "fact_sales", "net <= 0", 2),
+    Rule("null supplier %", q.WARN, "share", "dim_product", "supplier_id IS NULL", 30),
+]
+
+# the whole catalogue: keys, references, periods, columns, quantities, dates, amounts, nulls, loads
+RULES = [
+    *[Rule(f"{t}.{k} unique", q.BLOCK, "unique", t, k) for t, k in (
+        ("dim_product", "product_id"), ("dim_supplier", "supplier_id"), ("dim_store", "store_id"), ("dim_customer", "customer_id"), ("calendar", "day"),
+        ("orders", "o_orderkey"), ("dim_supplier", "supplier"), ("dim_store", "store"))],
+    Rule("lineitem key unique", q.BLOCK, "unique", "lineitem", "l_orderkey; l_linenumber"),
+    *[Rule(f"{t}.{k} in {to}", q.BLOCK, "reference", t, k, 0, to) for t, k, to in (
+        ("fact_sales", "product_id", "dim_product.product_id"), ("fact_sales", "store_id", "dim_store.store_id"), ("fact_sales", "sale_date", "calendar.day"),
+        ("fact_inventory", "product_id", "dim_product.product_id"), ("fact_inventory", "move_date", "calendar.day"),
+        ("fact_purchases", "product_id", "dim_product.product_id"), ("fact_purchases", "supplier_id", "dim_supplier.supplier_id"),
+        ("fact_purchases", "store_id", "dim_store.store_id"), ("fact_purchases", "order_date", "calendar.day"),
+        ("fact_returns", "store_id", "dim_store.store_id"), ("fact_returns", "exchange_date", "calendar.day"),
+        ("lineitem", "l_orderkey", "orders.o_orderkey"))],
+    *[Rule(f"{t}.{k} in {to} or null", q.BLOCK, "optional_reference", t, k, 0, to) for t, k, to in (
+        ("fact_sales", "customer_id", "dim_customer.customer_id"), ("dim_product", "supplier_id", "dim_supplier.supplier_id"),
+        ("fact_returns", "substitute_id", "dim_product.product_id"), ("fact_returns", "nullif(returned_id, -1)", "dim_product.product_id"))],
+    Rule("product versions overlap", q.BLOCK, "count", "version_overlaps", "true"),
+    Rule("dim_product columns", q.BLOCK, "columns", "dim_product", "product_id bigint, category string, margin double"),
+    Rule("fact_sales columns", q.BLOCK, "columns", "fact_sales", "sale_date date, product_id bigint, net decimal(12,2)"),
+    *[Rule(f"{t}.{c} negative %", q.WARN, "share", t, f"{c} < 0", 1) for t, c in (
+        ("fact_sales", "qty"), ("fact_inventory", "stock"), ("fact_purchases", "qty"), ("fact_returns", "qty"))],
+    Rule("future sales", q.WARN, "count", "fact_sales", "sale_date > date'2001-07-01'"),
+    Rule("non-positive net %", q.WARN, "share", "fact_sales", "net <= 0", 2),
+    Rule("null customer %", q.WARN, "share", "fact_sales", "customer_id IS NULL", 30),
+    Rule("null supplier %", q.WARN, "share", "dim_product", "supplier_id IS NULL", 30),
+    Rule("fact_sales load trend", q.WARN, "trend", "fact_sales", "sale_date", 50),
+    Rule("fact_inventory load trend", q.WARN, "trend", "fact_inventory", "move_date", 50),
+]
+
+
+def judged_tables(m, rules):
+    """The tables that the rules name; overlapping versions are a table of their own."""
+    of = {
+        **{t: lambda t=t: getattr(m, t) for t in (
+            "dim_product", "dim_supplier", "dim_store", "dim_customer", "calendar", "fact_sales", "fact_inventory", "fact_purchases", "fact_returns")},
+        **{t: lambda t=t: m.raw(t) for t in ("orders", "lineitem")},
+        "version_overlaps": lambda: scd2.overlaps(versions(m), ["product_id"], "change_hash"),
+    }
+    names = dict.fromkeys([r.table for r in rules] + [r.target.partition(".")[0] for r in rules if r.target])
+    return {n: of[n]() for n in names}
+
+
 def suite(m):
-    """Rule catalogue as one report."""
-    s, inv = m.fact_sales, m.fact_inventory
-    share = lambda cond: F.count_if(cond) * 100.0 / F.count(F.lit(1))
-    v = F.col("value")
-    dup = m.dim_product.groupBy("product_id").agg(count_big().alias("n"))
-    return q.run_suite([
-        q.suite_row("product key unique", q.BLOCK, dup, F.count_if(F.col("n") > 1), 0, v > 0),
-        q.suite_row("sales without product", q.BLOCK, q.orphan_rows(s, m.dim_product, "product_id"), count_big(), 0, v > 0),
-        q.suite_row("item without ticket", q.BLOCK, q.without_header(
-            m.raw("lineitem").select("l_orderkey"), m.raw("orders").select(F.col("o_orderkey").alias("l_orderkey")), ["l_orderkey"]), count_big(), 0, v > 0),
-        q.suite_row("scd2 overlap", q.BLOCK, scd2.overlaps(versions(m), ["product_id"], "change_hash"), count_big(), 0, v > 0),
-        q.suite_row("negative stock %", q.WARN, inv, F.round(share(F.col("stock") < 0), 4), 1, v > 1),
-        q.suite_row("future sales", q.WARN, q.future_rows(s, "sale_date", "2001-07-01"), count_big(), 0, v > 0),
-        q.suite_row("non-positive net %", q.WARN, s, F.round(share(F.col("net") <= 0), 4), 2, v > 2),
-        q.suite_row("null supplier %", q.WARN, m.dim_product, F.round(share(F.col("supplier_id").isNull()), 4), 30, v > 30),
-    ])
+    """The short report: check, severity, value, threshold, status."""
+    return compile_rules(judged_tables(m, SUITE), SUITE).select("check_name", "severity", "value", "threshold", "status")
+
+
+def _rule_sql(r):
+    keys = [k.strip() for k in r.subject.split(";")]
+    filled = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    rows = f"(SELECT count(*) FROM {r.table})"
+    if r.kind in ("count", "share"):
+        bad = f"(SELECT count(*) FILTER ({r.subject}) FROM {r.table})"
+    elif r.kind == "unique":
+        bad = f"(SELECT count(*) FROM (SELECT 1 FROM {r.table} GROUP BY {', '.join(keys)} HAVING count(*) > 1))"
+    elif r.kind == "trend":
+        bad = "cast(NULL AS bigint)"
+    elif r.kind == "columns":
+        rows, bad = "cast(NULL AS bigint)", f"cast({1 if 'margin' in r.subject else 0} AS bigint)"
+    else:
+        to, _, key = r.target.partition(".")
+        missing = f"({keys[0]} NOT IN (SELECT {key} FROM {to}))"
+        cond = missing if r.kind == "optional_reference" else f"{keys[0]} IS NULL OR {missing}"
+        bad = f"(SELECT count(*) FILTER ({cond}) FROM {r.table})"
+    value = "cast(bad AS double)"
+    if r.kind == "share":
+        value = "round(100.0::double * bad::double / nullif(row_count, 0)::double, 4)"
+    if r.kind == "trend":
+        value = f"""(SELECT round(abs(n - a) * 100.0::double / a, 4) FROM (SELECT d, n::double AS n, avg(n::double) OVER (ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a
+  FROM (SELECT {r.subject} AS d, count(*) AS n FROM {r.table} WHERE {filled} GROUP BY 1)) ORDER BY d DESC LIMIT 1)"""
+    return f"""SELECT '{r.name}' AS check_name, '{r.severity}' AS severity, '{r.kind}' AS kind, '{r.table}' AS table_name, row_count, bad, {value} AS value, cast({r.threshold} AS double) AS threshold
+FROM (SELECT {rows} AS row_count, {bad} AS bad)"""
+
+
+define("version_overlaps", """
+SELECT DISTINCT b.product_id, b.valid_from FROM scd_versions a JOIN scd_versions b ON a.product_id = b.product_id AND a.valid_from < b.valid_from
+  AND b.valid_from <= coalesce(a.valid_to, DATE '9999-12-31')""")
+
+
+@query("Q21_rule_catalogue", "SELECT *, CASE WHEN value > threshold THEN severity ELSE 'PASS' END AS status FROM (" + "\nUNION ALL ".join(_rule_sql(r) for r in RULES) + ")")
+def _(m):
+    return compile_rules(judged_tables(m, RULES), RULES)
 
 
 @query("Q21_quality_suite", """

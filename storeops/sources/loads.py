@@ -9,8 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from storeops.operators.quality import enforce
 from storeops.sources.tables import write_table
 
+
 class LoadFailed(RuntimeError):
     """Some steps failed; ``audit`` holds the rows of all steps."""
 
@@ -46,10 +48,19 @@ def load_tables(
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 
-def store_gold(mart, folder: str) -> DataFrame:
-    """Stores all facts, the large ones partitioned by year; returns the audit."""
+def store_gold(mart, folder: str, report: DataFrame | None = None) -> DataFrame:
+    """Stores all facts, the large ones partitioned by year; returns the audit.
+
+    With a ``report`` of checks (``operators.rules``), it is stored first, in ``quality_report`` below the folder, and a
+    failed BLOCK check raises ``QualityError`` before any fact is written.
+    """
     from storeops.sources.mart import GOLD_FACTS
 
+    if report is not None:
+        path = os.path.join(folder, "quality_report")
+        report.write.mode("overwrite").parquet(path)
+        enforce(mart.spark.read.parquet(path))
+
     day = {"fact_sales": "sale_date", "fact_inventory": "move_date", "fact_store_inventory": "move_date", "fact_purchases": "order_date", "fact_returns": "exchange_date"}
     steps = {name: getattr(mart, name).withColumn("year", F.year(day[name])) for name in GOLD_FACTS}
     return load_tables(mart.spark, steps, lambda name: os.path.join(folder, name), {name: ["year"] for name in steps})
