@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions import ols
 from storeops.functions.columns import big, count_big, dbl, divide, percent, ratio, top_per, week_start
+from storeops.functions.quantiles import group_quantiles
 from storeops.operators.market import unit_price_cents
 from storeops.session import materialize
 
@@ -227,8 +228,9 @@ def demand_profile(sales: DataFrame, products: DataFrame) -> DataFrame:
     spread = F.sqrt((dbl(s2) - dbl(s1) * dbl(s1) / n) / (n - 1))
     price = freq.groupBy("category").agg(
         F.round(dbl(s1) / n / 100, 2).alias("mean_price"), F.round(spread / 100, 2).alias("price_spread"),
-        F.round(F.percentile(dbl(F.col("price")), F.lit(0.5), f) / 100, 2).alias("median_price"),
     )
+    median = group_quantiles(freq, ["category"], F.col("price"), {"median": 0.5}, F.col("f"))
+    price = price.join(median.select("category", F.round(F.col("median") / 100, 2).alias("median_price")), "category")
     return base.join(index, "category").join(price, "category").select(
         "category", F.round("avg", 1).alias("base_mean"), F.round("std", 1).alias("base_std"),
         F.round(F.greatest(F.col("std") * 0.15, F.lit(1.0)), 2).alias("residual_std"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions.columns import big, count_big, count_where, dbl, divide, percent, ratio, top
 from storeops.functions.pairs import banded_pairs, nearest_k, nearest_other, top_pairs
+from storeops.functions.quantiles import group_quantiles
 from storeops.session import materialize
 
 SEGMENT = ["product_type", "line"]
@@ -147,14 +148,12 @@ def segment_competition(products: DataFrame, suppliers: DataFrame, scope: Scope,
 
 
 def _quantiles(by: list[str], products: DataFrame) -> DataFrame:
-    """Exact quartiles from (value, frequency): repeated costs collapse before
-    they reach the percentile state."""
-    freq = products.groupBy(*by, "unit_cost").agg(count_big().alias("f"))
-    at = lambda p: F.percentile(dbl(F.col("unit_cost")), F.lit(p), F.col("f"))
-    return freq.groupBy(*by).agg(
-        *[F.round(at(p), 4).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))], big(F.sum("f")).alias("skus"),
-        F.sum(cents(F.col("unit_cost")) * F.col("f")).alias("cost_sum"),
-    )
+    """Exact quartiles of the costs, SKUs and summed cost of each group."""
+    parts = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = group_quantiles(products, by, cents(F.col("unit_cost")), parts)
+    sums = products.groupBy(*by).agg(count_big().alias("skus"), F.sum(cents(F.col("unit_cost"))).alias("cost_sum"))
+    both = sums.unionByName(found.select(*by, *[F.round(F.col(n) / 100, 4).alias(n) for n in parts]), allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(c).alias(c) for c in (*parts, "skus", "cost_sum")])  # one row of each a group
 
 
 def price_quantiles(products: DataFrame, scope: Scope, min_skus: int = 5) -> DataFrame:

@@ -7,7 +7,7 @@ from storeops.operators import receipts as g
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.session import work_path
-from storeops.streaming import loads
+from storeops.streaming import late, loads
 
 define("invoices", """
 SELECT o_orderkey AS order_no, o_orderkey // 3 AS number, o_orderstatus AS series, o_custkey % 4 AS supplier_id, cast(o_totalprice AS decimal(12,2)) AS value FROM orders""")
@@ -141,3 +141,37 @@ def _(m):
 SELECT cast(ts AS date) AS day, event_type, count(*) AS events, cast(sum(cast(value AS decimal(12,2))) AS double) AS total FROM events GROUP BY 1, 2""")
 def _(m):
     return loads.daily_totals(m.raw("events"), "ts", "event_type", "value", None)
+
+
+def _late_events(m):
+    """Events in two deliveries: a quarter of the users reports only after all others, who report twice."""
+    folder, landing, progress = (work_path(m.spark, n) for n in ("split-events", "landing", "stream-split"))
+    events = m.raw("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    behind = F.col("user_id") % 4 == 0
+    run = lambda: late.split_rows(loads.file_stream(m.spark, landing, events.schema), folder, "event_id", "ts", "1 hour", progress)
+    events.where(~behind).write.mode("append").parquet(landing)
+    run()
+    events.write.mode("append").parquet(landing)
+    run()
+    return folder
+
+
+define("event_outcomes", """
+WITH e AS (SELECT event_id, ts, event_type, value, user_id % 4 = 0 AS behind FROM events), m AS (SELECT max(ts) FILTER (NOT behind) AS mark FROM e)
+SELECT event_id, event_type, 'kept' AS outcome FROM e WHERE NOT behind
+UNION ALL SELECT event_id, event_type, CASE WHEN ts < mark - INTERVAL 1 HOUR THEN 'late' WHEN behind THEN 'kept' ELSE 'repeat' END FROM e, m""")
+
+
+@query("T2_stream_outcomes", "SELECT event_type, outcome, count(*) AS row_count FROM event_outcomes GROUP BY 1, 2")
+def _(m):
+    return late.outcomes(m.spark, _late_events(m)).groupBy("event_type", "outcome").agg(count_big().alias("row_count"))
+
+
+@query("T3_corrected_totals", """
+WITH e AS (SELECT cast(ts AS date) AS day, event_type, cast(value AS decimal(12,2)) AS v, ts, user_id % 4 = 0 AS behind FROM events),
+m AS (SELECT max(ts) FILTER (NOT behind) AS first_mark, max(ts) AS mark FROM e), r AS (SELECT *, behind AND ts < first_mark - INTERVAL 1 HOUR AS is_late FROM e, m)
+SELECT day, event_type, count(*) FILTER (NOT is_late) AS given_events, cast(coalesce(sum(v) FILTER (NOT is_late), 0) AS double) AS given_total,
+  count(*) FILTER (is_late) AS late_events, cast(coalesce(sum(v) FILTER (is_late), 0) AS double) AS late_total, count(*) AS events, cast(coalesce(sum(v), 0) AS double) AS total
+FROM r WHERE day < cast(mark - INTERVAL 1 HOUR AS date) GROUP BY 1, 2""")
+def _(m):
+    return late.corrected_totals(m.spark, _late_events(m), "event_id", "ts", "event_type", "value", "1 hour")
