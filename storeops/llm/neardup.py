@@ -99,17 +99,16 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """(band, node) for each band of each node."""
+    """(band, node, n) for each band of each node; n is its set size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 bands = band_keys(np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bands.reshape(-1).view(np.int64)), batch.column("node").take(pa.array(np.repeat(np.arange(len(bands)), bands.shape[1])))], ["band", "node"]
-                )
+                owner = pa.array(np.repeat(np.arange(len(bands)), bands.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(bands.reshape(-1).view(np.int64)), batch.column("node").take(owner), batch.column("n").take(owner)], ["band", "node", "n"])
 
-    return nodes.select("node", "regs").mapInArrow(run, "band long, node long")
+    return nodes.select("node", "n", "regs").mapInArrow(run, "band long, node long, n long")
 
 
 def similarity(ru: np.ndarray, rv: np.ndarray, nu: np.ndarray, nv: np.ndarray) -> np.ndarray:
@@ -223,10 +222,11 @@ def mixed_bands(members: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(sized, "band")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node, shingle set of the wanted nodes (node, doc_id, p).
+def full_sets(docs: DataFrame, wanted: DataFrame, repeated: DataFrame, k: int) -> DataFrame:
+    """node, shingle set of the wanted nodes (node, doc_id, p), once each.
 
-    Few wanted nodes go to the texts; from SENT_NODES on, the texts are dealt by node instead.
+    Few wanted nodes go to the texts; from SENT_NODES on, the texts are dealt by node instead.  Texts move only for nodes
+    whose (doc_id, p) several rows have (``repeated``).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,18 +236,31 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 at = np.searchsorted(o, np.arange(len(texts) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(first, end - first), pa.ListArray.from_arrays(pa.array(at), pa.array(v.view(np.int64)))], ["node", "items"])
 
-    if wanted.count() <= SENT_NODES:
-        wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text", text_print()).join(wanted, ["doc_id", "p"]).groupBy("node").agg(F.first("text").alias("text"))
-    return texts.mapInArrow(run, "node long, items array<long>")
+    few = wanted.count() <= SENT_NODES
+    many = store(wanted.join(repeated, ["doc_id", "p"], "left_semi"), "repeated_nodes")
+    several = bool(many.head(1))
+
+    def sets(nodes: DataFrame, once: bool) -> DataFrame:
+        texts = docs.select("doc_id", "text", text_print()).join(F.broadcast(nodes) if few else nodes, ["doc_id", "p"])
+        texts = texts.select("node", "text") if once else texts.groupBy("node").agg(F.first("text").alias("text"))
+        return texts.mapInArrow(run, "node long, items array<long>")
+
+    if not several:
+        return sets(wanted, True)
+    return sets(wanted.join(many.select("node"), "node", "left_anti"), True).union(sets(many, False))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * common >= percent * united elements."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"i_{c}"))
+    """The pairs (stored) with 100 * common >= percent * united elements.
+
+    Up to SENT_NODES pairs go to the sets, so a set moves once for each pair it is b of, and once as a.
+    """
+    few = pairs.count() <= SENT_NODES
+    sent = lambda df: F.broadcast(df) if few else df
+    right = sets.join(sent(pairs), F.col("node") == F.col("b")).select("a", "b", F.col("items").alias("i_b"))
+    left = sets.join(sent(pairs.select(F.col("a").alias("node")).distinct()), "node", "left_semi").select(F.col("node").alias("a"), F.col("items").alias("i_a"))
     common = F.size(F.array_intersect("i_a", "i_b"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.where(100 * common >= percent * (F.size("i_a") + F.size("i_b") - common)).select("a", "b")
+    return right.join(left, "a").where(100 * common >= percent * (F.size("i_a") + F.size("i_b") - common)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -269,12 +282,16 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     else:
         nodes = nodes.withColumn("node", F.col("doc_id"))
     bands = store(band_rows(nodes), "bands")
-    shared = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("rows")).where("least <> most")
-    members = store(bands.join(shared, "band").select("band", "node", "least", "rows"), "band_members")
-    near = store(likely(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, percent), "near_pairs")
+    repeated = store(all_sketches.groupBy("doc_id", "p").count().where("count > 1").select("doc_id", "p"), "repeated_rows")
+    first = F.min(F.struct("node", "n"))
+    shared = bands.groupBy("band").agg(first["node"].alias("least"), first["n"].alias("least_n"), F.max("node").alias("most"), F.count("*").alias("rows")).where("least <> most")
+    members = store(bands.join(shared, "band").select("band", "node", "n", "least", "least_n", "rows"), "band_members")
+    # the smaller set over the larger one bounds the similarity: other pairs cannot link and their registers stay
+    sized_alike = F.expr(f"node <> least and 100 * least(n, least_n) >= {percent} * greatest(n, least_n)")
+    near = store(likely(members.where(sized_alike).select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, percent), "near_pairs")
     ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     named = nodes.select("node", "doc_id", "p")
-    sets = store(full_sets(docs, store(ends(near).join(named, "node"), "wanted_nodes"), k), "shingle_sets")
+    sets = store(full_sets(docs, store(ends(near).join(named, "node"), "wanted_nodes"), repeated, k), "shingle_sets")
     links = store(verified(near, sets, percent), "links")
     groups = store(components(links), "groups")
     crowded = members.where("rows > 2").select("band", "node")
@@ -285,7 +302,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
     def with_sets(wanted: DataFrame) -> DataFrame:
         missing = store(wanted.join(sets.select("node"), "node", "left_anti").join(named, "node"), "late_nodes")
-        return sets.union(store(full_sets(docs, missing, k), "late_sets")) if missing.head(1) else sets
+        return sets.union(store(full_sets(docs, missing, repeated, k), "late_sets")) if missing.head(1) else sets
 
     # where a band still holds several components, those outside its largest are held against another member of that one
     mixed = mixed_bands(crowded, groups).where("component <> lead")
