@@ -263,6 +263,40 @@ def price_band_substitutes(products: DataFrame) -> DataFrame:
     return _pair_output(pairs.where(100 * F.col("x_n") * F.col("diff") <= tolerance * F.col("x_total")), tolerance.alias("tolerance_pct"))
 
 
+def substitute_levels(products: DataFrame, tolerance_pct: int = 20) -> DataFrame:
+    """Substitutes as pairs of price levels: segment, cost, members, substitute_cost, substitute_members.
+
+    A product of ``cost`` has as substitutes all other active priced products of its segment at ``substitute_cost``, which
+    may be its own level.  Costs lie within ``tolerance_pct`` of the segment mean.  Size and work depend on the prices of a
+    segment, not on how many products share one; together with the products this holds every link.
+    """
+    per = segment_costs(products).groupBy(*SEGMENT, "cost").agg(count_big().alias("members"), F.max("n").alias("n"), F.max("total").alias("total"))
+    levels = materialize(products.sparkSession, per, "price-levels")
+    mean = dbl(F.col("total")) / F.col("n")
+    pairs = banded_pairs(levels, SEGMENT, "cost", dbl(F.col("cost")), mean * (tolerance_pct + 0.1) / 100, ["members", "n", "total"])
+    inside = 100 * F.col("x_n") * F.abs(F.col("x_cost") - F.col("y_cost")) <= tolerance_pct * F.col("x_total")
+    other = pairs.where(inside).select(*SEGMENT, F.col("x_cost").alias("cost"), F.col("x_members").alias("members"), F.col("y_cost").alias("substitute_cost"), F.col("y_members").alias("substitute_members"))
+    own = levels.where("members > 1").select(*SEGMENT, "cost", "members", F.col("cost").alias("substitute_cost"), F.col("members").alias("substitute_members"))
+    return other.unionByName(own)
+
+
+def substitute_counts(products: DataFrame, levels: DataFrame) -> DataFrame:
+    """Exact number of substitutes of each active priced product, none included, without building the links."""
+    own = F.when(F.col("cost") == F.col("substitute_cost"), 1).otherwise(0)
+    links = levels.groupBy(*SEGMENT, "cost").agg(F.sum(F.col("substitute_members") - own).alias("substitutes"))
+    return segment_costs(products).join(links, [*SEGMENT, "cost"], "left").select("product_id", *SEGMENT, big(F.coalesce("substitutes", F.lit(0))).alias("substitutes"))
+
+
+def substitutes_of(asked: DataFrame, products: DataFrame, levels: DataFrame) -> DataFrame:
+    """The substitutes of the asked products (product_id) only: their levels, the levels paired with these, their members."""
+    costs = segment_costs(products).select("product_id", "supplier_id", *SEGMENT, "cost")
+    mine = costs.join(asked.select("product_id").distinct(), "product_id", "left_semi").drop("supplier_id")
+    theirs = costs.select(*SEGMENT, F.col("cost").alias("substitute_cost"), F.col("product_id").alias("substitute_id"), F.col("supplier_id").alias("substitute_supplier"))
+    found = mine.join(levels.select(*SEGMENT, "cost", "substitute_cost"), [*SEGMENT, "cost"]).join(theirs, [*SEGMENT, "substitute_cost"])
+    return found.where(F.col("product_id") != F.col("substitute_id")).select(
+        "product_id", *SEGMENT, "substitute_id", "substitute_supplier", (dbl(F.col("cost")) / 100).alias("cost"), (dbl(F.col("substitute_cost")) / 100).alias("substitute_cost"))
+
+
 def with_nearest(products: DataFrame) -> DataFrame:
     """Each active priced product with its closest cost neighbour in the
     segment and whether that lies within 20 %."""

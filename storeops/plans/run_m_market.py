@@ -160,6 +160,28 @@ def _(m):
     return mk.price_band_substitutes(m.dim_product)
 
 
+@query("M13_substitute_levels", """
+WITH l AS (SELECT product_type, line, cost, count(*) AS members, max(n) AS n, max(total) AS total FROM segment_costs GROUP BY 1, 2, 3)
+SELECT x.product_type, x.line, x.cost, x.members, y.cost AS substitute_cost, y.members AS substitute_members FROM l x JOIN l y USING (product_type, line)
+WHERE 5 * x.n * abs(x.cost - y.cost) <= x.total AND (x.cost <> y.cost OR x.members > 1)""")
+def _(m):
+    return mk.substitute_levels(m.dim_product)
+
+
+@query("M13_substitute_counts", """
+SELECT product_id, product_type, line, count(*) FILTER (substitute_id IS NOT NULL) AS substitutes FROM segment_costs
+LEFT JOIN (SELECT product_id, substitute_id FROM cost_pairs WHERE 5 * n * d <= total) USING (product_id) GROUP BY 1, 2, 3""")
+def _(m):
+    return mk.substitute_counts(m.dim_product, mk.substitute_levels(m.dim_product))
+
+
+@query("M13_substitutes_of_stock_outs", f"""
+SELECT product_id, product_type, line, substitute_id, substitute_supplier, cost, substitute_cost FROM cost_pairs
+WHERE 5 * n * d <= total AND product_id IN (SELECT product_id FROM snapshot WHERE stock <= 0)""")
+def _(m):
+    return mk.substitutes_of(snap(m).where("stock <= 0"), m.dim_product, mk.substitute_levels(m.dim_product))
+
+
 define("has_substitute", """
 SELECT c.*, EXISTS (SELECT 1 FROM cost_pairs q WHERE q.product_id = c.product_id AND 5 * q.n * q.d <= q.total) AS has_sub FROM segment_costs c""")
 
