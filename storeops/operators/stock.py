@@ -334,10 +334,11 @@ def differences(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
 
 
 def assortment_profile(snapshot: DataFrame, products: DataFrame, sales: DataFrame, days: int = 90) -> DataFrame:
-    """SKUs, cost, stock, trailing units and selling days by category, line and collection."""
-    rows = products.join(snapshot.select("product_id", "stock"), "product_id", "left").join(trailing_sales(sales, days), "product_id", "left")
+    """SKUs, cost, price per piece sold, stock, trailing units and selling days by category, line and collection."""
+    sold = sales.where(F.col("qty") > 0).groupBy("product_id").agg(F.sum("net").alias("_net"), F.sum("qty").alias("_pieces"))
+    rows = products.join(snapshot.select("product_id", "stock"), "product_id", "left").join(trailing_sales(sales, days), "product_id", "left").join(sold, "product_id", "left")
     return rows.groupBy("category", "line", "collection").agg(
-        count_big().alias("skus"), ratio(F.sum("unit_cost"), F.count("unit_cost")).alias("mean_cost"),
+        count_big().alias("skus"), ratio(F.sum("unit_cost"), F.count("unit_cost")).alias("mean_cost"), ratio(F.sum("_net"), F.sum("_pieces")).alias("mean_price"),
         big(F.coalesce(F.sum("stock"), F.lit(0))).alias("stock"),
         big(F.coalesce(F.sum("recent_qty"), F.lit(0))).alias("recent_qty"),
         ratio(F.sum("recent_qty"), F.lit(days) * count_where(F.col("recent_qty") > 0)).alias("velocity_per_sku"),

@@ -273,10 +273,11 @@ def _(m):
 
 @query("K36_assortment_profile", """
 SELECT category, line, collection, count(*) AS skus, round(cast(sum(unit_cost) AS double) / nullif(count(unit_cost), 0), 4) AS mean_cost,
-  cast(coalesce(sum(stock), 0) AS bigint) AS stock, cast(coalesce(sum(recent_qty), 0) AS bigint) AS recent_qty,
+  round(cast(sum(net) AS double) / nullif(sum(pieces), 0)::double, 4) AS mean_price, cast(coalesce(sum(stock), 0) AS bigint) AS stock, cast(coalesce(sum(recent_qty), 0) AS bigint) AS recent_qty,
   round(sum(recent_qty)::double / nullif(90 * count(*) FILTER (recent_qty > 0), 0)::double, 4) AS velocity_per_sku,
   cast(coalesce(sum(recent_days), 0) AS bigint) AS selling_days
-FROM dim_product LEFT JOIN snapshot USING (product_id) LEFT JOIN trailing_sales USING (product_id) GROUP BY 1, 2, 3""")
+FROM dim_product LEFT JOIN snapshot USING (product_id) LEFT JOIN trailing_sales USING (product_id)
+LEFT JOIN (SELECT product_id, sum(net) AS net, sum(qty) AS pieces FROM fact_sales WHERE qty > 0 GROUP BY 1) USING (product_id) GROUP BY 1, 2, 3""")
 def _(m):
     return k.assortment_profile(snap(m), m.dim_product, m.fact_sales)
 
