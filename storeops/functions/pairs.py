@@ -13,59 +13,151 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storeops.functions.ranks import ranked
 from storeops.session import materialize
 
 HEAVY_BASKET = 256   # items; larger baskets are counted by membership
+PLAIN_PAIRS = 16     # pairs formed per row up to which bounds would cost more than they save
+SEED_ITEMS = 64      # most frequent items whose pairs give the first lower bound
 SALT_ROWS = 1024     # rows of one value band handled by one task
 
 
+def _ranking() -> list[Column]:
+    return [F.desc("orders"), F.asc("a"), F.asc("b")]
+
+
 def _enumerate(left: DataFrame, right: DataFrame, order: str, keep: Callable[[Column, Column], Column]) -> DataFrame:
     """(a, b, orders) over baskets; sides are distinct (order, item)."""
-    pairs = left.withColumnRenamed("item", "a").join(right.withColumnRenamed("item", "b"), order)
-    return pairs.where(keep(F.col("a"), F.col("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
+    sides = left.select(order, F.col("item").alias("a")).join(right.select(order, F.col("item").alias("b")), order)
+    return sides.where(keep(F.col("a"), F.col("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
+
+
+class _Best:
+    """The k best pairs found so far, stored, and what another pair must reach to displace one of them.
+
+    ``bar`` is the count of the k-th pair, ``edge`` the largest (a, b) with that count; with fewer than k pairs every pair
+    counts: ``bar`` is 1 and ``edge`` None.  Counts may be too low as long as a later merge brings the right one.
+    """
+
+    def __init__(self, pairs: DataFrame, k: int):
+        found = pairs.groupBy("a", "b").agg(F.max("orders").alias("orders")).orderBy(*_ranking()).limit(k)
+        self.k, self.rows = k, materialize(pairs.sparkSession, found, "best-pairs")
+        n, least = self.rows.agg(F.count(F.lit(1)), F.min("orders")).head()
+        self.bar, self.edge = 1, None
+        if n == k:
+            self.bar = least
+            self.edge = self.rows.where(F.col("orders") == least).agg(F.max(F.struct("a", "b")).alias("v")).scalar()
+
+    def merge(self, pairs: DataFrame) -> _Best:
+        return _Best(self.rows.unionByName(pairs), self.k)
+
+    def reached(self, bound: Column) -> Column:
+        """A pair (a, b) in at most ``bound`` baskets may still be, or already is, among the best."""
+        if self.edge is None:
+            return F.lit(True)
+        return (bound > self.bar) | ((bound == self.bar) & (F.struct("a", "b") <= self.edge))
 
 
 def top_pairs(
     left: DataFrame, right: DataFrame, order: str, k: int, keep: Callable[[Column, Column], Column],
-    heavy: int = HEAVY_BASKET,
+    heavy: int = HEAVY_BASKET, seeds: int = SEED_ITEMS,
 ) -> DataFrame:
     """The k pairs (a, b) found together in most orders: exact, ties by (a, b).
 
-    ``left`` and ``right`` hold (order, item), where item is a struct.
-    Baskets up to ``heavy`` items are enumerated, at most heavy² pairs each.
-    A larger basket adds one to each of its pairs, which is looked up by
-    membership for the pairs found so far.  A pair seen only in large baskets
-    can reach the result only if both its items occur in at least as many
-    large baskets as the k-th best count; only those items are enumerated.
+    ``left`` and ``right`` hold (order, item), where item is a struct.  Baskets that are all small are enumerated at once,
+    if that forms few pairs per row.  Otherwise bounds decide what is counted.  A pair occurs at most as often as its rarer item,
+    so the pairs of the most frequent items are counted first; their k-th count is a bar that removes rarer items.
+    Of the items left, baskets of up to ``heavy`` are enumerated.  A larger basket adds one to each of its pairs: pairs
+    known from smaller baskets are looked up by membership, if their bound reaches the bar.  A pair seen in larger
+    baskets only must share ``bar`` of them, so each item leaves out its ``bar`` - 1 largest ones when candidates are
+    formed (two items with enough in common still meet), and candidates are counted by membership.  With a bar of two or
+    more, the largest basket is therefore never enumerated; pairs that could only tie with the k-th are formed with
+    items up to that pair only.  Rows without order or item are left out.
     """
     spark = left.sparkSession
     same = left is right
-    left = materialize(spark, left.distinct(), "basket")
-    right = left if same else materialize(spark, right.distinct(), "basket")
+
+    def stored(side: DataFrame) -> DataFrame:
+        return materialize(spark, side.where(F.col(order).isNotNull() & F.col("item").isNotNull()).select(order, "item").distinct(), "basket")
+
+    def frequency(side: DataFrame) -> DataFrame:
+        return materialize(spark, side.groupBy("item").agg(F.count(F.lit(1)).alias("n")), "item-counts")
+
+    left = stored(left)
+    right = left if same else stored(right)
+    sizes = (left if same else left.unionByName(right)).groupBy(order).agg(F.count(F.lit(1)).alias("m"))
+    rows, formed, widest = sizes.agg(F.sum("m"), F.sum(F.col("m") * F.col("m")), F.max("m")).head()
+    if rows is None or (widest <= heavy and formed <= PLAIN_PAIRS * rows):
+        return _enumerate(left, right, order, keep).orderBy(*_ranking()).limit(k)
+
+    left_n = frequency(left)
+    right_n = left_n if same else frequency(right)
+
+    def of_items(side: DataFrame, counts: DataFrame, *by: Column) -> DataFrame:
+        return side.join(F.broadcast(counts.orderBy(*by).limit(seeds).select("item")), "item", "left_semi")
+
+    by_count = [F.desc("n"), F.asc("item")]
+    best = _Best(_enumerate(of_items(left, left_n, *by_count), of_items(right, right_n, *by_count), order, keep), k)
+    if best.edge is None:
+        best = _Best(_enumerate(of_items(left, left_n, *by_count), right, order, keep), k)
+
+    def living(side: DataFrame, counts: DataFrame) -> DataFrame:
+        return materialize(spark, side.join(counts.where(F.col("n") >= best.bar), "item").select(order, "item", "n"), "live-basket")
+
+    left = living(left, left_n)
+    right = left if same else living(right, right_n)
     both = left if same else left.unionByName(right)
-    large = both.groupBy(order).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy).select(order)
+    large = both.groupBy(order).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > heavy)
     large = materialize(spark, large, "large-baskets")
 
-    small_pairs = _enumerate(left.join(large, order, "left_anti"), right.join(large, order, "left_anti"), order, keep)
-    big_left, big_right = left.join(large, order, "left_semi"), right.join(large, order, "left_semi")
-    hits = (
-        small_pairs.select("a", "b").join(big_left.select(order, F.col("item").alias("a")), "a")
-        .join(big_right.select(order, F.col("item").alias("b")), [order, "b"])
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("extra"))
+    a_side = lambda df, *more: df.select(order, F.col("item").alias("a"), *more)
+    b_side = lambda df, *more: df.select(order, F.col("item").alias("b"), *more)
+    some = bool(large.head(1))
+    small = lambda df: df.join(large, order, "left_anti") if some else df
+    pairs = a_side(small(left), F.col("n").alias("n_a")).join(b_side(small(right), F.col("n").alias("n_b")), order)
+    pairs = pairs.where(keep(F.col("a"), F.col("b"))).where(best.reached(F.least("n_a", "n_b")))
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
+    if not some:
+        return pairs.orderBy(*_ranking()).limit(k)
+
+    def among_large(side: DataFrame) -> DataFrame:
+        """order, item, size, h (large baskets of the item), place (1: its largest)."""
+        rows = side.select(order, "item").join(large, order)
+        rows = materialize(spark, rows, "large-rows")
+        counted = rows.join(rows.groupBy("item").agg(F.count(F.lit(1)).alias("h")), "item")
+        return materialize(spark, ranked(counted, ["item"], [-F.col("size"), F.col(order)], "place"), "large-places")
+
+    big_left = among_large(left)
+    big_right = big_left if same else among_large(right)
+    held = lambda side, name: side.where("place = 1").select(F.col("item").alias(name), F.col("h").alias(f"h_{name}"))
+
+    def shared(asked: DataFrame) -> DataFrame:
+        """Large baskets that hold both items of each asked pair; pairs without one are left out."""
+        rows = asked.select("a", "b").join(a_side(big_left), "a").join(b_side(big_right), [order, "b"])
+        return rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("extra"))
+
+    h = F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
+    known = pairs.join(held(big_left, "a"), "a", "left").join(held(big_right, "b"), "b", "left")
+    known = materialize(spark, known.where(best.reached(F.col("orders") + h)).select("a", "b", "orders"), "known-pairs")
+    best = best.merge(
+        known.join(shared(known), ["a", "b"], "left").select("a", "b", (F.col("orders") + F.coalesce("extra", F.lit(0))).alias("orders"))
     )
-    ranking = [F.desc("orders"), F.asc("a"), F.asc("b")]
-    best = small_pairs.join(hits, ["a", "b"], "left").select(
-        "a", "b", (F.col("orders") + F.coalesce("extra", F.lit(0))).alias("orders")
-    ).orderBy(*ranking).limit(k)
-    best = materialize(spark, best, "best-pairs")
-    bar = best.select(F.when(F.count(F.lit(1)) == k, F.min("orders")).otherwise(F.lit(1)).alias("v")).scalar()
-
-    def frequent(side: DataFrame) -> DataFrame:
-        kept = side.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= bar).select("item")
-        return side.join(kept, "item", "left_semi")
-
-    big_pairs = _enumerate(frequent(big_left), frequent(big_right), order, keep)
-    return best.unionByName(big_pairs).groupBy("a", "b").agg(F.max("orders").alias("orders")).orderBy(*ranking).limit(k)
+    # first items in order that can still tie with the k-th pair: brings the edge down before ties are formed
+    first = big_left.where((F.col("place") == 1) & (F.col("h") >= best.bar)).select("item")
+    best = best.merge(_enumerate(of_items(big_left, first, F.asc("item")), big_right.where(F.col("h") >= best.bar), order, keep))
+
+    def meeting(least: int, up_to: Column | None = None) -> DataFrame:
+        """Pairs that share a large basket outside the ``least`` - 1 largest of either item, up to the pair ``up_to``."""
+        near = lambda side: side.where((F.col("h") >= least) & (F.col("place") >= least))
+        rows, other = a_side(near(big_left)), b_side(near(big_right))
+        if up_to is None:
+            return rows.join(other, order).where(keep(F.col("a"), F.col("b"))).select("a", "b")
+        rows = rows.where(F.col("a") <= up_to["a"]).join(other, order)
+        return rows.where(keep(F.col("a"), F.col("b")) & (F.struct("a", "b") <= up_to)).select("a", "b")
+
+    asked = meeting(1) if best.edge is None else meeting(best.bar + 1).unionByName(meeting(best.bar, best.edge))
+    asked = materialize(spark, asked.distinct(), "formed-pairs")
+    return best.merge(shared(asked).withColumnRenamed("extra", "orders")).rows.orderBy(*_ranking())
 
 
 def banded_pairs(

@@ -89,3 +89,32 @@ def test_nearest_k_keeps_the_closest_candidates(spark):
         me = (r.id, r.g, r.v)
         mine = sorted((abs(o.value - r.v), o.id) for o in r.options if o.id != r.id)[:4]
         assert mine == _nearest(data, me, 4, lambda x: x[3])
+
+
+def test_top_pairs_of_two_large_baskets_enumerates_neither(spark):
+    """Two equal baskets of 20,000 items hold 200 million pairs, all tied."""
+    items = spark.range(20_000).selectExpr("struct(cast(id as int) as id) as item")
+    df = items.withColumn("order_no", F.lit(1)).unionByName(items.withColumn("order_no", F.lit(2)))
+    got = top_pairs(df, df, "order_no", 5, lambda a, b: a["id"] < b["id"])
+    assert [(r.a.id, r.b.id, r.orders) for r in got.collect()] == [(0, i, 2) for i in range(1, 6)]
+
+
+@pytest.mark.parametrize("seed,heavy", [(0, 12), (1, 12), (2, 8), (3, 256)])
+def test_top_pairs_with_a_hot_item_and_few_seeds(spark, seed, heavy):
+    """One item in every basket, large baskets of different sizes, ties: the bounds lose no pair."""
+    rng = random.Random(seed)
+    baskets = {o: {0, *rng.sample(range(1, 60), rng.randint(1, 30))} for o in range(40)}
+    df = _frame(spark, baskets)
+    got = top_pairs(df, df, "order_no", 30, lambda a, b: a["id"] < b["id"], heavy=heavy, seeds=3)
+    assert [((r.a.id, r.b.id), r.orders) for r in got.collect()] == _brute(baskets, 30)
+
+
+def test_top_pairs_when_few_pairs_qualify(spark):
+    """Fewer than k pairs: every pair is found, also those of rare items in large baskets; rows without order or item do not count."""
+    baskets = {1: set(range(20)), 2: set(range(15, 25)), 3: {1, 24}}
+    df = _frame(spark, baskets).unionByName(spark.createDataFrame([(None, (1,)), (None, (2,)), (1, None)], "order_no int, item struct<id:int>"))
+    got = top_pairs(df, df, "order_no", 1000, lambda a, b: (a["id"] < b["id"]) & (b["id"] > 17), heavy=5, seeds=2)
+    want = [x for x in _brute(baskets, 10_000) if x[0][1] > 17]
+    assert [((r.a.id, r.b.id), r.orders) for r in got.collect()] == want
+    none = df.where("order_no > 99")
+    assert top_pairs(none, none, "order_no", 3, lambda a, b: a["id"] < b["id"]).count() == 0
