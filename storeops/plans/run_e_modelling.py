@@ -1,6 +1,7 @@
 """Dimensional modelling and loading."""
 
 import datetime
+import functools
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from storeops.operators import dims, facts, holidays, incremental, scd2
 from storeops.plans.oracle import define
 from storeops.plans.registry import query
 from storeops.session import materialize, work_path
-from storeops.sources import loads, raw_text, tables
+from storeops.sources import layout, loads, raw_text, tables
 
 define("easter_days", """
 SELECT y, make_date(y, h // 31, h % 31 + 1) AS easter FROM (
@@ -510,10 +511,56 @@ def _(m):
 @query("E22_bucketed_tables", """
 SELECT article, count(*) AS row_count, cast(sum(qty) AS bigint) AS qty FROM fact_sales JOIN dim_product USING (product_id) GROUP BY 1""")
 def _(m):
-    loads.save_bucketed(m.dim_product, "bucketed_product", work_path(m.spark, "bucketed-product"), 8, "product_id")
-    loads.save_bucketed(
-        m.fact_sales.select("product_id", "qty"), "bucketed_sales", work_path(m.spark, "bucketed-sales"), 8, "product_id"
+    by_product = layout.Layout(hash_by="product_id")
+    names = layout.save_alike(
+        {"bucketed_product": (m.dim_product, by_product), "bucketed_sales": (m.fact_sales.select("product_id", "qty"), by_product)},
+        work_path(m.spark, "bucketed"),
     )
-    sales, products = m.spark.table("bucketed_sales"), m.spark.table("bucketed_product")
+    sales, products = m.spark.table(names["bucketed_sales"]), m.spark.table(names["bucketed_product"])
     per = sales.groupBy("product_id").agg(count_big().alias("n"), F.sum("qty").alias("qty"))
     return per.join(products, "product_id").groupBy("article").agg(F.sum("n").alias("row_count"), F.sum("qty").alias("qty"))
+
+
+def article_tables(m):
+    """Products by article hash and sales by month and article hash, stored with like buckets."""
+    products = m.dim_product
+    sales = m.fact_sales.select("sale_date", "product_id", "qty", "net").join(products.select("product_id", "article"), "product_id")
+    return layout.save_alike(
+        {"dim_product": (products, layout.LAYOUTS["dim_product"]), "article_sales": (sales, layout.Layout("month", "sale_date", "article"))},
+        work_path(m.spark, "article"),
+    )
+
+
+@query("E22_article_buckets", """
+WITH p AS (SELECT article, count(*) AS products FROM dim_product GROUP BY 1),
+s AS (SELECT article, count(*) AS row_count, cast(sum(qty) AS bigint) AS qty FROM fact_sales JOIN dim_product USING (product_id) GROUP BY 1)
+SELECT article, products, coalesce(row_count, 0) AS row_count, coalesce(qty, 0) AS qty FROM p LEFT JOIN s USING (article)""")
+def _(m):
+    names = article_tables(m)
+    products = m.spark.table(names["dim_product"]).groupBy("article").agg(count_big().alias("products"))
+    sales = m.spark.table(names["article_sales"]).groupBy("article").agg(count_big().alias("row_count"), F.sum("qty").alias("qty"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return products.join(sales, "article", "left").select("article", "products", zero("row_count"), zero("qty"))
+
+
+@query("E22_period_layouts", """
+SELECT 'fact_sales' AS table_name, cast(year(sale_date) * 100 + month(sale_date) AS int) AS period, count(*) AS row_count FROM fact_sales GROUP BY 2
+UNION ALL SELECT 'fact_purchases', cast(year(order_date) * 10 + quarter(order_date) AS int), count(*) FROM fact_purchases GROUP BY 2
+UNION ALL SELECT 'fact_returns', cast(year(exchange_date) * 10 + quarter(exchange_date) AS int), count(*) FROM fact_returns GROUP BY 2
+UNION ALL SELECT 'dim_date', cast(year(day) AS int), count(*) FROM calendar GROUP BY 2""")
+def _(m):
+    folder, parts = work_path(m.spark, "periods"), []
+    for name, df in (("fact_sales", m.fact_sales), ("fact_purchases", m.fact_purchases), ("fact_returns", m.fact_returns), ("dim_date", dims.dim_date(m.date_span))):
+        cut = layout.LAYOUTS[name]
+        stored = m.spark.table(layout.save(df, name, folder, cut))
+        parts.append(stored.groupBy(F.lit(name).alias("table_name"), F.col(cut.folder).alias("period")).agg(count_big().alias("row_count")))
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
+
+
+@query("E22_pruned_quarter", """
+SELECT store_id, count(*) AS row_count, cast(sum(net) AS double) AS net FROM fact_sales
+WHERE sale_date BETWEEN date '1996-02-10' AND date '1996-05-20' GROUP BY 1""")
+def _(m):
+    cut = layout.LAYOUTS["fact_sales"]
+    stored = m.spark.table(layout.save(m.fact_sales, "fact_sales", work_path(m.spark, "monthly"), cut))
+    return layout.between(stored, cut, "1996-02-10", "1996-05-20").groupBy("store_id").agg(count_big().alias("row_count"), F.sum("net").cast("double").alias("net"))

@@ -1,5 +1,7 @@
 """Sources, typing and sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from storeops.functions import text as t
@@ -125,10 +127,9 @@ SELECT cast(year(sale_date) AS int) AS sale_year, count(*) AS row_count, cast(su
 def _(m):
     path = work_path(m.spark, "gold-sales")
     tables.write_table(m.fact_sales.withColumn("sale_year", F.year("sale_date")), path, ["sale_year"])
-    loads.register_views(m.spark, {"gold_fact_sales": path})
-    return m.spark.sql(
-        "SELECT sale_year, count(*) AS row_count, cast(sum(net) AS double) AS net FROM gold_fact_sales GROUP BY sale_year"
-    )
+    view = f"gold_fact_sales_{uuid.uuid4().hex}"  # two runs in one session keep their own
+    loads.register_views(m.spark, {view: path})
+    return m.spark.sql(f"SELECT sale_year, count(*) AS row_count, cast(sum(net) AS double) AS net FROM {view} GROUP BY sale_year")
 
 
 _COLS = {

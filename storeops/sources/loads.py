@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storeops.operators.quality import enforce
+from storeops.sources.layout import LAYOUTS, with_period
 from storeops.sources.tables import write_table
 
 
@@ -49,7 +50,7 @@ def load_tables(
 
 
 def store_gold(mart, folder: str, report: DataFrame | None = None) -> DataFrame:
-    """Stores all facts, the large ones partitioned by year; returns the audit.
+    """Stores all facts, cut into the periods of ``layout.LAYOUTS``; returns the audit.
 
     With a ``report`` of checks (``operators.rules``), it is stored first, in ``quality_report`` below the folder, and a
     failed BLOCK check raises ``QualityError`` before any fact is written.
@@ -61,9 +62,8 @@ def store_gold(mart, folder: str, report: DataFrame | None = None) -> DataFrame:
         report.write.mode("overwrite").parquet(path)
         enforce(mart.spark.read.parquet(path))
 
-    day = {"fact_sales": "sale_date", "fact_inventory": "move_date", "fact_store_inventory": "move_date", "fact_purchases": "order_date", "fact_returns": "exchange_date"}
-    steps = {name: getattr(mart, name).withColumn("year", F.year(day[name])) for name in GOLD_FACTS}
-    return load_tables(mart.spark, steps, lambda name: os.path.join(folder, name), {name: ["year"] for name in steps})
+    steps = {name: with_period(getattr(mart, name), LAYOUTS[name]) for name in GOLD_FACTS}
+    return load_tables(mart.spark, steps, lambda name: os.path.join(folder, name), {name: [LAYOUTS[name].folder] for name in steps})
 
 
 def register_views(spark: SparkSession, paths: dict[str, str]) -> None:
@@ -71,11 +71,6 @@ def register_views(spark: SparkSession, paths: dict[str, str]) -> None:
         spark.read.parquet(path).createOrReplaceTempView(name)
 
 
-def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str) -> None:
-    """Bucketed and sorted table, so joins and groupings on ``key`` need no shuffle."""
-    df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-
-
 def profile(name: str, df: DataFrame) -> DataFrame:
     """Columns of one table with row count and filled rows, in a single pass."""
     fields = df.schema.fields
