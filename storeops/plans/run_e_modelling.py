@@ -99,7 +99,7 @@ SELECT cast(mp.p_partkey AS varchar) AS article_code, cast(v.p_partkey % 3 AS va
 FROM part v JOIN part mp ON mp.p_partkey = v.p_partkey - v.p_partkey % 3""")
 def _(m):
     every = {**raw_text.ATTRS, **raw_text.VARIANT_ATTRS}
-    lookups = [dims.Lookup(raw_text.attribute_lookup(m, e, x), c, c[:-5]) for c, (e, x) in every.items()]
+    lookups = [dims.Lookup(table, c, c[:-5]) for c, table in raw_text.attribute_lookups(m, every).items()]
     return dims.build_products(raw_text.text_models(m), raw_text.text_variants(m), lookups)
 
 

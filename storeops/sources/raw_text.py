@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storeops.session import materialize
 from storeops.sources.mart import Mart
 
 
@@ -104,8 +105,17 @@ def text_variants(m: Mart) -> DataFrame:
     )
 
 
-def attribute_lookup(m: Mart, expr: str, missing: str | None) -> DataFrame:
-    rows = m.raw("part").select(F.expr(expr).alias("label")).distinct()
-    if missing is not None:
-        rows = rows.where(F.col("label") != missing)
-    return rows.select(F.substring(F.md5("label"), 1, 8).alias("code"), "label")
+def attribute_lookups(m: Mart, attributes: dict[str, tuple[str, str | None]]) -> dict[str, DataFrame]:
+    """(code, label) of every attribute (expression, label that the lookup lacks).
+
+    The source is read once: all distinct labels are found in one grouping and stored with a folder per attribute, so each
+    lookup reads its own rows only and its size is known before the join.
+    """
+    labels = [F.struct(F.lit(name).alias("attribute"), F.expr(expr).cast("string").alias("label")) for name, (expr, _) in attributes.items()]
+    rows = m.raw("part").select(F.inline(F.array(*labels))).distinct()
+    for name, (_, missing) in attributes.items():
+        if missing is not None:
+            rows = rows.where((F.col("attribute") != name) | (F.col("label") != missing))
+    rows = rows.select("attribute", F.substring(F.md5("label"), 1, 8).alias("code"), "label")
+    stored = materialize(m.spark, rows, "attribute-labels", ["attribute"])
+    return {name: stored.where(F.col("attribute") == name).select("code", "label") for name in attributes}
