@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20  # bytes of text handled at once; a longer document is a chunk of its own
 _BASE = 0x9E3779B97F4A7C15
@@ -60,10 +61,10 @@ def chunks(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, list[bytes]]]:
-    """(first, end, texts as bytes) over a batch; null is empty."""
-    texts = [(x or "").encode() for x in batch.column(column).to_pylist()]
-    for a, b in chunks(map(len, texts)):
-        yield a, b, texts[a:b]
+    """(first, end, texts as bytes) over a batch; null is empty.  Only one chunk's texts leave the batch at a time."""
+    texts = batch.column(column).cast(pa.binary())
+    for a, b in chunks(pc.binary_length(texts).fill_null(0).to_pylist()):
+        yield a, b, [x or b"" for x in texts.slice(a, b - a).to_pylist()]
 
 
 class Words:

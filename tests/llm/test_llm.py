@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -560,3 +562,17 @@ def test_pipeline(spark, data_dir):
     want = brute_removal(pairs(cut_in), WORD.findall, 13, lambda x: " ".join(x).encode())
     assert all(hashlib.sha256(" ".join(WORD.findall(t)).encode()).hexdigest() == want[i][3] for i, t in pairs(cut_out))
     assert {r.doc_id for r in seen[4][1].select("doc_id").collect()} == {r.doc_id for r in seen[3][1].select("doc_id").collect()}
+
+
+def test_texts_leave_a_batch_chunk_by_chunk():
+    """A batch of 24 chunks never has all its texts beside it; nulls are empty, and sizes are counted in bytes."""
+    texts = ["é" * (rolling.CHUNK // 8)] * 96 + [None, "", "a\x00b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    tracemalloc.start()
+    got, at = 0, 0
+    for first, end, part in rolling.text_chunks(batch):
+        assert first == at and part == [(x or "").encode() for x in texts[first:end]] and (end - first == 1 or sum(map(len, part)) <= rolling.CHUNK)
+        got, at = got + len(part), end
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == at == len(texts) and peak < 6 * rolling.CHUNK
