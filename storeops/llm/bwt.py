@@ -25,7 +25,7 @@ def suffixes(text: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling from eight symbols on; ends of texts (0) stop a comparison, equal suffixes keep their order."""
     n = len(text)
     end = np.append(np.flatnonzero(text == 0), n)
-    left = end[np.searchsorted(end, np.arange(n))] - np.arange(n)  # symbols before the text's end
+    left = np.repeat(end, np.diff(end, prepend=-1))[:n] - np.arange(n)  # symbols before the text's end
     key, open_ = np.zeros(n, np.uint64), np.ones(n, bool)
     for i in range(min(8, n)):  # eight symbols in one number, zeros from the end on
         open_ &= left > i
@@ -93,7 +93,7 @@ def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     for part in np.split(np.arange(len(bodies)), bounds):
         if len(part):
             # UTF-8 has no byte 0xFF, so bytes shifted by one leave 0 for the ends
-            text = np.concatenate([np.append(np.frombuffer(bodies[i], np.uint8) + np.uint8(1), np.uint8(0)) for i in part])
+            text = np.frombuffer(b"".join([x for i in part for x in (bodies[i], b"\xff")]), np.uint8) + np.uint8(1)
             order, bwt, lf = transform(text)
             places.append(order + base)
             bwts.append(bwt)
@@ -103,10 +103,9 @@ def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     block = np.cumsum(common < LENGTH) - 1  # a repeated interval goes on while neighbours share the whole length
     start = np.cumsum(np.append(0, sizes + 1))
     at = np.concatenate(places)[order]
-    body = np.searchsorted(start, at, "right") - 1
-    real = at + LENGTH <= start[body] + sizes[body]
-    least = np.full(int(block.max()) + 1, 1 << 62, np.int64)
-    np.minimum.at(least, block[real], docs[body[real]])
+    real = at + LENGTH <= np.repeat(start[1:] - 1, sizes + 1)[at]
+    least = np.full(int(block[-1]) + 1, 1 << 62, np.int64)
+    np.minimum.at(least, block[real], np.repeat(docs, sizes + 1)[at[real]])
     out = np.empty(int(start[-1]), np.int64)
     out[at] = least[block]
     return [out[a : a + max(n - LENGTH + 1, 0)] for a, n in zip(start, sizes)]

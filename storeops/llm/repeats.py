@@ -23,12 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeops.functions.ranks import ranked
 from storeops.llm.common import store, store_small, whole
-from storeops.llm.rolling import Prefix, Words, chunks, mix, runs
+from storeops.llm.rolling import Prefix, Words, mix, runs, text_chunks
 
 BUCKET_BYTES = 8 << 20  # text per anchor bucket
 SHARD_UNITS = 1 << 16  # units compared at once, where anchors are less crowded
@@ -52,8 +53,7 @@ def word_units(texts: list[bytes], k: int):
 def byte_units(texts: list[bytes], k: int):
     buf = np.frombuffer(b"".join(texts), np.uint8)
     first = np.cumsum([0] + [len(t) for t in texts])
-    at = np.arange(max(len(buf) - k + 1, 0))
-    return buf, first, Prefix(buf).of(at, at + k)
+    return buf, first, Prefix(buf).every(k)
 
 
 WORDS = Unit(13, 5, word_units)
@@ -67,12 +67,11 @@ def segments(unit: Unit, first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarr
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none.view(np.uint64), none, none, none
-    least, at, span = grams, np.arange(len(grams)), 1
+    least, at, span = grams, np.arange(len(grams), dtype=np.int32 if len(grams) < 1 << 31 else np.int64), 1
 
     def better(a: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         left, right = slice(0, size), slice(a, a + size)
-        later = least[right] < least[left]
-        return np.where(later, least[right], least[left]), np.where(later, at[right], at[left])
+        return np.minimum(least[left], least[right]), np.where(least[right] < least[left], at[right], at[left])
 
     while 2 * span <= w:
         least, at = better(span, len(least) - span)
@@ -81,7 +80,7 @@ def segments(unit: Unit, first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarr
         least, at = better(w - span, n)
     size = np.diff(first)
     text = np.repeat(np.arange(len(size)), size)[:n]
-    valid = np.arange(n) + unit.width <= first[text + 1]
+    valid = np.arange(n) + unit.width <= np.repeat(first[1:], size)[:n]
     starts = np.ones(n, bool)
     starts[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | ~valid[:-1]
     starts &= valid
@@ -93,12 +92,6 @@ def segments(unit: Unit, first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarr
     return mix(least[begin] + np.uint64(77)), text[begin], begin, count
 
 
-def text_lists(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
-    texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
-    for a, b in chunks(map(len, texts)):
-        yield a, b, texts[a:b]
-
-
 def anchor_keys(h: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each anchor, then 32 more bits of it; buckets hold equal amounts of text, so chance hits stay as rare at any size."""
     n = np.uint64(buckets)
@@ -124,7 +117,7 @@ def several(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
 def batch_anchors(batch: pa.RecordBatch, unit: Unit, buckets: int) -> tuple[np.ndarray, ...]:
     """key, doc, known, first: each anchor of a batch once per document; ``known`` if several documents of the batch have it."""
     parts, ids = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], batch.column("doc_id").to_numpy()
-    for a, b, texts in text_lists(batch):
+    for a, b, texts in text_chunks(batch):
         _, first, grams = unit.of(texts, unit.k)
         h, text, _, _ = segments(unit, first, grams)
         parts.append((anchor_keys(h, buckets), ids[a:b][text]))
@@ -216,7 +209,7 @@ def cut_segments(texts: DataFrame, wanted: DataFrame, unit: Unit, buckets: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists, found = batch.column("doc_id").to_numpy(), batch.column("hs"), []
-            for a, b, part in text_lists(batch):
+            for a, b, part in text_chunks(batch):
                 units, first, grams = unit.of(part, unit.k)
                 h, text, begin, count = segments(unit, first, grams)
                 h = anchor_keys(h, buckets)
@@ -272,43 +265,63 @@ def low_runs(mins: Sequence[np.ndarray]) -> pa.Array:
 def matched(cut: DataFrame, match: Match, unit: Unit, unit_bytes: int) -> DataFrame:
     """(h, c, runs): for each distinct segment that may cover words or bytes to remove, its runs of windows (at, n) with one smallest doc_id (low); anchors are dealt in shards."""
 
+    def compared(part: pa.Table) -> pa.RecordBatch:
+        """The runs of whole anchors (h, doc, body, many), ordered."""
+        body = part["body"].combine_chunks()
+        size = pc.binary_length(body).to_numpy().astype(np.int64)
+        end = np.cumsum(size)
+        c = Prefix(np.frombuffer(b"".join(body.to_pylist()), np.uint8)).of(end - size, end).view(np.int64)  # as cut_segments and cut_windows have it
+        order = np.lexsort((c, part["h"].to_numpy()))  # of equal segments, the smallest document stays first
+        h, doc, many = (part[x].to_numpy()[order] for x in ("h", "doc", "many"))
+        c, n = c[order], size[order] // unit_bytes - unit.width + 1
+        lead = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
+        # the same segment from another batch tells that several documents have it
+        many = np.logical_or.reduceat(many, lead) | (np.diff(np.append(lead, len(h))) > 1)
+        h, c, doc, n = h[lead], c[lead], doc[lead], n[lead]
+        edge = np.concatenate([[True], h[1:] != h[:-1], [True]])
+        # a segment alone at its anchor meets no other text: the first document that has it has all its windows
+        alone = edge[1:] & edge[:-1]
+        sure = np.flatnonzero(alone & many)
+        whole_runs = pa.StructArray.from_arrays([pa.array(np.zeros(len(sure), np.int32)), pa.array(n[sure].astype(np.int32)), pa.array(doc[sure])], ["at", "n", "low"])
+        places, lists = [sure], [pa.ListArray.from_arrays(pa.array(np.arange(len(sure) + 1, dtype=np.int32)), whole_runs)]
+        rest = np.flatnonzero(~alone)
+        if len(rest):
+            bodies = body.take(pa.array(order[lead[rest]])).to_pylist()
+            held = np.cumsum(n[rest] + unit.width - 1)
+            first = np.flatnonzero(edge[:-1][rest])  # a shard ends where an anchor ends
+            cuts = [0, *np.unique(first[np.minimum(np.searchsorted(held[first], np.arange(SHARD_UNITS, held[-1], SHARD_UNITS)), len(first) - 1)]).tolist(), len(rest)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                mins = match(bodies[a:b], doc[rest[a:b]])
+                # else its only document is the first to have each of its windows
+                told = [i for i, x in enumerate(mins) if many[rest[a + i]] or (x < doc[rest[a + i]]).any()]
+                if told:
+                    places.append(rest[a:b][told])
+                    lists.append(low_runs([mins[i] for i in told]))
+        at = np.concatenate(places)
+        return pa.RecordBatch.from_arrays([pa.array(h[at]), pa.array(c[at]), pa.concat_arrays(lists)], ["h", "c", "runs"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, int, int, bytes, bool]] = []
-
-        def flush(upto: int) -> Iterator[pa.RecordBatch]:
-            part, rows[:] = rows[:upto], rows[upto:]
-            anchor = [r[0] for r in part]
-            # a segment alone at its anchor meets no other text: the first document that has it has all its windows
-            alone = [not (i and anchor[i - 1] == x) and not (i + 1 < len(part) and anchor[i + 1] == x) for i, x in enumerate(anchor)]
-            rest = [r for r, x in zip(part, alone) if not x]
-            compared = iter(match([r[3] for r in rest], np.array([r[2] for r in rest], np.int64)) if rest else [])
-            found = []
-            for r, x in zip(part, alone):
-                mins = np.full(len(r[3]) // unit_bytes - unit.width + 1, r[2]) if x else next(compared)
-                if r[4] or (mins < r[2]).any():  # else its only document is the first to have each of its windows
-                    found.append((r[0], r[1], mins))
-            if found:
-                h, c, mins = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.int64()), low_runs(mins)], ["h", "c", "runs"])
-
-        held, last = 0, 0  # units held, and where the last anchor begins
+        held: list[pa.RecordBatch] = []  # what may go on in the next batch
         for batch in batches:
-            for r in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "doc", "body", "many")]):
-                if rows and rows[-1][:2] == r[:2]:
-                    rows[-1] = (*rows[-1][:4], True)  # the same segment from another batch
-                    continue
-                if rows and rows[-1][0] != r[0]:
-                    last = len(rows)
-                    if held >= SHARD_UNITS:
-                        yield from flush(last)
-                        held, last = 0, 0
-                rows.append(r)
-                held += len(r[3]) // unit_bytes
-        if rows:
-            yield from flush(len(rows))
+            if not batch.num_rows:
+                continue
+            h = batch.column("h").to_numpy()
+            last = int(np.searchsorted(h, h[-1]))  # where the last anchor begins
+            if held and (last or held[-1].column("h")[0].as_py() != h[0]):
+                held.append(batch.slice(0, last))
+                yield compared(pa.Table.from_batches(held))
+                held = []
+            elif last:
+                yield compared(pa.Table.from_batches([batch.slice(0, last)]))
+            held.append(batch.slice(last))
+        if held:
+            yield compared(pa.Table.from_batches(held))
 
-    bodies = cut.where("body is not null").select("h", "c", "doc", "body", "many")
-    return bodies.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(run, "h long, c long, runs array<struct<at:int,n:int,low:bigint>>")
+    # c follows from the body and is not moved
+    bodies = cut.where("body is not null").select("h", "doc", "body", "many")
+    return bodies.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(run, "h long, c long, runs array<struct<at:int,n:int,low:bigint>>")
 
 
 def crowded_anchors(cut: DataFrame, unit: Unit, unit_bytes: int) -> DataFrame:
@@ -414,11 +427,11 @@ def removals(docs: DataFrame, unit: Unit, match: Match, extra: tuple[str, ...] =
     runs_at = matched_everywhere(cut, match, unit)
     # runs of windows that start in an earlier document, each as one number: place of the first, then length in ten bits
     code = lambda x: F.shiftleft(F.col("start") + x["at"], RUN_BITS) + x["n"]
-    places = cut.select("h", "c", "doc", "start").withColumn("first", F.col("doc"))
+    places, own = cut.select("h", "c", "doc", "start"), F.col("doc")
     if numbers is not None:
-        places = places.drop("first").join(numbers.select("doc", "first"), "doc")
+        places, own = places.join(numbers.select("doc", "first"), "doc"), F.col("first")
     hit = places.join(runs_at, ["h", "c"]).select(
-        "doc", F.transform(F.filter("runs", lambda x: x["low"] < F.col("first")), code).alias("at")
+        "doc", F.transform(F.filter("runs", lambda x: x["low"] < own), code).alias("at")
     ).where(F.size("at") > 0)
     flat = hit.groupBy("doc").agg(F.flatten(F.collect_list("at")).alias("at"))
     state = flat.join(copies.select(F.col("doc_id").alias("doc"), F.lit(True).alias("copy")), "doc", "full")

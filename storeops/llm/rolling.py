@@ -47,6 +47,11 @@ class Prefix:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def every(self, k: int) -> np.ndarray:
+        """Hashes of the ranges of k bytes from each place on."""
+        n = max(len(self.sums) - k, 0)
+        return mix((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
+
 
 def chunks(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive documents of about ``CHUNK`` bytes."""
