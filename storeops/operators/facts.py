@@ -30,11 +30,13 @@ def dedupe_inventory(rows: DataFrame, keys: list[str], sums: list[str], lasts: l
 def build_purchases(headers: DataFrame, model_lines: DataFrame, sku_lines: DataFrame) -> DataFrame:
     """Order header ⋈ article line ⋈ SKU line.
 
-    The two line tables meet on (order, article), which spreads a large order
-    over tasks; the header joins last, deduplicated.
+    The header joins the article lines, deduplicated; they are narrow and one per order and article from there on.  The two
+    line tables meet on (order, article), which spreads a large order over tasks, so the wide SKU lines move once.
     """
-    lines = sku_lines.join(model_lines.distinct(), ["order_no", "article_code"])
-    return attach_header(lines, headers, ["order_no"])
+    on = ["order_no", "article_code"]
+    known = attach_header(model_lines.select(*on), headers, ["order_no"])
+    given = [F.first(c).alias(c) for c in headers.columns if c != "order_no"]  # one header per order: all rows of a group agree
+    return sku_lines.join(known.groupBy(*on).agg(*given) if given else known.distinct(), on)
 
 
 def prorate(lines: DataFrame, headers: DataFrame, order: str, item: str, weight: str, amounts: list[str]) -> DataFrame:
