@@ -102,7 +102,13 @@ def compile_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     conditions = {t: [r for r in rules if r.table == t and r.kind in CONDITIONS] for t in order}
     width = max([1, *[len(c) for c in conditions.values()]])
     slot_of = {r.name: i for i, r in enumerate(rules) if r.kind in KEYS}
-    table_slot = {t: len(rules) + i for i, t in enumerate(order)}
+    # a row gives as few entries as it can: a trend counts the entries of a reference of the same key, and the conditions of a
+    # table ride on the entries of its first key, of which every row gives one
+    for r in rules:
+        if r.kind == "trend":
+            alike = [x.name for x in rules if x.kind.endswith("reference") and (x.table, x.subject) == (r.table, r.subject)]
+            slot_of[r.name] = slot_of[alike[0]] if alike else slot_of[r.name]
+    table_slot = {t: next((slot_of[r.name] for r in rules if r.table == t and r.kind in KEYS), len(rules) + i) for i, t in enumerate(order)}
 
     def entry(slot: int, value: Column, n: int, known: bool, hits: list[Column]) -> Column:
         filled = [F.when(h, 1).otherwise(0).cast("long") for h in hits] + [F.lit(0).cast("long")] * (width - len(hits))
@@ -113,12 +119,12 @@ def compile_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
 
     parts = []
     for t in order:
-        entries = []
-        if conditions[t]:
-            entries.append(entry(table_slot[t], F.lit(None).cast("string"), 1, False, [F.expr(r.subject) for r in conditions[t]]))
+        hits = [F.expr(r.subject) for r in conditions[t]]
+        own = {slot_of[r.name]: _key(r.subject, r.kind != "unique") for r in rules if r.table == t and r.kind in KEYS}
+        if hits:
+            own = own or {table_slot[t]: F.lit(None).cast("string")}
+        entries = [entry(slot, value, 1, False, hits if slot == table_slot[t] else []) for slot, value in own.items()]
         for r in rules:
-            if r.table == t and r.kind in KEYS:
-                entries.append(entry(slot_of[r.name], _key(r.subject, r.kind != "unique"), 1, False, []))
             if r.kind.endswith("reference") and r.target.partition(".")[0] == t:
                 entries.append(entry(slot_of[r.name], _key(r.target.partition(".")[2], True), 0, True, []))
         if entries:
@@ -129,7 +135,7 @@ def compile_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
          conditions[r.table].index(r) if r.kind in CONDITIONS else 0, _absent(r, tables[r.table]) if r.kind == "columns" else 0)
         for i, r in enumerate(rules)
     ], ["_i", "check_name", "severity", "kind", "table_name", "threshold", "slot", "_hit", "_absent"])
-    found = _by_slot(union_all(parts), [slot_of[r.name] for r in rules if r.kind == "trend"], width) if parts else None
+    found = _by_slot(union_all(parts), sorted({slot_of[r.name] for r in rules if r.kind == "trend"}), width) if parts else None
     return _judged(catalogue, found, width)
 
 
@@ -139,7 +145,7 @@ def _by_slot(entries: DataFrame, trends: list[int], width: int) -> DataFrame:
     used = F.col("n") > 0
     null = F.col("value").isNull()
     count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-    loads = F.collect_list(F.when(F.col("slot").isin(trends) & ~null, F.struct("value", "n"))) if trends else F.array().cast("array<struct<value:string,n:bigint>>")
+    loads = F.collect_list(F.when(F.col("slot").isin(trends) & ~null & used, F.struct("value", "n"))) if trends else F.array().cast("array<struct<value:string,n:bigint>>")
     return usage.groupBy("slot").agg(
         F.sum("n").alias("row_count"), F.count_if(used & (F.col("n") > 1)).alias("repeated"),
         count(null).alias("nulls"), count(~null & ~F.col("known")).alias("unknown"),
