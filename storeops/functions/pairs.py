@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +20,9 @@ from storeops.session import materialize
 HEAVY_BASKET = 256   # items; larger baskets are counted by membership
 PLAIN_PAIRS = 16     # pairs formed per row up to which bounds would cost more than they save
 SEED_ITEMS = 64      # most frequent items whose pairs give the first lower bound
-SALT_ROWS = 1024     # rows of one value band handled by one task
+SALT_ROWS = 1024     # rows of one block of a value band; a block meets another in one task
+PAIRS_PER_TASK = 2_000_000  # pairs formed by one task, about
+MOST_TASKS = 10_000
 
 
 def _ranking() -> list[Column]:
@@ -160,6 +163,17 @@ def top_pairs(
     return best.merge(shared(asked).withColumnRenamed("extra", "orders")).rows.orderBy(*_ranking())
 
 
+def dealt_join(left: DataFrame, right: DataFrame, on: list[str], pairs: float) -> DataFrame:
+    """Inner join of about ``pairs`` rows, dealt by ``on`` to as many tasks as they need.
+
+    Sized by what comes out: the sides are small next to it, and AQE would merge them into a few tasks.
+    """
+    tasks = min(MOST_TASKS, math.ceil(pairs / PAIRS_PER_TASK))
+    if tasks > 1:
+        left, right = left.repartition(tasks, *on), right.repartition(tasks, *on)
+    return left.join(right, on)
+
+
 def banded_pairs(
     df: DataFrame, keys: list[str], ident: str, value: Column, width: Column, carry: list[str],
     salt_rows: int = SALT_ROWS,
@@ -168,24 +182,30 @@ def banded_pairs(
     most about ``width`` (a positive column, constant per group).
 
     Values fall into bands as wide as the tolerance, so a member meets its own
-    and the two neighbouring bands only, and a crowded band is split by salt.
+    and the two neighbouring bands only.  A band is cut into blocks of about
+    ``salt_rows`` members; each block meets each block of these bands on its
+    own, so a crowded band is bounded in memory and spread over tasks.
     The caller applies the exact condition; the result holds ``x_`` and ``y_``
     columns for both sides.
     """
     band = F.floor(value / width)
     rows = df.where(value.isNotNull() & (width > 0)).withColumn("_band", band)
-    sizes = rows.groupBy(*keys, "_band").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(salt_rows))).cast("int").alias("_salts"))
-    columns = [ident, *carry]
-    left = rows.join(sizes, [*keys, "_band"]).select(
-        *keys, "_band", F.pmod(F.xxhash64(ident), F.col("_salts")).cast("int").alias("_salt"),
-        *[F.col(c).alias(f"x_{c}") for c in columns],
-    )
-    spread = rows.select(
-        *keys, F.explode(F.array(F.col("_band") - 1, F.col("_band"), F.col("_band") + 1)).alias("_band"),
-        *[F.col(c).alias(f"y_{c}") for c in columns],
-    ).join(sizes, [*keys, "_band"])
-    right = spread.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return left.join(right, [*keys, "_band", "_salt"]).where(F.col(f"x_{ident}") != F.col(f"y_{ident}")).drop("_band", "_salt")
+    count = F.count(F.lit(1))
+    sizes = rows.groupBy(*keys, "_band").agg(count.alias("_n"), F.ceil(count / F.lit(float(salt_rows))).cast("int").alias("_blocks"))
+    sizes = materialize(df.sparkSession, sizes, "band-sizes")
+    pairs = 3 * (sizes.select(F.sum(F.col("_n").cast("double") * F.col("_n"))).head()[0] or 0)  # at most
+
+    def side(s: str, other: str) -> DataFrame:
+        own = rows.join(sizes.drop("_n"), [*keys, "_band"]).select(
+            *keys, F.col("_band").alias(f"_band_{s}"), F.pmod(F.xxhash64(ident), F.col("_blocks")).cast("int").alias(f"_block_{s}"),
+            F.explode(F.array(F.col("_band") - 1, F.col("_band"), F.col("_band") + 1)).alias(f"_band_{other}"),
+            *[F.col(c).alias(f"{s}_{c}") for c in (ident, *carry)],
+        )
+        met = own.join(sizes.select(*keys, F.col("_band").alias(f"_band_{other}"), "_blocks"), [*keys, f"_band_{other}"])
+        return met.withColumn(f"_block_{other}", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+
+    at = ["_band_x", "_block_x", "_band_y", "_block_y"]
+    return dealt_join(side("x", "y"), side("y", "x"), [*keys, *at], pairs).where(F.col(f"x_{ident}") != F.col(f"y_{ident}")).drop(*at)
 
 
 def levels(df: DataFrame, keys: list[str], value: str, ident: str, ids: int) -> DataFrame:
