@@ -37,6 +37,12 @@ def test_M13_lists_pairs_of_products(spark):
     assert set(_listed(spark, "M13_substitute_pairs", _rows())) == _brute(_rows())[0]
 
 
+def test_M14_lists_pairs_of_products(spark):
+    rows = _rows() + TWICE
+    tenths = lambda x, y, n, total: (2000 * abs(x - y) * n + total) // (2 * total)
+    assert _listed(spark, "M14_substitute_degrees", rows) == _within(rows, lambda *at: tenths(*at) <= 350)
+
+
 def test_widest_pairs_are_not_lost_at_band_edges(spark):
     """Costs that differ by exactly a fifth of the mean, at any place of the bands."""
     rows = [(i, f"t{i // 40}", "L", 1, "ACTIVE", 1 + (i % 40) * (i // 40 + 1)) for i in range(1200)]
