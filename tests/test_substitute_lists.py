@@ -43,6 +43,12 @@ def test_M14_lists_pairs_of_products(spark):
     assert _listed(spark, "M14_substitute_degrees", rows) == _within(rows, lambda *at: tenths(*at) <= 350)
 
 
+def test_M15_lists_pairs_of_products(spark):
+    rows = _rows() + TWICE + [(7000 + i, "dear", "L", i, "ACTIVE", 550 + 70 * i) for i in range(30)]
+    pct = lambda x: 25 if x < 600 else 20 if x <= 1500 else 15
+    assert _listed(spark, "M15_price_band_substitutes", rows) == _within(rows, lambda x, y, n, total: 100 * n * abs(x - y) <= pct(x) * total)
+
+
 def test_widest_pairs_are_not_lost_at_band_edges(spark):
     """Costs that differ by exactly a fifth of the mean, at any place of the bands."""
     rows = [(i, f"t{i // 40}", "L", 1, "ACTIVE", 1 + (i % 40) * (i // 40 + 1)) for i in range(1200)]
