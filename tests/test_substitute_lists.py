@@ -49,6 +49,12 @@ def test_M15_lists_pairs_of_products(spark):
     assert _listed(spark, "M15_price_band_substitutes", rows) == _within(rows, lambda x, y, n, total: 100 * n * abs(x - y) <= pct(x) * total)
 
 
+def test_M19_lists_pairs_of_products(spark):
+    rows = _rows() + TWICE
+    got = _listed(spark, "M19_dearer_substitutes", rows)
+    assert got == _within(rows, lambda x, y, n, total: 5 * n * abs(x - y) <= total and 100 * y > 110 * x) and got
+
+
 def test_widest_pairs_are_not_lost_at_band_edges(spark):
     """Costs that differ by exactly a fifth of the mean, at any place of the bands."""
     rows = [(i, f"t{i // 40}", "L", 1, "ACTIVE", 1 + (i % 40) * (i // 40 + 1)) for i in range(1200)]
