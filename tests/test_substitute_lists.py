@@ -2,8 +2,10 @@
 
 import random
 from collections import Counter
+from datetime import date
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from storeops.functions import pairs
@@ -55,18 +57,34 @@ def test_M19_lists_pairs_of_products(spark):
     assert got == _within(rows, lambda x, y, n, total: 5 * n * abs(x - y) <= total and 100 * y > 110 * x) and got
 
 
+def test_stock_outs_list_their_substitutes(spark):
+    rows = _rows() + TWICE
+    out = [1, 2, 1003, 5000, 5001, 5002, 9999]
+    stock = [(p, date(2001, 1, 1), 0, 0 if p in out else 5) for p in {r[0] for r in rows if r[0]} | set(out)]
+    mart = SimpleNamespace(
+        spark=spark, dim_product=_products(spark, rows),
+        fact_inventory=spark.createDataFrame(stock, "product_id long, move_date date, qty_sold long, stock long"))
+    got = sorted((r.product_id, r.substitute_id) for r in CATALOGUE["M13_substitutes_of_stock_outs"].build(mart).collect())
+    assert got == [p for p in _within(rows, lambda x, y, n, total: 5 * n * abs(x - y) <= total) if p[0] in out]
+
+
 def test_widest_pairs_are_not_lost_at_band_edges(spark):
     """Costs that differ by exactly a fifth of the mean, at any place of the bands."""
     rows = [(i, f"t{i // 40}", "L", 1, "ACTIVE", 1 + (i % 40) * (i // 40 + 1)) for i in range(1200)]
     assert _listed(spark, "M13_substitute_pairs", rows) == _within(rows, lambda x, y, n, total: 5 * n * abs(x - y) <= total)
 
 
-def test_pairs_of_one_price_are_dealt_to_many_tasks(spark, monkeypatch):
+@pytest.mark.parametrize("asked_only", [False, True])
+def test_pairs_of_one_price_are_dealt_to_many_tasks(spark, monkeypatch, asked_only):
     rng = random.Random(3)
     rows = [(i, "hot", "L", 1, "ACTIVE", 500 if i % 4 else rng.randint(480, 520)) for i in range(400)]
     monkeypatch.setattr(pairs, "PAIRS_PER_TASK", 5000)
+    monkeypatch.setattr(mk, "SALT_ROWS", 30)
     products = _products(spark, rows)
-    costs = mk.segment_costs(products)
-    found = pairs.banded_pairs(costs, mk.SEGMENT, "product_id", F.col("cost"), F.lit(100.0), ["cost"], salt_rows=30)
+    if asked_only:
+        found = mk.substitutes_of(spark.range(400).withColumnRenamed("id", "product_id"), products, mk.substitute_levels(products))
+    else:
+        costs = mk.segment_costs(products)
+        found = pairs.banded_pairs(costs, mk.SEGMENT, "product_id", F.col("cost"), F.lit(100.0), ["cost"], salt_rows=30)
     per_task = Counter(r.t for r in found.select(F.spark_partition_id().alias("t")).collect())
     assert sum(per_task.values()) == 400 * 399 and max(per_task.values()) < 400 * 399 / 5
