@@ -31,24 +31,22 @@ def open_order_days(purchases: DataFrame, first_day: str, last_day: str) -> Data
     )
 
 
+PLACE = ["first", "coverage_days", "order_no", "line_no", "product_id", "supplier_id", "quantity"]  # order of a list
+
+
 def _entries(alert_rows: DataFrame, purchases: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Alerts and open orders under one schema: day, section, order key, content."""
-    exact = lambda c: c.cast("decimal(24,4)")
+    """Alerts and open orders under one schema: day, section, the columns of PLACE, label (urgency or state).
+
+    ``first`` is the rank of the urgency, most urgent first, or the days that remain.  Each value stands there once, as these rows are sorted.
+    """
+    numbers = lambda *names: [big(F.col(n)).alias(n) for n in names]
     alerts = alert_rows.where(F.col("alert_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))).select(
-        F.col("alert_date").alias("day"), F.lit(ALERT).alias("section"),
-        F.array(exact(-urgency_rank()), exact(F.col("coverage_days")), exact(F.col("product_id"))).alias("at"),
-        F.struct(
-            big(F.col("product_id")).alias("product_id"), big(F.col("supplier_id")).alias("supplier_id"), big(F.col("quantity")).alias("quantity"),
-            "urgency", F.col("coverage_days").cast("double").alias("coverage_days"), coverage_label().alias("coverage_label"),
-        ).alias("alert"),
+        F.col("alert_date").alias("day"), F.lit(ALERT).alias("section"), (-urgency_rank()).alias("first"),
+        F.col("coverage_days").cast("double").alias("coverage_days"), *numbers("product_id", "supplier_id", "quantity"), F.col("urgency").alias("label"),
     )
-    keys = ["days_remaining", "order_no", "line_no", "product_id", "supplier_id", "qty"]
     orders = open_order_days(purchases, first_day, last_day).select(
-        "day", F.lit(ORDER).alias("section"), F.array(*[exact(F.col(k)) for k in keys]).alias("at"),
-        F.struct(
-            big(F.col("order_no")).alias("order_no"), big(F.col("line_no")).alias("line_no"), big(F.col("product_id")).alias("product_id"),
-            big(F.col("supplier_id")).alias("supplier_id"), big(F.col("qty")).alias("quantity"), "state", "days_remaining",
-        ).alias("order"),
+        "day", F.lit(ORDER).alias("section"), F.col("days_remaining").alias("first"), *numbers("order_no", "line_no", "product_id", "supplier_id"),
+        big(F.col("qty")).alias("quantity"), F.col("state").alias("label"),
     )
     return alerts.unionByName(orders, allowMissingColumns=True)
 
@@ -60,25 +58,27 @@ def day_documents(
 
     Each list is numbered over the whole day and cut into pages, so a document holds at most ``page_size`` entries of a list
     however many a day has, and no task gathers a day.  Totals and slow movers (the longest without a sale) stand on page 0,
-    which every day of ``log`` has.
+    which every day of ``log`` has.  Totals, slow movers and entries are stored one after the other, so that what is shuffled
+    for one is gone before the next; the entries move twice more, to be numbered and to come to their page.
     """
-    entries = materialize(alert_rows.sparkSession, _entries(alert_rows, purchases, first_day, last_day), "day-entries")
-    numbered = ranked(entries, ["day", "section"], [F.col("at")], "position")
-    paged = numbered.withColumn("page", F.floor((F.col("position") - 1) / page_size).cast("int"))
-    listed = lambda section, field: F.sort_array(F.collect_list(F.when(F.col("section") == section, F.struct(big(F.col("position")).alias("position"), f"{field}.*"))))
-    pages = paged.groupBy("day", "page").agg(listed(ALERT, "alert").alias("alerts"), listed(ORDER, "order").alias("open_orders"))
+    spark = alert_rows.sparkSession
     days = log.where(F.col("day").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
-    totals = days.select("day", F.struct(*[c for c in days.columns if c != "day"]).alias("_totals"))
-    shown = top(slow, SLOW_SHOWN, F.desc("days_without_sale"), F.asc("product_id"))
+    totals = materialize(spark, days.select("day", F.struct(*[c for c in days.columns if c != "day"]).alias("totals")), "day-totals")
+    shown = materialize(spark, top(slow, SLOW_SHOWN, F.desc("days_without_sale"), F.asc("product_id")), "slow-shown")
+    entries = materialize(spark, _entries(alert_rows, purchases, first_day, last_day), "day-entries")
+    numbered = ranked(entries, ["day", "section"], [F.col(c) for c in PLACE], "position")
+    paged = numbered.withColumn("page", F.floor((F.col("position") - 1) / page_size).cast("int"))
+    alert = ["product_id", "supplier_id", "quantity", F.col("label").alias("urgency"), "coverage_days", coverage_label().alias("coverage_label")]
+    order = ["order_no", "line_no", "product_id", "supplier_id", "quantity", F.col("label").alias("state"), F.col("first").alias("days_remaining")]
+    listed = lambda section, fields: F.sort_array(F.collect_list(F.when(F.col("section") == section, F.struct(big(F.col("position")).alias("position"), *fields))))
+    # the totals take part as rows of page 0, so nothing meets them by day
+    pages = paged.unionByName(totals.withColumn("page", F.lit(0)), allowMissingColumns=True).groupBy("day", "page").agg(
+        F.first("totals", ignorenulls=True).alias("totals"), listed(ALERT, alert).alias("alerts"), listed(ORDER, order).alias("open_orders"))
     listing = F.sort_array(F.collect_list(F.struct(
         (-F.col("days_without_sale")).alias("_order"), big(F.col("product_id")).alias("product_id"), big(F.col("stock")).alias("stock"), "days_without_sale", "discount")))
     shown_fields = lambda r: F.struct(*[r[f].alias(f) for f in ("product_id", "stock", "days_without_sale", "discount")])
     worst = shown.agg(F.transform(listing, shown_fields).alias("v")).scalar()
-    first_pages = days.select("day", F.lit(0).alias("page"))
-    frame = pages.join(first_pages, ["day", "page"], "full").join(totals, "day", "left")
-    first = F.col("page") == 0
-    none = lambda c: F.coalesce(c, F.array().cast(pages.schema[c].dataType)).alias(c)
-    return frame.select("day", "page", F.when(first, F.col("_totals")).alias("totals"), none("alerts"), none("open_orders"), F.when(first, worst).alias("slow_movers"))
+    return pages.select("day", "page", "totals", "alerts", "open_orders", F.when(F.col("page") == 0, worst).alias("slow_movers"))
 
 
 def flat_documents(documents: DataFrame) -> DataFrame:
