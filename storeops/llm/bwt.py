@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from storeops.llm.repeats import BYTES, removals, spans
+from storeops.llm.rolling import Prefix
 
 LENGTH = 50
 SHARDS = 4
@@ -85,8 +86,48 @@ def merged(bwt: np.ndarray, last_to_first: np.ndarray, length: int = LENGTH) ->
     return order, common
 
 
+def repeated(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each body whose hash occurs again in any of the bodies; the last is -1 where none does.
+
+    Equal windows have equal hashes, so no other window can be equal to one elsewhere; a chance hit is only compared.
+    """
+    sizes = np.array([len(b) for b in bodies])
+    n = np.maximum(sizes - LENGTH + 1, 0)
+    of = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(of)) - (np.cumsum(n) - n)[of]
+    begin = (np.cumsum(sizes) - sizes)[of] + at
+    h = Prefix(np.frombuffer(b"".join(bodies), np.uint8)).of(begin, begin + LENGTH)
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    again = np.zeros(len(h), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    hit = np.flatnonzero(again)  # by body, and by window inside it
+    first, last = np.zeros(len(n), np.int64), np.full(len(n), -1)
+    last[of[hit]] = at[hit]
+    first[of[hit[::-1]]] = at[hit[::-1]]
+    return first, last
+
+
 def match(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For each window of each body the smallest document that holds it."""
+    """For each window of each body the smallest document that holds it.
+
+    Only the stretch of a body between its first and its last repeated window takes part in the transforms; its other
+    windows are its own alone.
+    """
+    first, last = repeated(bodies)
+    n = np.maximum(np.array([len(b) for b in bodies]) - LENGTH + 1, 0)
+    start = np.cumsum(np.append(0, n))
+    low = np.repeat(docs, n)
+    hit = np.flatnonzero(last >= 0)
+    if len(hit):
+        parts = [bodies[i][a : b + LENGTH] for i, a, b in zip(hit.tolist(), first[hit].tolist(), last[hit].tolist())]
+        for at, least in zip((start[hit] + first[hit]).tolist(), smallest(parts, docs[hit])):
+            low[at : at + len(least)] = least
+    return [low[a:b] for a, b in zip(start[:-1].tolist(), start[1:].tolist())]
+
+
+def smallest(bodies: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
+    """For each window of each body the smallest document that holds it, from the merged transforms of all bodies."""
     sizes = np.array([len(b) for b in bodies])
     bounds = np.searchsorted(np.cumsum(sizes), np.linspace(0, sizes.sum(), SHARDS + 1)[1:-1]) if len(bodies) > SHARDS else []
     places, bwts, maps, base = [], [], [], 0
